@@ -6,11 +6,11 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.keys import is_blank, parse_ymd
-from tallyspark.operators.match import ITEM_KEY, ledger_hits, match_all
+from tallyspark.operators.match import ITEM_KEY, MATCH_COLUMNS, ledger_hits, match_all
 from tallyspark.operators.queues import expand_queues
 from tallyspark.schemas import (
     RESULT_COLUMNS,
@@ -75,6 +75,9 @@ def reconcile(
 
     N matches of an item -> N SUCESSO rows; none -> one SEM_RETORNO row;
     quarantined items -> one ERRO row.  Output is in the 84-column schema.
+
+    J14 is one LEFT join of the work items with the match rows on the item
+    key, so the match pipeline runs once (no anti-join re-running it).
     """
     items = expand_queues(queues, processes)
     bad = quarantine(items, erp)
@@ -82,14 +85,15 @@ def reconcile(
     err_items = items.join(bad, ITEM_KEY, "inner")
 
     matches = match_all(ok_items, erp, years)
-    matched_keys = matches.select(*ITEM_KEY).distinct()
-    missing = ok_items.join(matched_keys, ITEM_KEY, "left_anti")
+    erp_cols = [c for c in MATCH_COLUMNS if c in matches.columns]
+    found = ok_items.join(matches.select(*ITEM_KEY, *erp_cols), ITEM_KEY, "left").withColumn(
+        "STATUS_EXECUCAO",
+        F.when(F.col("ORIGEM_MATCH").isNotNull(), F.lit(ROW_SUCESSO)).otherwise(F.lit(ROW_SEM_RETORNO)),
+    )
 
     ts = F.lit(run_ts).cast("timestamp") if run_ts is not None else F.lit(None).cast("timestamp")
-    out = (
-        conform(matches.withColumn("STATUS_EXECUCAO", F.lit(ROW_SUCESSO)))
-        .unionByName(conform(missing.withColumn("STATUS_EXECUCAO", F.lit(ROW_SEM_RETORNO))))
-        .unionByName(conform(err_items.withColumn("STATUS_EXECUCAO", F.lit(ROW_ERRO))))
+    out = conform(found).unionByName(
+        conform(err_items.withColumn("STATUS_EXECUCAO", F.lit(ROW_ERRO)))
     )
     return out.withColumn("DATA_EXECUCAO", ts)
 
@@ -100,22 +104,15 @@ def eligible(df: DataFrame, mode: str = "reference") -> DataFrame:
     ``reference``: any status counts, but only in processes where at least
     one row matched (otherwise the process has no DOCNUM at all and nothing
     is eligible).  ``strict``: SUCESSO rows only.
+
+    The per-process flag is a distinct over process names (at most one row
+    per registered process, so broadcasting it is bounded by the registry);
+    no window partitions a whole process into one task.
     """
     blank = is_blank("DOCNUM")
     if mode == "strict":
         return df.where(blank & (F.col("STATUS_EXECUCAO") == ROW_SUCESSO))
     if mode != "reference":
         raise ValueError(f"unknown eligibility mode: {mode}")
-    w = Window.partitionBy("PROCESS_NAME")
-    any_ok = F.max(F.when(F.col("STATUS_EXECUCAO") == ROW_SUCESSO, 1).otherwise(0)).over(w)
-    return df.where(blank).withColumn("_any_ok", any_ok).where(F.col("_any_ok") == 1).drop("_any_ok")
-
-
-def eligible_by_join(df: DataFrame, mode: str = "reference") -> DataFrame:
-    """Same as :func:`eligible` but with the per-process flag computed by a
-    tiny aggregate + join instead of a window (no full sort by process)."""
-    blank = is_blank("DOCNUM")
-    if mode == "strict":
-        return eligible(df, "strict")
     ok_procs = df.where(F.col("STATUS_EXECUCAO") == ROW_SUCESSO).select("PROCESS_NAME").distinct()
-    return df.where(blank).join(ok_procs, "PROCESS_NAME", "left_semi")
+    return df.where(blank).join(F.broadcast(ok_procs), "PROCESS_NAME", "left_semi").select(*df.columns)
