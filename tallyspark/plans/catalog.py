@@ -172,3 +172,336 @@ def q_eligible_reference(spark, sf_dir):
 )
 def q_eligible_strict(spark, sf_dir):
     return eligible(reconciled(spark, sf_dir), "strict").drop("DATA_EXECUCAO")
+
+
+# --- C8/C9/K9/K10: upsert, dedup, key check, schema evolution ------------------------
+from tallyspark.operators.upsert import dedup_last, evolve_union, key_violations, upsert  # noqa: E402
+from tallyspark.plans.oracle import dedup_sql, key_sql, with_all_ctes  # noqa: E402
+from tallyspark.schemas import RESULT_COLUMNS, UPSERT_KEYS  # noqa: E402
+
+RESULT_NO_CLOCK = [c for c in RESULT_COLUMNS if c != "DATA_EXECUCAO"]
+BATCH_WITHOUT = ["MSG_RPA", "CTR_UM"]  # columns the merge batch does not carry
+BATCH_COLUMNS = [c for c in RESULT_NO_CLOCK if c not in BATCH_WITHOUT]
+
+_ELIG_REF_SQL = (
+    "SELECT * EXCLUDE (DATA_EXECUCAO) FROM reconciled WHERE " + _BLANK_DOCNUM
+    + " AND PROCESS_NAME IN (SELECT PROCESS_NAME FROM reconciled WHERE STATUS_EXECUCAO = 'SUCESSO')"
+)
+_ELIG_STRICT_SQL = (
+    "SELECT * EXCLUDE (DATA_EXECUCAO) FROM reconciled WHERE " + _BLANK_DOCNUM + " AND STATUS_EXECUCAO = 'SUCESSO'"
+)
+
+
+@register("dedup_result", with_ctes(dedup_sql("(SELECT * EXCLUDE (DATA_EXECUCAO) FROM reconciled)", RESULT_NO_CLOCK)))
+def q_dedup_result(spark, sf_dir):
+    return dedup_last(reconciled(spark, sf_dir).drop("DATA_EXECUCAO"))
+
+
+@register(
+    "key_violations",
+    with_ctes(
+        "SELECT " + ", ".join(f"{e} AS {k}" for e, k in zip(key_sql(), UPSERT_KEYS))
+        + ", count(*) AS n_rows FROM reconciled GROUP BY " + ", ".join(key_sql()) + " HAVING count(*) > 1"
+    ),
+)
+def q_key_violations(spark, sf_dir):
+    return key_violations(reconciled(spark, sf_dir))
+
+
+def _upsert_sql() -> str:
+    t_cols = RESULT_NO_CLOCK
+    keys = key_sql()
+    tsel = ", ".join(
+        ("'ALVO' AS MSG_RPA" if c == "MSG_RPA" else c) for c in t_cols
+    ) + ", " + ", ".join(f"{e} AS _k{i}" for i, e in enumerate(keys))
+    bsel = ", ".join(BATCH_COLUMNS) + ", " + ", ".join(f"{e} AS _k{i}" for i, e in enumerate(keys))
+    out = []
+    for c in t_cols:
+        if c in BATCH_COLUMNS:
+            out.append(f"CASE WHEN b._k0 IS NOT NULL THEN b.{c} ELSE t.{c} END AS {c}")
+        else:
+            out.append(f"t.{c} AS {c}")
+    on = " AND ".join(f"t._k{i} = b._k{i}" for i in range(len(keys)))
+    extra = [
+        ("u_target0", "SELECT * EXCLUDE (MSG_RPA), 'ALVO' AS MSG_RPA FROM (" + dedup_sql(f"({_ELIG_STRICT_SQL})", RESULT_NO_CLOCK) + ") x"),
+        ("u_target", f"SELECT {tsel} FROM u_target0"),
+        ("u_batch", f"SELECT {bsel} FROM (" + dedup_sql(f"(SELECT {', '.join(BATCH_COLUMNS)} FROM ({_ELIG_REF_SQL}) e)", BATCH_COLUMNS) + ") y"),
+    ]
+    return with_all_ctes(f"SELECT {', '.join(out)} FROM u_target t FULL OUTER JOIN u_batch b ON {on}", extra=extra)
+
+
+@register("upsert_merge", _upsert_sql())
+def q_upsert_merge(spark, sf_dir):
+    rec = reconciled(spark, sf_dir).drop("DATA_EXECUCAO")
+    target = dedup_last(eligible(rec, "strict")).withColumn("MSG_RPA", F.lit("ALVO")).select(*RESULT_NO_CLOCK)
+    batch = eligible(rec, "reference").select(*BATCH_COLUMNS)
+    return upsert(target, batch)
+
+
+EVOLVE_TARGET = RESULT_NO_CLOCK[: RESULT_NO_CLOCK.index("MENSAGEM_ERRO") + 1]
+EVOLVE_BATCH = ["ID", "PROCESS_NAME", "NUMERO_COCKPIT", "STATUS_EXECUCAO", "DOCNUM", "RESULTADO", "ORIGEM_MATCH"]
+
+
+@register(
+    "schema_evolve",
+    with_ctes(
+        "SELECT " + ", ".join(EVOLVE_TARGET) + ", CAST(NULL AS VARCHAR) AS DOCNUM, CAST(NULL AS DECIMAL(18,6)) AS RESULTADO, "
+        "CAST(NULL AS VARCHAR) AS ORIGEM_MATCH FROM reconciled WHERE STATUS_EXECUCAO <> 'SUCESSO' "
+        "UNION ALL BY NAME SELECT " + ", ".join(EVOLVE_BATCH) + " FROM reconciled WHERE STATUS_EXECUCAO = 'SUCESSO'"
+    ),
+)
+def q_schema_evolve(spark, sf_dir):
+    rec = reconciled(spark, sf_dir)
+    target = rec.where(F.col("STATUS_EXECUCAO") != ROW_SUCESSO).select(*EVOLVE_TARGET)
+    batch = rec.where(F.col("STATUS_EXECUCAO") == ROW_SUCESSO).select(*EVOLVE_BATCH)
+    return evolve_union(target, batch)
+
+
+# --- C10/C16: run summary and digest -------------------------------------------------
+from tallyspark.operators.summary import digest, first_errors, process_summary, run_status  # noqa: E402
+from tallyspark.sources.registry import registry_frame  # noqa: E402
+
+_REG_VALUES = ", ".join(f"('{p.process_name}', {p.ordinal})" for p in DEFAULT_PROCESSES if p.active)
+_PER_PROCESS_SQL = f"""SELECT reg.PROCESS_NAME, reg.ordinal,
+  CASE WHEN COALESCE(a.n, 0) = 0 THEN 'SEM_DADOS' ELSE 'SUCESSO' END AS status,
+  CAST(COALESCE(a.n, 0) AS BIGINT) AS rows_processed,
+  CAST(CASE WHEN COALESCE(a.n, 0) = 0 OR a.ok = 0 THEN 0 ELSE a.blank END AS BIGINT) AS rows_aptas,
+  CAST(CASE WHEN COALESCE(a.n, 0) = 0 THEN 0 ELSE a.pend END AS BIGINT) AS rows_pendentes,
+  CAST(CASE WHEN COALESCE(a.n, 0) = 0 THEN 0 ELSE a.err END AS BIGINT) AS rows_erro
+FROM (VALUES {_REG_VALUES}) reg(PROCESS_NAME, ordinal)
+LEFT JOIN (SELECT PROCESS_NAME, count(*) AS n, count_if(STATUS_EXECUCAO = 'SUCESSO') AS ok,
+    count_if({_BLANK_DOCNUM}) AS blank, count_if(STATUS_EXECUCAO = 'SEM_RETORNO') AS pend,
+    count_if(STATUS_EXECUCAO = 'ERRO') AS err
+  FROM reconciled GROUP BY PROCESS_NAME) a ON a.PROCESS_NAME = reg.PROCESS_NAME"""
+_TOTALS_SQL = """SELECT count(*) AS total_processos, count_if(status = 'SUCESSO') AS processos_sucesso,
+  count_if(status = 'SEM_DADOS') AS processos_sem_dados, count_if(status = 'ERRO') AS processos_erro,
+  CAST(COALESCE(sum(rows_processed), 0) AS BIGINT) AS total_linhas_processadas,
+  CAST(COALESCE(sum(rows_aptas), 0) AS BIGINT) AS total_notas_aptas,
+  CAST(COALESCE(sum(rows_pendentes), 0) AS BIGINT) AS total_notas_pendentes FROM per_process"""
+
+
+def _per_process(spark, sf_dir):
+    return process_summary(reconciled(spark, sf_dir), registry_frame(spark))
+
+
+@register("run_summary", with_all_ctes("SELECT * FROM per_process", extra=[("per_process", _PER_PROCESS_SQL)]))
+def q_run_summary(spark, sf_dir):
+    return _per_process(spark, sf_dir)
+
+
+@register(
+    "run_status",
+    with_all_ctes(
+        """SELECT (processos_erro = 0 AND total_processos > 0) AS success,
+  CASE WHEN total_processos = 0 AND processos_erro = 0 THEN 'PARCIAL' WHEN processos_erro = 0 THEN 'SUCESSO'
+       WHEN processos_sucesso > 0 OR processos_sem_dados > 0 THEN 'PARCIAL' ELSE 'ERRO' END AS status,
+  CASE WHEN total_processos = 0 AND processos_erro = 0 THEN 'Nenhum processo ativo encontrado para executar.'
+       WHEN processos_erro = 0 THEN 'Execução finalizada com sucesso.'
+       WHEN processos_sucesso > 0 OR processos_sem_dados > 0 THEN 'Execução finalizada com falhas parciais.'
+       ELSE 'Execução finalizada com erro.' END AS message,
+  total_processos, processos_sucesso, processos_sem_dados, processos_erro, total_linhas_processadas,
+  total_notas_aptas, total_notas_pendentes, CAST(NULL AS DOUBLE) AS duration_seconds,
+  '00:00:00' AS duration_formatted FROM totals""",
+        extra=[("per_process", _PER_PROCESS_SQL), ("totals", _TOTALS_SQL)],
+    ),
+)
+def q_run_status(spark, sf_dir):
+    return run_status(_per_process(spark, sf_dir))
+
+
+@register(
+    "digest",
+    with_all_ctes(
+        """SELECT ordinal, replace(PROCESS_NAME, 'V2_Consulta_Comp_', '') AS process, status,
+  CASE upper(status) WHEN 'SUCESSO' THEN 'good' WHEN 'ERRO' THEN 'attention' WHEN 'PARCIAL' THEN 'warning'
+       WHEN 'SEM_DADOS' THEN 'warning' ELSE 'accent' END AS style,
+  CASE upper(status) WHEN 'SUCESSO' THEN 'Good' WHEN 'PARCIAL' THEN 'Warning' WHEN 'ERRO' THEN 'Attention'
+       WHEN 'SEM_DADOS' THEN 'Warning' ELSE 'Accent' END AS color,
+  CASE WHEN upper(status) = 'SEM_DADOS' THEN 'nenhum registro na fila'
+       ELSE printf('%d processadas  ·  %d aptas  ·  %d pendentes  ·  %s', rows_processed, rows_aptas, rows_pendentes, '-') END AS line
+FROM per_process WHERE (SELECT total_notas_aptas FROM totals) > 0""",
+        extra=[("per_process", _PER_PROCESS_SQL), ("totals", _TOTALS_SQL)],
+    ),
+)
+def q_digest(spark, sf_dir):
+    per = _per_process(spark, sf_dir)
+    return digest(per, run_status(per))
+
+
+@register(
+    "digest_errors",
+    with_ctes(
+        """SELECT PROCESS_NAME, ID, NUMERO_COCKPIT,
+  printf('• %s: %s', COALESCE(NULLIF(trim(PROCESS_NAME), ''), '-'), COALESCE(NULLIF(trim(MENSAGEM_ERRO), ''), '-')) AS line
+FROM reconciled WHERE STATUS_EXECUCAO = 'ERRO' ORDER BY PROCESS_NAME, ID, NUMERO_COCKPIT LIMIT 5"""
+    ),
+)
+def q_digest_errors(spark, sf_dir):
+    return first_errors(reconciled(spark, sf_dir), 5)
+
+
+# --- C11/C12: audit --------------------------------------------------------------------
+from tallyspark.operators.audit import audit_booked, audit_distribution, audit_flags, audit_items, audit_list  # noqa: E402
+
+AUDIT_YEAR = 1998
+
+
+def _audit_detail(spark, sf_dir):
+    queues, erp = _sources(spark, sf_dir)
+    return audit_booked(audit_items(queues), erp, AUDIT_YEAR)
+
+
+_AUDIT_LIST_SQL = """SELECT proc AS PROCESSO, doc_compra AS PEDIDO, cockpit AS COCKPIT, cpf AS CPF, nome AS FORNECEDOR,
+  qexp AS QTDE, vexp AS VALOR, split_part(docnum, '.', 1) AS DOCNUM,
+  CASE WHEN classe = 'ESCRITURADO' THEN 'SIM' ELSE 'NAO' END AS ESCRITURADO,
+  CASE classe WHEN 'ESCRITURADO' THEN 'ESCRITURADO'
+    WHEN 'LIGADO_SEM_DOCNUM' THEN 'NAO ESCRITURADO - NF do pedido sem DOCNUM'
+    WHEN 'NF_DIVERGE' THEN 'NAO ESCRITURADO - NF do CPF nao casa qtde/valor'
+    WHEN 'SEM_NF_DO_CPF' THEN 'NAO ESCRITURADO - sem NF do CPF no VTIN'
+    WHEN 'SEM_CPF' THEN 'NAO ESCRITURADO - sem CPF do fornecedor'
+    WHEN 'SEM_ZMMT_COCKPIT' THEN 'NAO ESCRITURADO - cockpit sem ZMMT' ELSE classe END AS SITUACAO
+FROM a_detail"""
+
+
+@register("audit_items", with_all_ctes("SELECT * FROM a_detail", audit_year=AUDIT_YEAR))
+def q_audit_items(spark, sf_dir):
+    return _audit_detail(spark, sf_dir)
+
+
+_CLASS_COUNTS = ", ".join(
+    f"count_if(classe = '{c}') AS {c.lower()}"
+    for c in ["ESCRITURADO", "LIGADO_SEM_DOCNUM", "NF_DIVERGE", "SEM_NF_DO_CPF", "SEM_CPF", "SEM_ZMMT_COCKPIT"]
+)
+
+
+@register(
+    "audit_distribution",
+    with_all_ctes(
+        f"""SELECT *, printf('%d%%', CAST(round_even(escriturado * 100.0 / itens, 0) AS BIGINT)) AS pct_escriturado FROM (
+  SELECT proc, count(*) AS itens, count(DISTINCT doc_compra) AS doc_compras, {_CLASS_COUNTS} FROM a_detail GROUP BY proc
+  UNION ALL
+  SELECT 'TOTAL', count(*), count(DISTINCT doc_compra), {_CLASS_COUNTS} FROM a_detail) t""",
+        audit_year=AUDIT_YEAR,
+    ),
+)
+def q_audit_distribution(spark, sf_dir):
+    return audit_distribution(_audit_detail(spark, sf_dir))
+
+
+@register("audit_list", with_all_ctes(_AUDIT_LIST_SQL, audit_year=AUDIT_YEAR))
+def q_audit_list(spark, sf_dir):
+    return audit_list(_audit_detail(spark, sf_dir))
+
+
+@register(
+    "audit_flags",
+    with_all_ctes(
+        "SELECT count_if(ESCRITURADO = 'SIM') AS sim, count_if(ESCRITURADO = 'NAO') AS nao, count(*) AS linhas "
+        f"FROM ({_AUDIT_LIST_SQL}) l",
+        audit_year=AUDIT_YEAR,
+    ),
+)
+def q_audit_flags(spark, sf_dir):
+    return audit_flags(audit_list(_audit_detail(spark, sf_dir)))
+
+
+# --- C13/C14/C15: bot activity -------------------------------------------------------------
+from tallyspark.operators.activity import (  # noqa: E402
+    ACTIVE_STATUSES,
+    COMPLETED_STATUSES,
+    FAILED_STATUSES,
+    KNOWN_STATUSES,
+    RUNNING_STATUSES,
+    WAITING_STATUSES,
+    bucket_counts,
+    department_counts,
+    guard,
+    pick_runner,
+    unknown_statuses,
+)
+from tallyspark.sources.testdata import activity_table  # noqa: E402
+
+GUARD_FILE_IDS = [1266717, 1211401, 1211403]
+RUNNER_CANDIDATES = [900, 901, 902, 903]
+
+
+def _in(vals) -> str:
+    return ", ".join(f"'{v}'" for v in vals)
+
+
+_BUCKET_SQL = f"""CASE WHEN status IS NULL OR status = '' THEN 'OTHER'
+  WHEN upper(status) IN ({_in(RUNNING_STATUSES)}) THEN 'RUNNING'
+  WHEN upper(status) IN ({_in(WAITING_STATUSES)}) THEN 'WAITING'
+  WHEN upper(status) IN ({_in(FAILED_STATUSES)}) THEN 'FAILED'
+  WHEN upper(status) IN ({_in(COMPLETED_STATUSES)}) THEN 'COMPLETED' ELSE 'OTHER' END"""
+_BUCKET_AGGS = ", ".join(f"count_if(b = '{k}') AS {k}" for k in ["RUNNING", "WAITING", "FAILED", "COMPLETED", "OTHER"])
+
+
+@register(
+    "activity_buckets",
+    with_all_ctes(
+        f"""SELECT *, least(greatest(round_even(COMPLETED * 100.0 / TOTAL, 1), 0.0), 100.0) AS pct_completed FROM (
+  SELECT fileId, {_BUCKET_AGGS}, count(*) AS TOTAL FROM (SELECT *, {_BUCKET_SQL} AS b FROM activity) a GROUP BY fileId
+  UNION ALL
+  SELECT 'ALL', {_BUCKET_AGGS}, count(*) FROM (SELECT *, {_BUCKET_SQL} AS b FROM activity) a) t""",
+        activity=True,
+    ),
+)
+def q_activity_buckets(spark, sf_dir):
+    return bucket_counts(activity_table(spark, sf_dir))
+
+
+@register(
+    "activity_departments",
+    with_all_ctes(
+        """SELECT CASE WHEN path IS NOT NULL AND path <> '' AND COALESCE(list_position(parts, 'Bots'), 0) > 0
+              AND COALESCE(list_position(parts, 'Bots'), 0) + 1 <= len(parts)
+         THEN parts[list_position(parts, 'Bots') + 1] END AS department, count(*) AS n
+FROM (SELECT path, list_filter(string_split(replace(path, '/', '\\'), '\\'), lambda x: x <> '') AS parts FROM activity) p
+GROUP BY 1""",
+        activity=True,
+    ),
+)
+def q_activity_departments(spark, sf_dir):
+    return department_counts(activity_table(spark, sf_dir))
+
+
+@register(
+    "activity_unknown",
+    with_all_ctes(
+        f"SELECT DISTINCT status FROM activity WHERE status IS NOT NULL AND status <> '' "
+        f"AND upper(status) NOT IN ({_in(KNOWN_STATUSES)})",
+        activity=True,
+    ),
+)
+def q_activity_unknown(spark, sf_dir):
+    return unknown_statuses(activity_table(spark, sf_dir))
+
+
+def _ids_values(ids, name) -> str:
+    return "(VALUES " + ", ".join(f"('{v}', {i})" for i, v in enumerate(ids)) + f") ids({name}, pref)"
+
+
+@register(
+    "guard_active",
+    with_all_ctes(
+        f"SELECT fileId, pref FROM {_ids_values(GUARD_FILE_IDS, 'fileId')} WHERE fileId IN "
+        f"(SELECT fileId FROM activity WHERE status IN ({_in(ACTIVE_STATUSES)})) ORDER BY pref LIMIT 1",
+        activity=True,
+    ),
+)
+def q_guard_active(spark, sf_dir):
+    return guard(activity_table(spark, sf_dir), GUARD_FILE_IDS)
+
+
+@register(
+    "pick_runner",
+    with_all_ctes(
+        f"SELECT runAsUserId, pref FROM {_ids_values(RUNNER_CANDIDATES, 'runAsUserId')} WHERE runAsUserId NOT IN "
+        f"(SELECT runAsUserId FROM activity WHERE status IN ({_in(ACTIVE_STATUSES)}) AND runAsUserId IS NOT NULL) "
+        "ORDER BY pref LIMIT 1",
+        activity=True,
+    ),
+)
+def q_pick_runner(spark, sf_dir):
+    return pick_runner(activity_table(spark, sf_dir), RUNNER_CANDIDATES)
