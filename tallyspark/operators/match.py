@@ -44,6 +44,7 @@ from tallyspark.operators.blocks import (
 )
 from tallyspark.schemas import RESULT_COLUMNS, ROUTE_DOCUMENT, ROUTE_TAX_ID, STORAGE_ONLY_COLUMNS
 from tallyspark.sources.registry import KIND_PURCHASE, KIND_STORAGE, KIND_VALUE
+from tallyspark.session import cut_lineage
 from tallyspark.sources.testdata import ErpTables
 
 ITEM_KEY = ["PROCESS_NAME", "id", "numero_cockpit"]
@@ -265,11 +266,16 @@ def match_value_complement(
     return _tax_output(j, hc.columns)
 
 
-def match_all(items: DataFrame, erp: ErpTables, years: Sequence[int]) -> DataFrame:
+def match_all(items: DataFrame, erp: ErpTables, years: Sequence[int], materialize: bool = False) -> DataFrame:
     """U1 over all routes and processes: one row per (work item, match)."""
-    hits = ledger_hits(items, erp)
-    hc = with_contracts(hits, erp)
+    hc = with_contracts(ledger_hits(items, erp), erp)
     inv = open_invoices(erp, years)
+    if materialize:
+        hc, inv = cut_lineage(hc), cut_lineage(inv)
+    return match_routes(hc, erp, years, inv)
+
+
+def match_routes(hc: DataFrame, erp: ErpTables, years: Sequence[int], inv: DataFrame) -> DataFrame:
     doc = match_via_document(hc, erp, years)
     tax = match_via_tax_id(hc, erp, years, inv)
     val = match_value_complement(hc, erp, years, inv)

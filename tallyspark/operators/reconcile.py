@@ -10,7 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.keys import is_blank, parse_ymd
-from tallyspark.operators.match import ITEM_KEY, MATCH_COLUMNS, ledger_hits, match_all
+from tallyspark.operators.match import (
+    ITEM_KEY,
+    MATCH_COLUMNS,
+    ledger_hits,
+    match_routes,
+    open_invoices,
+    with_contracts,
+)
+from tallyspark.session import cut_lineage
 from tallyspark.operators.queues import expand_queues
 from tallyspark.schemas import (
     RESULT_COLUMNS,
@@ -49,14 +57,14 @@ def conform(df: DataFrame, schema=RESULT_SCHEMA) -> DataFrame:
     return df.select(*cols)
 
 
-def quarantine(items: DataFrame, erp: ErpTables) -> DataFrame:
-    """Value-complement items whose ledger rows carry a date that cannot
-    be read (the date anchor would fail) become ERRO rows.
+def quarantine(hc: DataFrame) -> DataFrame:
+    """Value-complement items whose contract-joined ledger rows carry a
+    date that cannot be read (the date anchor would fail) become ERRO rows.
 
-    Returns the item key plus ``MENSAGEM_ERRO``; a plain aggregate per item.
+    ``hc`` are the ledger hits with their contract block; returns the item
+    key plus ``MENSAGEM_ERRO`` (one aggregate per item).
     """
-    hits = ledger_hits(items.where(F.col("kind") == KIND_VALUE), erp)
-    bad = hits.where(parse_ymd("ZMMT_DATA").isNull())
+    bad = hc.where((F.col("kind") == KIND_VALUE) & parse_ymd("ZMMT_DATA").isNull())
     return bad.groupBy(*ITEM_KEY).agg(
         F.concat(F.lit("data invalida no razao: "), F.coalesce(F.min("ZMMT_DATA"), F.lit("NULL"))).alias(
             "MENSAGEM_ERRO"
@@ -64,38 +72,49 @@ def quarantine(items: DataFrame, erp: ErpTables) -> DataFrame:
     )
 
 
+def prepare(items: DataFrame, erp: ErpTables, years: Sequence[int], materialize: bool = True):
+    """Shared inputs of the routes: ledger hits with their contract block
+    (all items) and the open-invoice block.  Both feed several joins, so
+    by default each is written once to the shared checkpoint folder (cuts
+    the lineage: later stages and retries read the written rows)."""
+    hc = with_contracts(ledger_hits(items, erp), erp)
+    inv = open_invoices(erp, years)
+    if materialize:
+        hc, inv = cut_lineage(hc), cut_lineage(inv)
+    return hc, inv
+
+
 def reconcile(
     queues: Mapping[str, DataFrame],
     erp: ErpTables,
     years: Sequence[int],
     processes: Iterable[ProcessDef] = DEFAULT_PROCESSES,
     run_ts: _dt.datetime | None = None,
+    materialize: bool = True,
 ) -> DataFrame:
     """Every active process, every work item, in one plan.
 
     N matches of an item -> N SUCESSO rows; none -> one SEM_RETORNO row;
     quarantined items -> one ERRO row.  Output is in the 84-column schema.
 
-    J14 is one LEFT join of the work items with the match rows on the item
-    key, so the match pipeline runs once (no anti-join re-running it).
+    J14 is one LEFT join of the work items with the match rows (and the
+    quarantine messages) on the item key, so every item appears and the
+    matching runs once.
     """
     items = expand_queues(queues, processes)
-    bad = quarantine(items, erp)
-    ok_items = items.join(bad.select(*ITEM_KEY), ITEM_KEY, "left_anti")
-    err_items = items.join(bad, ITEM_KEY, "inner")
-
-    matches = match_all(ok_items, erp, years)
+    hc_all, inv = prepare(items, erp, years, materialize)
+    bad = quarantine(hc_all)
+    hc = hc_all.join(bad.select(*ITEM_KEY), ITEM_KEY, "left_anti")
+    matches = match_routes(hc, erp, years, inv)
     erp_cols = [c for c in MATCH_COLUMNS if c in matches.columns]
-    found = ok_items.join(matches.select(*ITEM_KEY, *erp_cols), ITEM_KEY, "left").withColumn(
-        "STATUS_EXECUCAO",
-        F.when(F.col("ORIGEM_MATCH").isNotNull(), F.lit(ROW_SUCESSO)).otherwise(F.lit(ROW_SEM_RETORNO)),
+    rows = items.join(matches.select(*ITEM_KEY, *erp_cols), ITEM_KEY, "left").join(bad, ITEM_KEY, "left")
+    status = (
+        F.when(F.col("MENSAGEM_ERRO").isNotNull(), F.lit(ROW_ERRO))
+        .when(F.col("ORIGEM_MATCH").isNotNull(), F.lit(ROW_SUCESSO))
+        .otherwise(F.lit(ROW_SEM_RETORNO))
     )
-
     ts = F.lit(run_ts).cast("timestamp") if run_ts is not None else F.lit(None).cast("timestamp")
-    out = conform(found).unionByName(
-        conform(err_items.withColumn("STATUS_EXECUCAO", F.lit(ROW_ERRO)))
-    )
-    return out.withColumn("DATA_EXECUCAO", ts)
+    return conform(rows.withColumn("STATUS_EXECUCAO", status)).withColumn("DATA_EXECUCAO", ts)
 
 
 def eligible(df: DataFrame, mode: str = "reference") -> DataFrame:

@@ -14,15 +14,14 @@ from pyspark.sql import functions as F
 
 from tallyspark.operators.blocks import invoice_block, purchase_contract_block, storage_contract_block
 from tallyspark.operators.match import (
-    ledger_hits,
+    ITEM_KEY,
     match_all,
     match_value_complement,
     match_via_document,
     match_via_tax_id,
-    with_contracts,
 )
 from tallyspark.operators.queues import expand_queues
-from tallyspark.operators.reconcile import conform, eligible, quarantine, reconcile
+from tallyspark.operators.reconcile import conform, eligible, prepare, quarantine, reconcile
 from tallyspark.plans.oracle import DEFAULT_YEARS, MATCH_AVAILABLE, conform_select, with_ctes
 from tallyspark.schemas import ROW_SUCESSO
 from tallyspark.sources.registry import DEFAULT_PROCESSES, KIND_STORAGE, KIND_VALUE
@@ -51,10 +50,9 @@ def _sources(spark: SparkSession, sf_dir: str):
 
 def _hc(spark: SparkSession, sf_dir: str, processes=DEFAULT_PROCESSES):
     queues, erp = _sources(spark, sf_dir)
-    items = expand_queues(queues, processes)
-    bad = quarantine(items, erp)
-    ok = items.join(bad.select("PROCESS_NAME", "id", "numero_cockpit"), ["PROCESS_NAME", "id", "numero_cockpit"], "left_anti")
-    return erp, with_contracts(ledger_hits(ok, erp), erp)
+    hc_all, _ = prepare(expand_queues(queues, processes), erp, YEARS, materialize=False)
+    hc = hc_all.join(quarantine(hc_all).select(*ITEM_KEY), ITEM_KEY, "left_anti")
+    return erp, hc
 
 
 def reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +143,8 @@ def q_reconcile_all(spark, sf_dir):
 @register("quarantine", with_ctes("SELECT * FROM bad"))
 def q_quarantine(spark, sf_dir):
     queues, erp = _sources(spark, sf_dir)
-    return quarantine(expand_queues(queues), erp)
+    hc_all, _ = prepare(expand_queues(queues), erp, YEARS, materialize=False)
+    return quarantine(hc_all)
 
 
 # --- C7: eligibility -------------------------------------------------------------
