@@ -268,10 +268,13 @@ def match_value_complement(
 
 def match_all(items: DataFrame, erp: ErpTables, years: Sequence[int], materialize: bool = False) -> DataFrame:
     """U1 over all routes and processes: one row per (work item, match)."""
-    hc = with_contracts(ledger_hits(items, erp), erp)
+    hits = ledger_hits(items, erp)
+    if materialize:
+        hits = cut_lineage(hits, "ledger-hits")
+    hc = with_contracts(hits, erp)
     inv = open_invoices(erp, years)
     if materialize:
-        hc, inv = cut_lineage(hc), cut_lineage(inv)
+        hc, inv = cut_lineage(hc, "contract-hits"), cut_lineage(inv, "open-invoices")
     return match_routes(hc, erp, years, inv)
 
 

@@ -77,10 +77,14 @@ def prepare(items: DataFrame, erp: ErpTables, years: Sequence[int], materialize:
     (all items) and the open-invoice block.  Both feed several joins, so
     by default each is written once to the shared checkpoint folder (cuts
     the lineage: later stages and retries read the written rows)."""
-    hc = with_contracts(ledger_hits(items, erp), erp)
+    hits = ledger_hits(items, erp)
+    if materialize:
+        # the hits feed the contract-key restriction and both contract joins
+        hits = cut_lineage(hits, "ledger-hits")
+    hc = with_contracts(hits, erp)
     inv = open_invoices(erp, years)
     if materialize:
-        hc, inv = cut_lineage(hc), cut_lineage(inv)
+        hc, inv = cut_lineage(hc, "contract-hits"), cut_lineage(inv, "open-invoices")
     return hc, inv
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,7 +71,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write the frame once as a parquet table under the shared checkpoint
+    folder and read it back.
+
+    This cuts the lineage (later stages and task retries after an executor
+    loss read the written rows instead of recomputing the joins), runs the
+    plan exactly once (an RDD checkpoint without caching runs it twice),
+    and gives every consumer parquet column pruning and filter pushdown.
+    """
+    spark = df.sparkSession
+    root = checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
