@@ -129,3 +129,17 @@ def safe_text(c: Column | str) -> Column:
     """NULL or blank -> '-', else the stripped text."""
     s = strip_ws(_c(c).cast("string"))
     return F.when(s.isNull() | (s == ""), F.lit("-")).otherwise(s)
+
+
+def nan_to_null(df):
+    """NaN in floating columns becomes NULL (other types are nullable
+    already and stay as they are)."""
+    from pyspark.sql import types as T
+
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            c = F.when(F.isnan(c), F.lit(None).cast(f.dataType)).otherwise(c)
+        cols.append(c.alias(f.name))
+    return df.select(*cols)

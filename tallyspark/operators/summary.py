@@ -190,3 +190,12 @@ def first_errors(batch: DataFrame, n: int = 5) -> DataFrame:
         .orderBy("PROCESS_NAME", "ID", "NUMERO_COCKPIT")
         .limit(n)
     )
+
+
+def fmt_dt(c: Column) -> Column:
+    """SF18: ISO text -> 'dd/MM/yyyy HH:mm'; unreadable text -> its first 16
+    characters with 'T' replaced by a space."""
+    ts = F.try_to_timestamp(c)
+    return F.when(ts.isNotNull(), F.date_format(ts, "dd/MM/yyyy HH:mm")).otherwise(
+        F.replace(F.substring(c, 1, 16), F.lit("T"), F.lit(" "))
+    )

@@ -124,3 +124,8 @@ def test_save_strategy_precedence():
     assert save_strategy(True, True) == "DROP_CREATE"
     assert save_strategy(False, True) == "TRUNCATE"
     assert save_strategy(False, False) == "APPEND"
+
+
+def test_nan_to_null(spark):
+    df = spark.createDataFrame([(float("nan"), "a"), (1.5, "b")], "v double, s string")
+    assert [tuple(r) for r in K.nan_to_null(df).collect()] == [(None, "a"), (1.5, "b")]
