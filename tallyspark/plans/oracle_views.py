@@ -168,9 +168,9 @@ def activity_view_cte() -> tuple[str, str]:
         status = f"CASE WHEN event_type = '{etype}' THEN '{st}' ELSE {status} END"
     dept = "(['Fiscal', 'Compras', 'Logistica'])[CAST(user_id % 3 + 1 AS INTEGER)]"
     path = (
-        f"CASE WHEN user_id % 4 = 0 THEN 'Automation Anywhere\\Bots\\' || {dept} || '\\bot_' || CAST(user_id AS VARCHAR) "
-        f"WHEN user_id % 4 = 1 THEN '/Automation Anywhere/Bots/' || {dept} || '/sub/bot' "
-        f"WHEN user_id % 4 = 2 THEN 'Automation Anywhere\\Bots' "
+        f"CASE WHEN user_id % 4 = 0 THEN 'RPA Repository\\Bots\\' || {dept} || '\\bot_' || CAST(user_id AS VARCHAR) "
+        f"WHEN user_id % 4 = 1 THEN '/RPA Repository/Bots/' || {dept} || '/sub/bot' "
+        f"WHEN user_id % 4 = 2 THEN 'RPA Repository\\Bots' "
         f"ELSE 'Private\\' || {dept} END"
     )
     return (

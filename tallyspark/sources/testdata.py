@@ -351,9 +351,9 @@ def activity_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     uid = F.col("user_id")
     dept = F.element_at(F.array(*[F.lit(d) for d in DEPARTMENTS]), (uid % 3 + 1).cast("int"))
     path = (
-        F.when(uid % 4 == 0, F.concat(F.lit("Automation Anywhere\\Bots\\"), dept, F.lit("\\bot_"), uid.cast("string")))
-        .when(uid % 4 == 1, F.concat(F.lit("/Automation Anywhere/Bots/"), dept, F.lit("/sub/bot")))
-        .when(uid % 4 == 2, F.lit("Automation Anywhere\\Bots"))
+        F.when(uid % 4 == 0, F.concat(F.lit("RPA Repository\\Bots\\"), dept, F.lit("\\bot_"), uid.cast("string")))
+        .when(uid % 4 == 1, F.concat(F.lit("/RPA Repository/Bots/"), dept, F.lit("/sub/bot")))
+        .when(uid % 4 == 2, F.lit("RPA Repository\\Bots"))
         .otherwise(F.concat(F.lit("Private\\"), dept))
     )
     return ev.select(

@@ -122,9 +122,9 @@ def test_fmt_dt(spark):
 @pytest.mark.parametrize(
     "path,dept",
     [
-        ("Automation Anywhere\\Bots\\Fiscal\\x", "Fiscal"),
-        ("/Automation Anywhere/Bots/Compras/sub", "Compras"),
-        ("Automation Anywhere\\Bots", None),
+        ("RPA Repository\\Bots\\Fiscal\\x", "Fiscal"),
+        ("/RPA Repository/Bots/Compras/sub", "Compras"),
+        ("RPA Repository\\Bots", None),
         ("Private\\Fiscal", None),
         ("", None),
         (None, None),
