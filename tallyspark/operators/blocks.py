@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.keys import amount, round_amount
+from tallyspark.functions.keys import amount, round_amount, ymd_year_in
+from tallyspark.schemas import AMOUNT
 from tallyspark.sources.testdata import ErpTables
 
 PURCHASE_BLOCK_COLUMNS = [
@@ -120,39 +121,59 @@ def vtin_columns(vxr_prefix: str = "") -> list:
     ]
 
 
-def invoice_block(erp: ErpTables) -> DataFrame:
+def invoice_block(erp: ErpTables, open_only: bool = False, years=None) -> DataFrame:
     """Authorised received invoices with their item, the matching active
     NF-e (7 keys) and its fiscal document, as one flat block.
 
     CODESTA must be '100' and MANSTA not '03'/'04' (a NULL MANSTA drops the
     row, as ``NOT IN`` does in SQL).
+
+    Invoices without an active NF-e have a NULL document key; they skip the
+    fiscal-document join instead of all hashing into one partition.  With
+    ``open_only`` only invoices that can still be booked are kept (no
+    active NF-e, or one with a blank DOCNUM) before the document join, and
+    ``years`` restricts the emission year up front.
     """
-    vxr = erp.xml_rec.where(
-        (F.col("CODESTA") == "100") & ~F.col("MANSTA").isin("03", "04")
-    ).alias("vxr")
+    vxr = erp.xml_rec.where((F.col("CODESTA") == "100") & ~F.col("MANSTA").isin("03", "04"))
+    if years is not None:
+        vxr = vxr.where(ymd_year_in("D_EMI", years))
+    vxr = vxr.alias("vxr")
     act = active_nfe(erp).select(
         *ACTIVE_KEYS_7, "PARID", F.col("BRANCH").alias("ACT_BRANCH"), "CREDAT", "DOCNUM"
     ).alias("act")
-    doc = erp.nfdoc.select(
-        F.col("DOCNUM").alias("DOC_DOCNUM"), "NTGEW", "NFTOT", "CRENAM"
-    ).alias("doc")
     item = erp.nfeit.select("NFEID", "NFITEM", "NCM", "CFOP", "QCOM").alias("item")
 
     cond7 = [F.col(f"vxr.{k}") == F.col(f"act.{k}") for k in ACTIVE_KEYS_7]
-    j = vxr.join(item, F.col("vxr.ID") == F.col("item.NFEID"), "inner")
-    j = j.join(act, cond7, "left")
-    j = j.join(doc, F.col("act.DOCNUM") == F.col("doc.DOC_DOCNUM"), "left")
-    return j.select(
+    j = vxr.join(item, F.col("vxr.ID") == F.col("item.NFEID"), "inner").join(act, cond7, "left")
+    base = [
         F.col("act.PARID").alias("PARCEIRO"),
         F.col("act.ACT_BRANCH").alias("LOCAL"),
         F.col("act.CREDAT").alias("DT_CRIACAO"),
         F.col("act.DOCNUM").alias("DOCNUM"),
-        amount(F.col("doc.NTGEW")).alias("PESO_LIQUIDO"),
-        amount(F.col("doc.NFTOT")).alias("VLR_NF"),
-        F.col("doc.CRENAM").alias("CRENAM"),
+    ]
+    tail = [
         *vtin_columns("vxr."),
         F.col("item.NFITEM").alias("ITEM"),
         F.col("item.NCM").alias("NCM"),
         F.col("item.CFOP").alias("CFOP"),
         amount(F.col("item.QCOM")).alias("VTIN_QTDE"),
+    ]
+    no_doc_key = j.where(F.col("act.DOCNUM").isNull()).select(
+        *base,
+        F.lit(None).cast(AMOUNT).alias("PESO_LIQUIDO"),
+        F.lit(None).cast(AMOUNT).alias("VLR_NF"),
+        F.lit(None).cast("string").alias("CRENAM"),
+        *tail,
+    )
+    keyed = j.where(F.col("act.DOCNUM").isNotNull())
+    if open_only:
+        keyed = keyed.where(F.col("act.DOCNUM") == "")
+    doc = erp.nfdoc.select(F.col("DOCNUM").alias("DOC_DOCNUM"), "NTGEW", "NFTOT", "CRENAM").alias("doc")
+    with_doc = keyed.join(doc, F.col("act.DOCNUM") == F.col("doc.DOC_DOCNUM"), "left").select(
+        *base,
+        amount(F.col("doc.NTGEW")).alias("PESO_LIQUIDO"),
+        amount(F.col("doc.NFTOT")).alias("VLR_NF"),
+        F.col("doc.CRENAM").alias("CRENAM"),
+        *tail,
     )
+    return no_doc_key.unionByName(with_doc)

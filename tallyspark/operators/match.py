@@ -91,19 +91,37 @@ def ledger_hits(items: DataFrame, erp: ErpTables) -> DataFrame:
     ).drop("_id_key")
 
 
-def with_contracts(hits: DataFrame, erp: ErpTables) -> DataFrame:
+def with_contracts(hits: DataFrame, erp: ErpTables, contracts: DataFrame | None = None) -> DataFrame:
     """Attach the contract block (purchase block for purchase and value
-    processes, sales block for storage) on EBELN = ledger contract."""
-    needed = hits.select(F.col("ZMMT_CONTRATO").alias("EBELN")).distinct()
-    purchase = purchase_contract_block(erp, needed)
-    storage = storage_contract_block(erp, needed)
+    processes, sales block for storage) on EBELN = ledger contract.
+
+    Both blocks are unioned under a block tag and joined in one equi-join
+    on (tag, contract key), so the hits are read once.  ``contracts``
+    (column EBELN) restricts the blocks to the contracts the work items
+    name before their own joins; by default it is taken from the hits.
+    """
+    if contracts is None:
+        contracts = hits.select(F.col("ZMMT_CONTRATO").alias("EBELN")).distinct()
+    purchase = purchase_contract_block(erp, contracts)
     for c in STORAGE_ONLY_COLUMNS:
         purchase = purchase.withColumn(c, F.lit(None).cast("decimal(18,6)" if c == "CTR_QTD_PREVISTA" else "string"))
-    p_hits = hits.where(F.col("kind").isin(KIND_PURCHASE, KIND_VALUE))
-    s_hits = hits.where(F.col("kind") == KIND_STORAGE)
-    p = p_hits.join(purchase, p_hits["ZMMT_CONTRATO"] == purchase["EBELN"], "inner")
-    s = s_hits.join(storage, F.lpad(s_hits["ZMMT_CONTRATO"], 10, "0") == storage["EBELN"], "inner")
-    return p.unionByName(s.select(*p.columns))
+    storage = storage_contract_block(erp, contracts)
+    blocks = purchase.withColumn("_blk", F.lit(0)).unionByName(storage.withColumn("_blk", F.lit(1)))
+    is_storage = F.col("kind") == KIND_STORAGE
+    keyed = hits.select(
+        "*",
+        F.when(is_storage, F.lit(1)).otherwise(F.lit(0)).alias("_h_blk"),
+        F.when(is_storage, F.lpad(F.col("ZMMT_CONTRATO"), 10, "0")).otherwise(F.col("ZMMT_CONTRATO")).alias("_h_ctr"),
+    )
+    j = keyed.join(blocks, (keyed["_h_blk"] == blocks["_blk"]) & (keyed["_h_ctr"] == blocks["EBELN"]), "inner")
+    return j.drop("_h_blk", "_h_ctr", "_blk")
+
+
+def item_contracts(items: DataFrame) -> DataFrame:
+    """Contract keys the work items name (as the ledger and the blocks hold
+    them); restricting the blocks by these is exact, as hits only carry
+    ledger contracts equal to an item's key."""
+    return items.select(F.col("ctr_key").alias("EBELN")).distinct()
 
 
 def _value_keys(v: F.Column) -> F.Column:
@@ -139,7 +157,10 @@ def match_via_document(hc: DataFrame, erp: ErpTables, years: Sequence[int]) -> D
         ),
         "inner",
     )
-    act = active_nfe(erp).select(
+    # DOCNUM is blank on every row here, so only active NF-e rows with a
+    # blank DOCNUM can match: filter them first (normally none, so AQE
+    # broadcasts the side and the hits are not shuffled on a constant key)
+    act = active_nfe(erp).where(F.col("DOCNUM") == "").select(
         F.col("DOCNUM").alias("_act_docnum"),
         *[F.col(k).alias(f"_act_{k}") for k in ACTIVE_KEYS_5],
         F.col("PARID").alias("PARCEIRO"),
@@ -147,15 +168,13 @@ def match_via_document(hc: DataFrame, erp: ErpTables, years: Sequence[int]) -> D
         F.col("CREDAT").alias("DT_CRIACAO"),
     )
     j = j.join(act, j["DOCNUM"] == act["_act_docnum"], "left")
+    vxr_cols = ("MANSTA", "CODESTA", "ID", "LIFNR", "DATECR", "TIMECR", "D_EMI", "STCD1", "MODEL",
+                "BUKRS", "BRANCH", "NFNUM9", "SERIE", "CDV", "DOCNUM9", "AUTHCOD", "NFYEAR", "NFMONTH", "V_NF")
     vxr = erp.xml_rec.where(F.col("CODESTA") == "100").select(
         *[F.col(k).alias(f"_vxr_{k}") for k in ACTIVE_KEYS_5],
         F.col("ID").alias("_vxr_ID"),
-        *[F.col(c).alias(f"_v_{c}") for c in (
-            "MANSTA", "CODESTA", "ID", "LIFNR", "DATECR", "TIMECR", "D_EMI", "STCD1", "MODEL",
-            "BUKRS", "BRANCH", "NFNUM9", "SERIE", "CDV", "DOCNUM9", "AUTHCOD", "NFYEAR",
-            "NFMONTH", "V_NF")],
+        *[F.col(c).alias(f"_v_{c}") for c in vxr_cols],
     )
-    j = j.join(vxr, [j[f"_act_{k}"] == vxr[f"_vxr_{k}"] for k in ACTIVE_KEYS_5], "left")
     item = erp.nfeit.select(
         F.col("NFEID").alias("_nfeid"),
         F.col("NFITEM").alias("ITEM"),
@@ -163,7 +182,21 @@ def match_via_document(hc: DataFrame, erp: ErpTables, years: Sequence[int]) -> D
         "CFOP",
         amount("QCOM").alias("VTIN_QTDE"),
     )
-    j = j.join(item, j["_vxr_ID"] == item["_nfeid"], "left")
+    # rows without an active NF-e have NULL invoice keys: they skip the
+    # invoice joins (no NULL key is shuffled into a single partition)
+    linked = j.where(F.col("_act_docnum").isNotNull())
+    linked = linked.join(vxr, [linked[f"_act_{k}"] == vxr[f"_vxr_{k}"] for k in ACTIVE_KEYS_5], "left")
+    linked = linked.join(item, linked["_vxr_ID"] == item["_nfeid"], "left").drop(
+        *[f"_vxr_{k}" for k in ACTIVE_KEYS_5], "_vxr_ID", "_nfeid"
+    )
+    unlinked = j.where(F.col("_act_docnum").isNull())
+    for f in vxr.schema.fields:
+        if f.name.startswith("_v_"):
+            unlinked = unlinked.withColumn(f.name, F.lit(None).cast(f.dataType))
+    for f in item.schema.fields:
+        if f.name != "_nfeid":
+            unlinked = unlinked.withColumn(f.name, F.lit(None).cast(f.dataType))
+    j = linked.unionByName(unlinked)
     vnf = amount(F.col("_v_V_NF"))
     return j.select(
         *[c for c in hc.columns],
@@ -186,10 +219,9 @@ def match_via_document(hc: DataFrame, erp: ErpTables, years: Sequence[int]) -> D
 
 def open_invoices(erp: ErpTables, years: Sequence[int]) -> DataFrame:
     """Invoice block rows that can still be booked: emitted in one of the
-    years and without a fiscal document number (F5, F7), with join keys."""
-    inv = invoice_block(erp).where(
-        ymd_year_in("VTIN_DT_EMISSAO", years) & is_sql_blank("DOCNUM")
-    )
+    years and without a fiscal document number (F5, F7), with join keys.
+    Both conditions are applied before the block's own joins."""
+    inv = invoice_block(erp, open_only=True, years=years)
     return inv.select(
         "*",
         ltrim0(F.col("VTIN_CPF_CNPJ")).alias("_tax_key"),
@@ -268,10 +300,7 @@ def match_value_complement(
 
 def match_all(items: DataFrame, erp: ErpTables, years: Sequence[int], materialize: bool = False) -> DataFrame:
     """U1 over all routes and processes: one row per (work item, match)."""
-    hits = ledger_hits(items, erp)
-    if materialize:
-        hits = cut_lineage(hits, "ledger-hits")
-    hc = with_contracts(hits, erp)
+    hc = with_contracts(ledger_hits(items, erp), erp, item_contracts(items))
     inv = open_invoices(erp, years)
     if materialize:
         hc, inv = cut_lineage(hc, "contract-hits"), cut_lineage(inv, "open-invoices")

@@ -13,6 +13,7 @@ from tallyspark.functions.keys import is_blank, parse_ymd
 from tallyspark.operators.match import (
     ITEM_KEY,
     MATCH_COLUMNS,
+    item_contracts,
     ledger_hits,
     match_routes,
     open_invoices,
@@ -77,11 +78,7 @@ def prepare(items: DataFrame, erp: ErpTables, years: Sequence[int], materialize:
     (all items) and the open-invoice block.  Both feed several joins, so
     by default each is written once to the shared checkpoint folder (cuts
     the lineage: later stages and retries read the written rows)."""
-    hits = ledger_hits(items, erp)
-    if materialize:
-        # the hits feed the contract-key restriction and both contract joins
-        hits = cut_lineage(hits, "ledger-hits")
-    hc = with_contracts(hits, erp)
+    hc = with_contracts(ledger_hits(items, erp), erp, item_contracts(items))
     inv = open_invoices(erp, years)
     if materialize:
         hc, inv = cut_lineage(hc, "contract-hits"), cut_lineage(inv, "open-invoices")
@@ -101,24 +98,31 @@ def reconcile(
     N matches of an item -> N SUCESSO rows; none -> one SEM_RETORNO row;
     quarantined items -> one ERRO row.  Output is in the 84-column schema.
 
-    J14 is one LEFT join of the work items with the match rows (and the
-    quarantine messages) on the item key, so every item appears and the
-    matching runs once.
+    The match rows are written once; SUCESSO rows come from them directly
+    and the items without any match are an anti-join against the distinct
+    matched item keys.
     """
     items = expand_queues(queues, processes)
     hc_all, inv = prepare(items, erp, years, materialize)
     bad = quarantine(hc_all)
     hc = hc_all.join(bad.select(*ITEM_KEY), ITEM_KEY, "left_anti")
     matches = match_routes(hc, erp, years, inv)
-    erp_cols = [c for c in MATCH_COLUMNS if c in matches.columns]
-    rows = items.join(matches.select(*ITEM_KEY, *erp_cols), ITEM_KEY, "left").join(bad, ITEM_KEY, "left")
-    status = (
-        F.when(F.col("MENSAGEM_ERRO").isNotNull(), F.lit(ROW_ERRO))
-        .when(F.col("ORIGEM_MATCH").isNotNull(), F.lit(ROW_SUCESSO))
-        .otherwise(F.lit(ROW_SEM_RETORNO))
-    )
+    if materialize:
+        matches = cut_lineage(matches, "matches")
+    # SUCESSO rows come straight from the matches (they carry the item
+    # columns); items with no match are found against the *distinct*
+    # matched keys, so a hot item with many matches never lands in a
+    # single join task
+    matched_keys = matches.select(*ITEM_KEY).distinct()
+    missing = items.join(matched_keys, ITEM_KEY, "left_anti").join(bad.select(*ITEM_KEY), ITEM_KEY, "left_anti")
+    errors = items.join(bad, ITEM_KEY, "inner")
     ts = F.lit(run_ts).cast("timestamp") if run_ts is not None else F.lit(None).cast("timestamp")
-    return conform(rows.withColumn("STATUS_EXECUCAO", status)).withColumn("DATA_EXECUCAO", ts)
+    out = (
+        conform(matches.withColumn("STATUS_EXECUCAO", F.lit(ROW_SUCESSO)))
+        .unionByName(conform(missing.withColumn("STATUS_EXECUCAO", F.lit(ROW_SEM_RETORNO))))
+        .unionByName(conform(errors.withColumn("STATUS_EXECUCAO", F.lit(ROW_ERRO))))
+    )
+    return out.withColumn("DATA_EXECUCAO", ts)
 
 
 def eligible(df: DataFrame, mode: str = "reference") -> DataFrame:
