@@ -29,6 +29,7 @@ from tallyspark.functions.keys import (
     zfill10,
 )
 from tallyspark.operators.blocks import ACTIVE_KEYS_7, active_nfe
+from tallyspark.session import cut_lineage
 from tallyspark.sources.testdata import ErpTables
 
 # --- fixed values: audited queues, status, classes and their texts -----------
@@ -103,9 +104,14 @@ def _best(priority: int) -> Column:
     )
 
 
-def audit_booked(items: DataFrame, erp: ErpTables, year: int) -> DataFrame:
+def audit_booked(items: DataFrame, erp: ErpTables, year: int, materialize: bool = True) -> DataFrame:
     """C11: per item, expected quantity/value, tax ids, linked and matching
-    invoices, and the class."""
+    invoices, and the class.
+
+    The items feed the key lists and five joins, so by default they are
+    written once to the shared checkpoint folder and read back."""
+    if materialize:
+        items = cut_lineage(items, "audit-items")
     keys = _order_numbers(items)
 
     # expected amounts: first ledger row of (contract, cockpit); empty cockpit never matches
@@ -248,14 +254,13 @@ LIST_ORDER = ["ESCRITURADO", "PROCESSO", "PEDIDO", "COCKPIT"]
 
 def audit_distribution(detail: DataFrame) -> DataFrame:
     """G-A5 + G-A6: items, distinct orders, booked share and class counts per
-    process plus a TOTAL row (grouping sets: per process and overall)."""
+    process plus a TOTAL row, in one ``rollup`` over the detail."""
     aggs = [
         F.count(F.lit(1)).alias("itens"),
         F.countDistinct("doc_compra").alias("doc_compras"),
     ] + [F.count_if(F.col("classe") == c).alias(c.lower()) for c in CLASSES]
-    per = detail.groupBy("proc").agg(*aggs)
-    total = detail.agg(*aggs).select(F.lit("TOTAL").alias("proc"), "*")
-    out = per.unionByName(total)
+    out = detail.rollup("proc").agg(*aggs, F.grouping("proc").alias("_total"))
+    out = out.withColumn("proc", F.when(F.col("_total") == 1, F.lit("TOTAL")).otherwise(F.col("proc")))
     pct = F.bround(F.col("escriturado") * 100.0 / F.col("itens"), 0).cast("long")
     return out.select(
         "proc", "itens", "doc_compras", *[c.lower() for c in CLASSES],

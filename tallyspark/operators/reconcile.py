@@ -142,4 +142,7 @@ def eligible(df: DataFrame, mode: str = "reference") -> DataFrame:
     if mode != "reference":
         raise ValueError(f"unknown eligibility mode: {mode}")
     ok_procs = df.where(F.col("STATUS_EXECUCAO") == ROW_SUCESSO).select("PROCESS_NAME").distinct()
-    return df.where(blank).join(F.broadcast(ok_procs), "PROCESS_NAME", "left_semi").select(*df.columns)
+    # an inner join with the distinct (unique) names is the semi-join; a
+    # left_semi would be pushed into union branches where the name is a
+    # literal and lose its equi-key (nested-loop join)
+    return df.where(blank).join(F.broadcast(ok_procs), "PROCESS_NAME", "inner").select(*df.columns)

@@ -50,7 +50,7 @@ def _sources(spark: SparkSession, sf_dir: str):
 
 def _hc(spark: SparkSession, sf_dir: str, processes=DEFAULT_PROCESSES):
     queues, erp = _sources(spark, sf_dir)
-    hc_all, _ = prepare(expand_queues(queues, processes), erp, YEARS, materialize=False)
+    hc_all, _ = prepare(expand_queues(queues, processes), erp, YEARS, materialize=True)
     hc = hc_all.join(quarantine(hc_all).select(*ITEM_KEY), ITEM_KEY, "left_anti")
     return erp, hc
 

@@ -41,6 +41,17 @@ def test_tax_route_value_rule_is_a_join_key(spark, small_dir):
     assert "_val_key" in p and " OR " not in p.split("Join")[1][:400]
 
 
+def test_eligibility_and_upsert_plans_clean(spark, small_dir):
+    from tallyspark.operators.reconcile import eligible
+    from tallyspark.operators.upsert import dedup_last, upsert
+
+    q, erp = queue_tables(spark, small_dir), erp_tables(spark, small_dir)
+    rec = reconcile(q, erp, YEARS, materialize=False)
+    p = assert_clean(eligible(rec, "reference"))
+    assert "BroadcastHashJoin" in p
+    assert_clean(upsert(dedup_last(eligible(rec, "strict")), eligible(rec, "reference")))
+
+
 def test_audit_plan_clean(spark, small_dir):
     q, erp = queue_tables(spark, small_dir), erp_tables(spark, small_dir)
     assert_clean(audit_booked(audit_items(q), erp, 1998))
