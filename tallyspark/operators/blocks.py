@@ -30,10 +30,13 @@ def purchase_contract_block(erp: ErpTables, contracts: DataFrame | None = None)
     the work items need, before the partner join.
     """
     grain = erp.mara.where(F.col("SPART") == "01").select("MATNR")
-    grain_items = erp.ekpo.join(grain, "MATNR", "left_semi").select("MANDT", "EBELN")
+    items = erp.ekpo.select("MANDT", "EBELN", "MATNR")
     head = erp.ekko
     if contracts is not None:
+        # restrict the large item table by the (small) contract key list first
+        items = items.join(contracts, "EBELN", "left_semi")
         head = head.join(contracts, "EBELN", "left_semi")
+    grain_items = items.join(grain, "MATNR", "left_semi").select("MANDT", "EBELN")
     head = head.join(grain_items, ["EBELN", "MANDT"], "left_semi")
     block = head.join(erp.bp_fiscal, head["LIFNR"] == erp.bp_fiscal["PARTNER"], "inner").select(
         head["MANDT"].alias("CTR_MANDT"),
@@ -54,9 +57,12 @@ def storage_contract_block(erp: ErpTables, contracts: DataFrame | None = None) -
     tax id falls back from STCD1 to STCD2 when STCD1 is blank.  Keeps the
     item columns, so a contract fans out per item."""
     head = erp.vbak
+    items = erp.vbap
     if contracts is not None:
-        head = head.join(contracts.withColumnRenamed("EBELN", "VBELN"), "VBELN", "left_semi")
-    hi = head.join(erp.vbap, ["MANDT", "VBELN"], "inner")
+        keys = contracts.withColumnRenamed("EBELN", "VBELN")
+        head = head.join(keys, "VBELN", "left_semi")
+        items = items.join(keys, "VBELN", "left_semi")
+    hi = head.join(items, ["MANDT", "VBELN"], "inner")
     cust = erp.kna1.select(
         "MANDT", "KUNNR", F.col("NAME1"), F.col("STCD1"), F.col("STCD2")
     )
