@@ -282,16 +282,27 @@ def match_value_complement(
 ) -> DataFrame:
     """C4: value-complement items; tax id and rounded quantity, emission on
     or after the ledger date minus ``anchor_days`` (one-sided), no value rule
-    and no posting-document rule."""
+    and no posting-document rule.
+
+    The emission year is limited to ``years``, so each ledger row is fanned
+    out to the parameter years not before its anchor year (at most
+    ``len(years)`` rows) and the year joins the equi-key; only pairs in the
+    anchor's own year still need the exact date check.
+    """
     base = _tax_side(hc.where(F.col("kind") == KIND_VALUE)).withColumn(
         "_h_anchor", F.date_sub(parse_ymd("ZMMT_DATA"), anchor_days)
     )
+    year_list = F.array(*[F.lit(int(y)) for y in sorted(set(years))])
+    base = base.withColumn(
+        "_h_year", F.explode(F.filter(year_list, lambda y: y >= F.year(F.col("_h_anchor"))))
+    )
     inv = invoices if invoices is not None else open_invoices(erp, years)
-    inv = inv.withColumn("_emission", parse_ymd("VTIN_DT_EMISSAO"))
+    inv = inv.withColumn("_emission", parse_ymd("VTIN_DT_EMISSAO")).withColumn("_year", F.year("_emission"))
     j = base.join(
         inv,
         (base["_h_tax_key"] == inv["_tax_key"])
         & (base["_h_qty_key"] == inv["_qty_key"])
+        & (base["_h_year"] == inv["_year"])
         & (inv["_emission"] >= base["_h_anchor"]),
         "inner",
     )
