@@ -101,3 +101,19 @@ def empty_result(spark: SparkSession) -> DataFrame:
 
 def with_run_columns(df: DataFrame, run_ts) -> DataFrame:
     return df.withColumn("DATA_EXECUCAO", F.lit(run_ts).cast("timestamp"))
+
+
+def save_table(df: DataFrame, table: str, strategy: str = APPEND, schema=RESULT_SCHEMA) -> None:
+    """K4/K5/K7 for catalog tables: APPEND inserts (creating the table with
+    the fixed schema when absent), TRUNCATE overwrites the rows,
+    DROP_CREATE drops and recreates the table from the fixed schema."""
+    spark = df.sparkSession
+    out = conform(df, schema) if schema is not None else df
+    if strategy == DROP_CREATE:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if not spark.catalog.tableExists(table):
+        out.limit(0).write.saveAsTable(table)
+    if strategy == TRUNCATE:
+        out.write.mode("overwrite").insertInto(table, overwrite=True)
+    else:
+        out.write.insertInto(table)

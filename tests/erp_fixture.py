@@ -6,28 +6,10 @@ small DataFrame; pass a list of row tuples to replace a table.
 
 from __future__ import annotations
 
-from tallyspark.schemas import QUANTITY_QUEUE_SCHEMA, VALUE_QUEUE_SCHEMA
+from tallyspark.schemas import ERP_SCHEMAS, QUANTITY_QUEUE_SCHEMA, VALUE_QUEUE_SCHEMA
 from tallyspark.sources.testdata import ErpTables
 
-SCHEMAS = {
-    "zmmt0022": "MANDT string, ID string, CONTRATO string, DATA string, QTDE decimal(18,6), VALOR decimal(18,6), "
-    "MIRO_DATA string, MIRO_HORA string, MIRO_DOC string, MIRO_ANO string, TIPO string",
-    "ekko": "MANDT string, BUKRS string, EBELN string, KONNR string, LIFNR string",
-    "ekpo": "MANDT string, EBELN string, MATNR string",
-    "mara": "MATNR string, SPART string",
-    "bp_fiscal": "PARTNER string, NAME string, CPF_CNPJ string, IE string, NAME1_TEXT string",
-    "vbak": "MANDT string, VKORG string, VBELN string, KUNNR string, AUART string, VTWEG string, SPART string",
-    "vbap": "MANDT string, VBELN string, POSNR string, MATNR string, ARKTX string, KWMENG decimal(18,6), VRKME string",
-    "kna1": "MANDT string, KUNNR string, NAME1 string, STCD1 string, STCD2 string",
-    "xml_rec": "ID string, MANSTA string, CODESTA string, LIFNR string, DATECR string, TIMECR string, D_EMI string, "
-    "STCD1 string, MODEL string, BUKRS string, BRANCH string, NFNUM9 string, SERIE string, CDV string, "
-    "DOCNUM9 string, AUTHCOD string, NFYEAR string, NFMONTH string, V_NF decimal(18,6)",
-    "nfeit": "NFEID string, NFITEM string, NCM string, CFOP string, QCOM decimal(18,6), PONUMBER string",
-    "nfe_active": "NFYEAR string, NFMONTH string, STCD1 string, MODEL string, NFNUM9 string, DOCNUM9 string, "
-    "CDV string, DIRECT string, CANCEL string, PARID string, BRANCH string, CREDAT string, DOCNUM string",
-    "nfdoc": "DOCNUM string, BELNR string, GJAHR string, DIRECT string, NTGEW decimal(18,6), NFTOT decimal(18,6), "
-    "CRENAM string",
-}
+SCHEMAS = ERP_SCHEMAS
 
 FIXO = "V2_Consulta_Comp_CTRFIXO"
 ARMAZEN = "V2_Consulta_Comp_ARMAZEN"

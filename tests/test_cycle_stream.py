@@ -130,3 +130,33 @@ def test_audit_classes(spark):
     assert got[1].docnum == "3038001" and got[1].nf_casada == "000000001" and got[1].cpf == "00012345678"
     assert got[1].qexp == 7682.0 and got[1].vexp == 19205.0
     assert got[6].n_match_oficial == 0 and got[2].n_po_nfs == 1
+
+
+def test_read_erp_and_queues_from_paths(spark, tmp_out):
+    from tallyspark.schemas import ERP_SCHEMAS
+    from tallyspark.sources.readers import read_erp, read_queues
+
+    q, erp = fx.build(spark)
+    locs = {}
+    for name in ERP_SCHEMAS:
+        getattr(erp, name).write.parquet(f"{tmp_out}/erp/{name}")
+        locs[name] = f"{tmp_out}/erp/{name}"
+    q[fx.FIXO].write.parquet(f"{tmp_out}/q/fixo")
+    erp2 = read_erp(spark, locs)
+    q2 = read_queues(spark, {fx.FIXO: f"{tmp_out}/q/fixo"})
+    a = sorted(map(_key, reconcile(q, erp, [2026]).where(F.col("PROCESS_NAME") == fx.FIXO).collect()))
+    b = sorted(map(_key, reconcile(q2, erp2, [2026]).collect()))
+    assert a == b
+
+
+def test_save_table_strategies(spark):
+    from tallyspark.sinks.writers import save_table
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "ID long, PROCESS_NAME string")
+    name = "tallyspark_test_result"
+    save_table(df, name, "DROP_CREATE")
+    save_table(df, name, "APPEND")
+    assert spark.table(name).count() == 4
+    save_table(df, name, "TRUNCATE")
+    assert spark.table(name).count() == 2 and spark.table(name).columns == RESULT_COLUMNS
+    spark.sql(f"DROP TABLE {name}")
