@@ -30,12 +30,9 @@ from tallyspark.functions.keys import (
     parse_ymd,
     round_amount,
     text_year_in,
-    ymd_year_in,
 )
 from tallyspark.operators.blocks import (
     ACTIVE_KEYS_5,
-    PURCHASE_BLOCK_COLUMNS,
-    STORAGE_BLOCK_COLUMNS,
     active_nfe,
     invoice_block,
     purchase_contract_block,

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from tallyspark.functions.keys import is_blank, parse_ymd
 from tallyspark.operators.match import (
     ITEM_KEY,
-    MATCH_COLUMNS,
     item_contracts,
     ledger_hits,
     match_routes,
@@ -22,7 +21,6 @@ from tallyspark.operators.match import (
 from tallyspark.session import cut_lineage
 from tallyspark.operators.queues import expand_queues
 from tallyspark.schemas import (
-    RESULT_COLUMNS,
     RESULT_SCHEMA,
     ROW_ERRO,
     ROW_SEM_RETORNO,

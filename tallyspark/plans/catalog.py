@@ -389,7 +389,9 @@ def q_audit_distribution(spark, sf_dir):
 
 @register("audit_list", with_all_ctes(_AUDIT_LIST_SQL, audit_year=AUDIT_YEAR))
 def q_audit_list(spark, sf_dir):
-    return audit_list(_audit_detail(spark, sf_dir))
+    from tallyspark.operators.audit import LIST_ORDER
+
+    return audit_list(_audit_detail(spark, sf_dir)).orderBy(*LIST_ORDER)  # O2: the list's order
 
 
 @register(

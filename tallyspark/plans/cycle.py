@@ -65,3 +65,32 @@ def run_cycle(
     per = process_summary(batch, registry_frame(spark, processes))
     totals = run_status(per, started, _dt.datetime.now())
     return CycleResult(batch_path, target_paths, batch, per, totals, digest(per, totals, None))
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Run one cycle over the test tables (or any folder with the same
+    tables) and print the run totals and the digest."""
+    import argparse
+    import json
+
+    from tallyspark.session import build_session
+    from tallyspark.sources.registry import parse_years
+    from tallyspark.sources.testdata import erp_tables, queue_tables
+
+    ap = argparse.ArgumentParser(prog="python -m tallyspark.plans.cycle")
+    ap.add_argument("--sf-dir", default="/root/testdata/sf0.01")
+    ap.add_argument("--out", required=True, help="cycle output folder (shared storage on a cluster)")
+    ap.add_argument("--years", default="1996,1997,1998,1999,2000")
+    ap.add_argument("--mode", default="reference", choices=["reference", "strict"])
+    ap.add_argument("--master", default=None, help="only for local runs; a cluster session is used as is")
+    args = ap.parse_args(argv)
+    spark = build_session(master=args.master) if args.master else SparkSession.builder.getOrCreate()
+    res = run_cycle(spark, queue_tables(spark, args.sf_dir), erp_tables(spark, args.sf_dir),
+                    parse_years(args.years), args.out, mode=args.mode)
+    print(json.dumps(res.totals.first().asDict(), default=str))
+    for row in res.digest.orderBy("ordinal").collect():  # at most one line per registered process
+        print(f"{row.process}: {row.status} - {row.line}")
+
+
+if __name__ == "__main__":
+    main()
