@@ -506,3 +506,26 @@ def q_guard_active(spark, sf_dir):
 )
 def q_pick_runner(spark, sf_dir):
     return pick_runner(activity_table(spark, sf_dir), RUNNER_CANDIDATES)
+
+
+# --- ST1: the cycle as a stream over landed queue files ------------------------------------
+STREAM_PROCESS = "V2_Consulta_Comp_CTRFIXO"
+
+
+@register(
+    "stream_cycle",
+    with_ctes(dedup_sql(f"(SELECT * FROM ({_ELIG_REF_SQL}) e WHERE PROCESS_NAME = '{STREAM_PROCESS}')",
+                        RESULT_NO_CLOCK)),
+)
+def q_stream_cycle(spark, sf_dir):
+    import uuid
+
+    from tallyspark.session import checkpoint_dir
+    from tallyspark.sources.registry import get_process
+    from tallyspark.streaming.queue_stream import run_available
+
+    queues, erp = _sources(spark, sf_dir)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/stream-cycle-{uuid.uuid4().hex}"
+    process = get_process(STREAM_PROCESS)
+    out = run_available(spark, queues[STREAM_PROCESS], process, erp, YEARS, root, files=2)
+    return out.drop("DATA_EXECUCAO")

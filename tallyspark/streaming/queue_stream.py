@@ -63,3 +63,30 @@ def start_queue_stream(spark: SparkSession, queue_dir: str, process: ProcessDef,
         .trigger(availableNow=True)
         .start()
     )
+
+
+def run_available(spark: SparkSession, queue_rows: DataFrame, process: ProcessDef, erp: ErpTables,
+                  years: Sequence[int], root: str, files: int = 2) -> DataFrame:
+    """Land ``queue_rows`` as ``files`` parquet files, drain them with the
+    stream one file per micro-batch, and return the last result version."""
+    queue_dir = f"{root.rstrip('/')}/queue"
+    queue_rows.repartition(files).write.mode("error").parquet(queue_dir)
+    schema = VALUE_QUEUE_SCHEMA if process.kind == KIND_VALUE else QUANTITY_QUEUE_SCHEMA
+    out_root = f"{root.rstrip('/')}/result"
+    epochs: list[int] = []
+
+    def on_batch(df: DataFrame, epoch_id: int) -> None:
+        merge_epoch(df.sparkSession, df, int(epoch_id), process, erp, years, out_root)
+        epochs.append(int(epoch_id))
+
+    sq = (
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(queue_dir)
+        .writeStream.foreachBatch(on_batch)
+        .option("checkpointLocation", f"{root.rstrip('/')}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    sq.awaitTermination()
+    if not epochs:
+        return spark.createDataFrame([], RESULT_SCHEMA)
+    return spark.read.schema(RESULT_SCHEMA).parquet(version_path(out_root, max(epochs)))
