@@ -272,8 +272,9 @@ LEFT JOIN (SELECT PROCESS_NAME, count(*) AS n, count_if(STATUS_EXECUCAO = 'SUCES
     count_if({_BLANK_DOCNUM}) AS blank, count_if(STATUS_EXECUCAO = 'SEM_RETORNO') AS pend,
     count_if(STATUS_EXECUCAO = 'ERRO') AS err
   FROM reconciled GROUP BY PROCESS_NAME) a ON a.PROCESS_NAME = reg.PROCESS_NAME"""
-_TOTALS_SQL = """SELECT count(*) AS total_processos, count_if(status = 'SUCESSO') AS processos_sucesso,
-  count_if(status = 'SEM_DADOS') AS processos_sem_dados, count_if(status = 'ERRO') AS processos_erro,
+_TOTALS_SQL = """SELECT count(*) AS total_processos, CAST(count_if(status = 'SUCESSO') AS BIGINT) AS processos_sucesso,
+  CAST(count_if(status = 'SEM_DADOS') AS BIGINT) AS processos_sem_dados,
+  CAST(count_if(status = 'ERRO') AS BIGINT) AS processos_erro,
   CAST(COALESCE(sum(rows_processed), 0) AS BIGINT) AS total_linhas_processadas,
   CAST(COALESCE(sum(rows_aptas), 0) AS BIGINT) AS total_notas_aptas,
   CAST(COALESCE(sum(rows_pendentes), 0) AS BIGINT) AS total_notas_pendentes FROM per_process"""
@@ -368,7 +369,7 @@ def q_audit_items(spark, sf_dir):
 
 
 _CLASS_COUNTS = ", ".join(
-    f"count_if(classe = '{c}') AS {c.lower()}"
+    f"CAST(count_if(classe = '{c}') AS BIGINT) AS {c.lower()}"
     for c in ["ESCRITURADO", "LIGADO_SEM_DOCNUM", "NF_DIVERGE", "SEM_NF_DO_CPF", "SEM_CPF", "SEM_ZMMT_COCKPIT"]
 )
 
@@ -397,7 +398,8 @@ def q_audit_list(spark, sf_dir):
 @register(
     "audit_flags",
     with_all_ctes(
-        "SELECT count_if(ESCRITURADO = 'SIM') AS sim, count_if(ESCRITURADO = 'NAO') AS nao, count(*) AS linhas "
+        "SELECT CAST(count_if(ESCRITURADO = 'SIM') AS BIGINT) AS sim, CAST(count_if(ESCRITURADO = 'NAO') AS BIGINT) AS nao, "
+        "count(*) AS linhas "
         f"FROM ({_AUDIT_LIST_SQL}) l",
         audit_year=AUDIT_YEAR,
     ),
@@ -435,7 +437,7 @@ _BUCKET_SQL = f"""CASE WHEN status IS NULL OR status = '' THEN 'OTHER'
   WHEN upper(status) IN ({_in(WAITING_STATUSES)}) THEN 'WAITING'
   WHEN upper(status) IN ({_in(FAILED_STATUSES)}) THEN 'FAILED'
   WHEN upper(status) IN ({_in(COMPLETED_STATUSES)}) THEN 'COMPLETED' ELSE 'OTHER' END"""
-_BUCKET_AGGS = ", ".join(f"count_if(b = '{k}') AS {k}" for k in ["RUNNING", "WAITING", "FAILED", "COMPLETED", "OTHER"])
+_BUCKET_AGGS = ", ".join(f"CAST(count_if(b = '{k}') AS BIGINT) AS {k}" for k in ["RUNNING", "WAITING", "FAILED", "COMPLETED", "OTHER"])
 
 
 @register(

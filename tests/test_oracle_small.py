@@ -29,6 +29,7 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, small_dir, name):
     r = compare(spark, name, entry.queries()[name], entry.oracle_sql()[name], small_dir, con)
     assert r["cols_match"], r
+    assert r["types_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["hash_match"], r
 
