@@ -31,8 +31,13 @@ def save_strategy(drop_and_create: bool, truncate_before_insert: bool) -> str:
 
 
 def export_batch(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """K1: the full batch (all statuses), one folder per process."""
-    df.write.mode("overwrite").partitionBy("PROCESS_NAME").format(fmt).option("header", "true").save(path)
+    """K1 + O1: the full batch (all statuses), one folder per process, rows
+    in queue order inside each file (a sort within partitions: the
+    partitioned writer sorts by process anyway; no global sort)."""
+    (
+        df.sortWithinPartitions("PROCESS_NAME", "ID")
+        .write.mode("overwrite").partitionBy("PROCESS_NAME").format(fmt).option("header", "true").save(path)
+    )
 
 
 def write_list_csv(listing: DataFrame, path: str, order: Sequence[str]) -> None:
