@@ -22,6 +22,7 @@ from tallyspark.operators.reconcile import eligible, reconcile
 from tallyspark.operators.summary import digest, process_summary, run_status
 from tallyspark.operators.upsert import dedup_last
 from tallyspark.schemas import RESULT_COLUMNS, RESULT_SCHEMA
+from tallyspark.session import stage_scope
 from tallyspark.sinks.writers import export_batch, save_to_targets, TRUNCATE
 from tallyspark.sources.registry import DEFAULT_PROCESSES, ProcessDef, registry_frame
 from tallyspark.sources.testdata import ErpTables
@@ -54,7 +55,9 @@ def run_cycle(
     root = out_root.rstrip("/")
 
     batch_path = f"{root}/batch"
-    export_batch(reconcile(queues, erp, years, processes, run_ts), batch_path)
+    # the reconcile's intermediate tables only feed the batch export
+    with stage_scope(spark, "cycle"):
+        export_batch(reconcile(queues, erp, years, processes, run_ts), batch_path)
     batch = spark.read.schema(RESULT_SCHEMA).parquet(batch_path).select(*RESULT_COLUMNS)
 
     # the cycle truncates its targets and loads the eligible rows keyed:

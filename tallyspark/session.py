@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,6 +72,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+SCOPE_KEY = "tallyspark.stage.scope"
+
+
+@contextmanager
+def stage_scope(spark: SparkSession, name: str = "stage", keep: bool = False):
+    """Intermediate tables written by :func:`cut_lineage` inside the block go
+    to one folder under the checkpoint folder; it is removed at the end
+    unless ``keep`` (use it around work whose results are written out, as
+    the cycle does; lazy frames returned out of the block must not depend
+    on the stage tables)."""
+    scope = f"{name}-{uuid.uuid4().hex}"
+    previous = spark.conf.get(SCOPE_KEY, None)
+    spark.conf.set(SCOPE_KEY, scope)
+    try:
+        yield scope
+    finally:
+        if previous is None:
+            spark.conf.unset(SCOPE_KEY)
+        else:
+            spark.conf.set(SCOPE_KEY, previous)
+        if not keep:
+            folder = f"{checkpoint_dir(spark).rstrip('/')}/tables/{scope}"
+            jpath = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+            if fs.exists(jpath):
+                fs.delete(jpath, True)
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write the frame once as a parquet table under the shared checkpoint
     folder and read it back.
@@ -82,6 +111,8 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     root = checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/tables/{name}-{uuid.uuid4().hex}"
+    scope = spark.conf.get(SCOPE_KEY, None)
+    base = f"{root}/tables/{scope}" if scope else f"{root}/tables"
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -160,3 +160,16 @@ def test_save_table_strategies(spark):
     save_table(df, name, "TRUNCATE")
     assert spark.table(name).count() == 2 and spark.table(name).columns == RESULT_COLUMNS
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_stage_scope_removes_its_tables(spark):
+    from tallyspark.session import checkpoint_dir, cut_lineage, stage_scope
+
+    df = spark.range(10)
+    with stage_scope(spark, "t") as scope:
+        staged = cut_lineage(df, "x")
+        assert staged.count() == 10
+        folder = f"{checkpoint_dir(spark)}/tables/{scope}"
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
+    assert spark.conf.get("tallyspark.stage.scope", None) is None
