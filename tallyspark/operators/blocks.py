@@ -13,15 +13,6 @@ from tallyspark.functions.keys import amount, round_amount, ymd_year_in
 from tallyspark.schemas import AMOUNT
 from tallyspark.sources.testdata import ErpTables
 
-PURCHASE_BLOCK_COLUMNS = [
-    "CTR_MANDT", "BUKRS", "EBELN", "KONNR", "LIFNR", "NAME", "CPF_CNPJ", "IE", "NAME1_TEXT",
-]
-STORAGE_BLOCK_COLUMNS = PURCHASE_BLOCK_COLUMNS + [
-    "TIPO_DOCUMENTO", "CANAL_DISTRIBUICAO", "DIVISAO", "ITEM_CONTRATO",
-    "CTR_MATERIAL", "CTR_DESCRICAO_ITEM", "CTR_QTD_PREVISTA", "CTR_UM",
-]
-
-
 def purchase_contract_block(erp: ErpTables, contracts: DataFrame | None = None) -> DataFrame:
     """Purchase header x partner tax ids, for headers having at least one
     item of grain material (SPART '01'); DISTINCT without item columns.

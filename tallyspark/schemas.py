@@ -224,14 +224,6 @@ ACTIVITY_SCHEMA = T.StructType(
 )
 
 
-def result_type(name: str) -> T.DataType:
-    """Declared type of a result column; unknown columns are TEXT."""
-    for n, t in RESULT_DDL:
-        if n == name:
-            return t
-    return TEXT
-
-
 # --- fixed values: ERP source tables (columns the matching reads) -----------------
 ERP_SCHEMAS = {
     "zmmt0022": "MANDT string, ID string, CONTRATO string, DATA string, QTDE decimal(18,6), VALOR decimal(18,6), "

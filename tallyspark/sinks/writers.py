@@ -12,7 +12,6 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyspark.operators.reconcile import conform
 from tallyspark.operators.upsert import upsert
@@ -100,14 +99,6 @@ def upsert_path(spark: SparkSession, target_path: str | None, batch: DataFrame,
     return new_path
 
 
-def empty_result(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], RESULT_SCHEMA)
-
-
-def with_run_columns(df: DataFrame, run_ts) -> DataFrame:
-    return df.withColumn("DATA_EXECUCAO", F.lit(run_ts).cast("timestamp"))
-
-
 def save_table(df: DataFrame, table: str, strategy: str = APPEND, schema=RESULT_SCHEMA) -> None:
     """K4/K5/K7 for catalog tables: APPEND inserts (creating the table with
     the fixed schema when absent), TRUNCATE overwrites the rows,
