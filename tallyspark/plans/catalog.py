@@ -44,8 +44,17 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+_SOURCE_PLANS: dict[tuple[str, int, str], tuple] = {}
+
+
 def _sources(spark: SparkSession, sf_dir: str):
-    return queue_tables(spark, sf_dir), erp_tables(spark, sf_dir)
+    """The derived queue / ERP views of a folder.  They are lazy plan
+    definitions (no data), built once per session and folder: every query
+    still reads and processes the tables itself."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
+    if key not in _SOURCE_PLANS:
+        _SOURCE_PLANS[key] = (queue_tables(spark, sf_dir), erp_tables(spark, sf_dir))
+    return _SOURCE_PLANS[key]
 
 
 def _hc(spark: SparkSession, sf_dir: str, processes=DEFAULT_PROCESSES):
