@@ -100,8 +100,10 @@ def with_contracts(hits: DataFrame, erp: ErpTables, contracts: DataFrame | None
     if contracts is None:
         contracts = hits.select(F.col("ZMMT_CONTRATO").alias("EBELN")).distinct()
     purchase = purchase_contract_block(erp, contracts)
-    for c in STORAGE_ONLY_COLUMNS:
-        purchase = purchase.withColumn(c, F.lit(None).cast("decimal(18,6)" if c == "CTR_QTD_PREVISTA" else "string"))
+    purchase = purchase.select(
+        "*",
+        *[F.lit(None).cast("decimal(18,6)" if c == "CTR_QTD_PREVISTA" else "string").alias(c) for c in STORAGE_ONLY_COLUMNS],
+    )
     storage = storage_contract_block(erp, contracts)
     blocks = purchase.withColumn("_blk", F.lit(0)).unionByName(storage.withColumn("_blk", F.lit(1)))
     is_storage = F.col("kind") == KIND_STORAGE
@@ -186,13 +188,12 @@ def match_via_document(hc: DataFrame, erp: ErpTables, years: Sequence[int]) -> D
     linked = linked.join(item, linked["_vxr_ID"] == item["_nfeid"], "left").drop(
         *[f"_vxr_{k}" for k in ACTIVE_KEYS_5], "_vxr_ID", "_nfeid"
     )
-    unlinked = j.where(F.col("_act_docnum").isNull())
-    for f in vxr.schema.fields:
-        if f.name.startswith("_v_"):
-            unlinked = unlinked.withColumn(f.name, F.lit(None).cast(f.dataType))
-    for f in item.schema.fields:
-        if f.name != "_nfeid":
-            unlinked = unlinked.withColumn(f.name, F.lit(None).cast(f.dataType))
+    null_cols = [f for f in vxr.schema.fields if f.name.startswith("_v_")] + [
+        f for f in item.schema.fields if f.name != "_nfeid"
+    ]
+    unlinked = j.where(F.col("_act_docnum").isNull()).select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in null_cols]
+    )
     j = linked.unionByName(unlinked)
     vnf = amount(F.col("_v_V_NF"))
     return j.select(

@@ -36,8 +36,9 @@ def scan_queue(raw: DataFrame, process: ProcessDef) -> DataFrame:
     df = raw
     if process.kind == KIND_VALUE:
         df = df.select(*[F.col(c).alias(VALUE_QUEUE_RENAMES.get(c, c)) for c in df.columns])
-        for c in ("chave_acesso", "data_processamento", "hora_processamento"):
-            df = df.withColumn(c, F.lit(None).cast("string"))
+        df = df.select(
+            "*", *[F.lit(None).cast("string").alias(c) for c in ("chave_acesso", "data_processamento", "hora_processamento")]
+        )
     df = df.where(F.col("status").isin(*process.statuses))
     df = df.select(
         "*",

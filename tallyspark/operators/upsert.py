@@ -105,16 +105,16 @@ def evolve(target: DataFrame, batch: DataFrame, keep_batch_columns: bool = False
     """K9: add to the target every batch column it lacks (typed NULL) and
     the reverse for the batch, never dropping a column.  Returns both frames
     (the batch keeps only its own columns when ``keep_batch_columns``)."""
-    t_names = {c.upper(): c for c in target.columns}
-    for f in batch.schema.fields:
-        if f.name.upper() not in t_names:
-            target = target.withColumn(f.name, F.lit(None).cast(f.dataType))
+    t_names = {c.upper() for c in target.columns}
+    target = target.select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in batch.schema.fields if f.name.upper() not in t_names]
+    )
     if keep_batch_columns:
         return target, batch
     b_names = {c.upper() for c in batch.columns}
-    for f in target.schema.fields:
-        if f.name.upper() not in b_names:
-            batch = batch.withColumn(f.name, F.lit(None).cast(f.dataType))
+    batch = batch.select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields if f.name.upper() not in b_names]
+    )
     return target, batch.select(*target.columns)
 
 
