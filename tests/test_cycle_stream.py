@@ -173,3 +173,20 @@ def test_stage_scope_removes_its_tables(spark):
         assert os.path.isdir(folder)
     assert not os.path.exists(folder)
     assert spark.conf.get("tallyspark.stage.scope", None) is None
+
+
+def test_jdbc_options_split_the_read():
+    from tallyspark.sources.readers import jdbc_options
+
+    o = jdbc_options("jdbc:postgresql://db/x", "prod.fila", partition_column="id", lower=1, upper=1000,
+                     num_partitions=16)
+    assert o["partitionColumn"] == "id" and o["numPartitions"] == "16" and o["lowerBound"] == "1"
+    assert "partitionColumn" not in jdbc_options("jdbc:postgresql://db/x", "prod.fila")
+
+
+def test_cycle_cli(spark, small_dir, tmp_out, capsys):
+    from tallyspark.plans.cycle import main
+
+    main(["--sf-dir", small_dir, "--out", f"{tmp_out}/cli"])
+    out = capsys.readouterr().out
+    assert '"status": "SUCESSO"' in out and "CTRFIXO: SUCESSO" in out
