@@ -154,3 +154,18 @@ def find_items(docs: DataFrame, benchmark: DataFrame, share: float = ERROR_SHARE
         got = docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
         out, first = (got if first else out.union(got)), False
     return out
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, share: float = ERROR_SHARE, limit: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs`` in which no item is found, all columns."""
+    for block in item_blocks(benchmark, limit):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches, shared=shared):
+            matcher = Matcher(shared.value, share)
+            for b in batches:
+                clean = [not (t and matcher.find(normalise(t))) for t in b.column("text").to_pylist()]
+                yield b.filter(pa.array(clean, pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

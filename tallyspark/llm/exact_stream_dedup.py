@@ -24,7 +24,12 @@ from pyspark.sql import functions as F
 from tallyspark.llm.common import Stages, text_or_empty
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# RocksDB on disk, small uploads, and no space set aside per state partition.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def digest_state(stream: DataFrame) -> DataFrame:
@@ -46,8 +51,9 @@ def run_state(rows: DataFrame, stages: Stages) -> DataFrame:
     def keep(batch: DataFrame, epoch: int) -> None:
         batch.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{stages.path('state')}/e{epoch}")
 
-    previous = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    previous = {name: spark.conf.get(name, None) for name in STATE_CONF}
+    for name, value in STATE_CONF.items():
+        spark.conf.set(name, value)
     try:
         query = (
             digest_state(stream)
@@ -59,7 +65,8 @@ def run_state(rows: DataFrame, stages: Stages) -> DataFrame:
         )
         query.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, previous) if previous else spark.conf.unset(PROVIDER)
+        for name, value in previous.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     kinds = "digest binary, keep_id long, copies long, locator long, epoch int"
     epochs = (query.lastProgress or {}).get("batchId", -1)
     if epochs < 0 or rows.sparkSession.read.parquet(stages.path("digests")).isEmpty():
@@ -122,3 +129,11 @@ SELECT doc_id,
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents
 """
+
+
+def keep_latest(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, one per text, with all columns."""
+    judged = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("keep"), F.unhex("text_sha256").alias("sha")).distinct()
+    rows = docs.withColumn("__sha", F.unhex(F.sha2(text_or_empty(), 256)))
+    same = (F.col("__sha") == F.col("sha")) & F.col("doc_id").eqNullSafe(F.col("keep"))
+    return rows.join(judged, same, "left_semi").dropDuplicates(["doc_id", "__sha"]).select(docs.columns)

@@ -347,6 +347,12 @@ def near_duplicates(docs: DataFrame, stages: Stages | None = None, leaf: int = L
     )
 
 
+def keep_representatives(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id stands for its group, all columns."""
+    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("keep")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("keep")), "left_semi")
+
+
 def miss_probability(percent: int = PERCENT) -> float:
     """Chance that a pair at the threshold differs in more than MAX_DIFF slots."""
     p = 1 - percent / 100

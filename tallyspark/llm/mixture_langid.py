@@ -103,23 +103,28 @@ def infer(counts: np.ndarray, model: np.ndarray) -> tuple[list[int], np.ndarray]
     return keep, share
 
 
+def judge(texts: pa.Array, langs: list[str], model: np.ndarray) -> tuple[list, list, list]:
+    """Predicted language, its share and the mixture of each text."""
+    data, offs = flat_bytes(texts)
+    pred, score, mix = [], [], []
+    for i, t in enumerate(texts.to_pylist()):
+        if not langs or t is None or not any(map(str.isalpha, t)):
+            pred.append("und"), score.append(0.0), mix.append([])
+            continue
+        keep, share = infer(np.bincount(grams(data[offs[i] : offs[i + 1]]), minlength=BUCKETS), model)
+        top = int(np.argmax(share))
+        pred.append(langs[keep[top]])
+        score.append(min(1.0, float(share[top])))
+        mix.append([{"lang": langs[k], "share": float(s)} for k, s in zip(keep, share, strict=True)])
+    return pred, score, mix
+
+
 def predict(docs: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
     """lang_pred, score (share of that language) and the inferred mixture."""
 
     def run(batches):
         for b in batches:
-            texts = b.column("text")
-            data, offs = flat_bytes(texts)
-            pred, score, mix = [], [], []
-            for i, t in enumerate(texts.to_pylist()):
-                if not langs or t is None or not any(map(str.isalpha, t)):
-                    pred.append("und"), score.append(0.0), mix.append([])
-                    continue
-                keep, share = infer(np.bincount(grams(data[offs[i] : offs[i + 1]]), minlength=BUCKETS), model)
-                top = int(np.argmax(share))
-                pred.append(langs[keep[top]])
-                score.append(min(1.0, float(share[top])))
-                mix.append([{"lang": langs[k], "share": float(s)} for k, s in zip(keep, share, strict=True)])
+            pred, score, mix = judge(b.column("text"), langs, model)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(mix, LANGS_T)],
                 names=["doc_id", "lang_pred", "score", "languages"],
@@ -132,3 +137,15 @@ def identify(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     langs, model = train(docs, max_train)
     got = predict(docs, langs, model)
     return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "languages")
+
+
+def keep_identified(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
+    """The rows of ``docs`` whose language is not ``und``, all columns."""
+    langs, model = train(docs, max_train)
+
+    def run(batches):
+        for b in batches:
+            pred, _, _ = judge(b.column("text"), langs, model)
+            yield b.filter(pa.array([p != "und" for p in pred], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

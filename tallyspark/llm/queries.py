@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import bench_decontam, exact_stream_dedup, hamming_dedup, license_scan, mixture_langid, url_cascade
+import corpus_pipeline
+from tallyspark.llm import (
+    bench_decontam,
+    crf_extract,
+    exact_stream_dedup,
+    feistel_pii,
+    hamming_dedup,
+    license_scan,
+    mixture_langid,
+    sp_sampling,
+    suffix_dedup,
+    url_cascade,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,10 +35,26 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_cascade.judge_urls(_table(spark, sf_dir, "pages"))
 
 
+def op4_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feistel_pii.pseudonymise(_table(spark, sf_dir, "documents"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op7_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp_sampling.sample_segmentations(_table(spark, sf_dir, "documents"))
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf_extract.extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bench_decontam.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -35,9 +63,25 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture_langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 LLM_QUERIES = {
     f.__name__: f
-    for f in (op1_license_scan, op2_exact_dedup, op3_url_filter, op5_near_dedup, op9_decontamination, op10_language_id)
+    for f in (
+        op1_license_scan,
+        op2_exact_dedup,
+        op3_url_filter,
+        op4_pii_pseudonyms,
+        op5_near_dedup,
+        op6_suffix_dedup,
+        op7_sentencepiece_sampling,
+        op8_html_extraction,
+        op9_decontamination,
+        op10_language_id,
+        pipeline,
+    )
 }
 
 LLM_ORACLE = {"op2_exact_dedup": exact_stream_dedup.ORACLE, "op3_url_filter": url_cascade.ORACLE}
