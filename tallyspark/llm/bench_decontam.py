@@ -47,7 +47,7 @@ def myers(pattern: str, text: str, most: int) -> tuple[int, int] | None:
     for i, c in enumerate(pattern):
         peq[c] = peq.get(c, 0) | 1 << i
     full, top = (1 << m) - 1, 1 << (m - 1)
-    pv, mv, score, best, end = full, 0, m, m + 1, -1
+    pv, mv, score, best, end = full, 0, m, m, 0
     for j, c in enumerate(text):
         eq = peq.get(c, 0)
         xv = eq | mv

@@ -244,9 +244,10 @@ def merge_shards(singles: DataFrame) -> DataFrame:
     sorted digests by binary search."""
 
     def run(batches):
-        rows = pa.Table.from_batches(list(batches), schema=pa.schema([(c, pa.int64()) for c in SHARD_NAMES]))
-        if not rows.num_rows:
+        got = [b for b in batches if b.num_rows]
+        if not got:
             return
+        rows = pa.Table.from_batches(got)
         d = rows.column("digest").to_numpy()
         s = np.sort(d)
         many = np.searchsorted(s, d, "right") - np.searchsorted(s, d, "left") > 1
