@@ -54,8 +54,10 @@ def department(path: Column) -> Column:
 
 
 def clamp_pct(c: Column) -> Column:
-    """SF14: percentage rounded to one place (half-even) and held in [0, 100]."""
-    return F.least(F.greatest(F.bround(c.cast("double"), 1), F.lit(0.0)), F.lit(100.0))
+    """SF14: percentage rounded to one place (half-even) and held in [0, 100];
+    NULL stays NULL (``least`` and ``greatest`` skip NULLs)."""
+    held = F.least(F.greatest(F.bround(c.cast("double"), 1), F.lit(0.0)), F.lit(100.0))
+    return F.when(c.isNotNull(), held)
 
 
 def bucket_counts(activities: DataFrame, by: Sequence[str] = ("fileId",)) -> DataFrame:
@@ -66,7 +68,7 @@ def bucket_counts(activities: DataFrame, by: Sequence[str] = ("fileId",)) -> Dat
     per = activities.groupBy(*by).agg(*aggs)
     overall = activities.agg(*aggs).select(*[F.lit("ALL").alias(c) for c in by], *BUCKETS, "TOTAL")
     out = per.unionByName(overall)
-    return out.withColumn("pct_completed", clamp_pct(F.col("COMPLETED") * 100.0 / F.col("TOTAL")))
+    return out.withColumn("pct_completed", clamp_pct(F.coalesce(F.try_divide(F.col("COMPLETED") * 100.0, F.col("TOTAL")), F.lit(0.0))))
 
 
 def department_counts(activities: DataFrame) -> DataFrame:

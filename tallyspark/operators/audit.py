@@ -16,7 +16,7 @@ invoices with all its items.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,8 +72,9 @@ def audit_items(queues: Mapping[str, DataFrame], procs: Mapping[str, str] = AUDI
 
 def _order_numbers(items: DataFrame) -> DataFrame:
     """Order numbers as fetched: raw and zero-filled to 10 (one column k)."""
-    return items.select(F.col("doc_compra").alias("k")).unionByName(
-        items.select(zfill10(F.col("doc_compra")).alias("k"))
+    known = items.where(F.col("doc_compra") != "")  # an item without an order has no key and links to nothing
+    return known.select(F.col("doc_compra").alias("k")).unionByName(
+        known.select(zfill10(F.col("doc_compra")).alias("k"))
     ).distinct()
 
 
@@ -252,7 +253,7 @@ def audit_list(detail: DataFrame) -> DataFrame:
 LIST_ORDER = ["ESCRITURADO", "PROCESSO", "PEDIDO", "COCKPIT"]
 
 
-def audit_distribution(detail: DataFrame) -> DataFrame:
+def audit_distribution(detail: DataFrame, procs: Sequence[str] = tuple(AUDIT_PROCS)) -> DataFrame:
     """G-A5 + G-A6: items, distinct orders, booked share and class counts per
     process plus a TOTAL row, in one ``rollup`` over the detail."""
     aggs = [
@@ -260,10 +261,14 @@ def audit_distribution(detail: DataFrame) -> DataFrame:
         F.countDistinct("doc_compra").alias("doc_compras"),
     ] + [F.count_if(F.col("classe") == c).alias(c.lower()) for c in CLASSES]
     out = detail.rollup("proc").agg(*aggs, F.grouping("proc").alias("_total"))
-    out = out.withColumn("proc", F.when(F.col("_total") == 1, F.lit("TOTAL")).otherwise(F.col("proc")))
-    pct = F.bround(F.col("escriturado") * 100.0 / F.col("itens"), 0).cast("long")
+    out = out.withColumn("proc", F.when(F.col("_total") == 1, F.lit("TOTAL")).otherwise(F.col("proc"))).drop("_total")
+    counts = ["itens", "doc_compras", *[c.lower() for c in CLASSES]]
+    # every process and the total have a row, also without items
+    labels = detail.sparkSession.createDataFrame([(p,) for p in [*procs, "TOTAL"]], "proc string")
+    out = labels.join(out, "proc", "left").fillna(0, counts)
+    pct = F.coalesce(F.bround(F.try_divide(F.col("escriturado") * 100.0, F.col("itens")), 0), F.lit(0.0)).cast("long")
     return out.select(
-        "proc", "itens", "doc_compras", *[c.lower() for c in CLASSES],
+        "proc", *counts,
         F.format_string("%d%%", pct).alias("pct_escriturado"),
     )
 

@@ -62,10 +62,12 @@ def expand_queues(
     row, so duplicates of a queue row stay duplicated only if the queue
     itself repeats an id.
     """
+    active = list(active_processes(processes))
+    absent = [p.process_name for p in active if p.process_name not in queues]
+    if absent:
+        raise ValueError(f"active processes without a queue: {absent}")
     parts = []
-    for p in active_processes(processes):
-        if p.process_name not in queues:
-            continue
+    for p in active:
         items = scan_queue(queues[p.process_name], p)
         ctr_key = lpad10(F.col("n_contrato")) if p.kind == KIND_STORAGE else F.col("doc_compra")
         parts.append(

@@ -37,10 +37,10 @@ QUEUE_RENAMES = {
 }
 
 
-def conform(df: DataFrame, schema=RESULT_SCHEMA) -> DataFrame:
+def conform(df: DataFrame, schema=RESULT_SCHEMA, keep_extra: bool = False) -> DataFrame:
     """K9: the frame in the fixed schema: names upper-cased (after the three
     queue renames), declared types, missing columns as typed NULLs, extra
-    columns dropped.  Case-insensitive name collisions are an error."""
+    columns dropped unless ``keep_extra`` (stored rows keep them).  Case-insensitive name collisions are an error."""
     by_upper: dict[str, str] = {}
     for c in df.columns:
         u = QUEUE_RENAMES.get(c, c).upper()
@@ -53,7 +53,9 @@ def conform(df: DataFrame, schema=RESULT_SCHEMA) -> DataFrame:
             cols.append(F.col(f"`{by_upper[f.name]}`").cast(f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    fixed = set(schema.names)
+    extra = [F.col(f"`{c}`").alias(u) for u, c in by_upper.items() if u not in fixed] if keep_extra else []
+    return df.select(*cols, *extra)
 
 
 def quarantine(hc: DataFrame) -> DataFrame:

@@ -99,7 +99,7 @@ def q_contract_block_storage(spark, sf_dir):
 
 
 # --- J8-J11: invoice block -------------------------------------------------------
-@register("invoice_block", with_ctes("SELECT * FROM vtin_fallback"))
+@register("invoice_block", with_ctes("SELECT * FROM open_invoice"))
 def q_invoice_block(spark, sf_dir):
     _, erp = _sources(spark, sf_dir)
     return invoice_block(erp)

@@ -66,6 +66,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return conf_dir
     if current:
         return current
+    if not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="tallyspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)

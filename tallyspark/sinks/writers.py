@@ -12,10 +12,12 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyspark.operators.reconcile import conform
 from tallyspark.operators.upsert import upsert
-from tallyspark.schemas import RESULT_SCHEMA
+from tallyspark.schemas import RESULT_SCHEMA, UPSERT_KEYS
+from tallyspark.session import cut_lineage
 
 APPEND, TRUNCATE, DROP_CREATE = "APPEND", "TRUNCATE", "DROP_CREATE"
 
@@ -65,7 +67,7 @@ def save(df: DataFrame, path: str, strategy: str = APPEND, schema=RESULT_SCHEMA)
     schema); TRUNCATE and DROP_CREATE replace the contents (for a folder both
     mean overwrite; DROP_CREATE also resets the schema to the fixed one).
     """
-    out = conform(df, schema) if schema is not None else df
+    out = conform(df, schema, keep_extra=True) if schema is not None else df
     mode = "append" if strategy == APPEND else "overwrite"
     w = out.write.mode(mode)
     if strategy == DROP_CREATE:
@@ -76,14 +78,20 @@ def save(df: DataFrame, path: str, strategy: str = APPEND, schema=RESULT_SCHEMA)
 def save_to_targets(df: DataFrame, paths: Sequence[str], strategy: str = APPEND) -> None:
     """K8: the same eligible frame to every target (dev, then prod), even
     when empty so each target exists with the full schema.  The frame is
-    materialised once into the first target and the rest copy from it, so
-    the reconcile plan is not re-run per target."""
+    written once to the shared checkpoint folder and each target gets those
+    rows, so the reconcile plan is not re-run and an appending target never
+    receives what another target held before."""
     if not paths:
         return
-    save(df, paths[0], strategy)
-    first = df.sparkSession.read.schema(RESULT_SCHEMA).parquet(paths[0])
-    for p in paths[1:]:
-        save(first, p, strategy)
+    staged = cut_lineage(conform(df, keep_extra=True), "targets")
+    for p in paths:
+        save(staged, p, strategy)
+
+
+def with_keys(batch: DataFrame) -> DataFrame:
+    """Upsert key columns that the batch lacks, added as NULL text."""
+    have = {c.upper() for c in batch.columns}
+    return batch.select("*", *[F.lit(None).cast("string").alias(k) for k in UPSERT_KEYS if k.upper() not in have])
 
 
 def upsert_path(spark: SparkSession, target_path: str | None, batch: DataFrame, out_root: str) -> str:
@@ -91,11 +99,10 @@ def upsert_path(spark: SparkSession, target_path: str | None, batch: DataFrame,
     upsert key and write a new version folder under ``out_root``."""
     new_path = f"{out_root.rstrip('/')}/v-{uuid.uuid4().hex}"
     if target_path:
-        target = spark.read.schema(RESULT_SCHEMA).parquet(target_path)
-        merged = upsert(target, batch)
+        target = conform(spark.read.option("mergeSchema", "true").parquet(target_path), keep_extra=True)
     else:
-        merged = upsert(spark.createDataFrame([], RESULT_SCHEMA), batch)
-    conform(merged).write.mode("error").parquet(new_path)
+        target = spark.createDataFrame([], RESULT_SCHEMA)
+    conform(upsert(target, with_keys(batch)), keep_extra=True).write.mode("error").parquet(new_path)
     return new_path
 
 

@@ -2,9 +2,11 @@
 
 New queue files landing in a folder are picked up with
 ``trigger(availableNow=True)``; each micro-batch is reconciled against the
-ERP tables and its eligible rows are merged by the upsert key into a new
-version of the result table.  Version folders are named by epoch, so a
-replayed epoch rewrites the same folder (idempotent), and the stream's
+ERP tables once, and all its reconciled rows are kept.  Whether a process had
+a match is a fact about the process, not about a micro-batch, so eligibility
+and the keyed merge run over the rows of all epochs so far: the result does
+not depend on how the queue was split into files.  Folders are named by
+epoch, so a replayed epoch rewrites its own (idempotent), and the stream's
 checkpoint lives in the shared folder the cluster names.
 """
 
@@ -12,7 +14,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.operators.reconcile import conform, eligible, reconcile
@@ -27,23 +28,33 @@ def version_path(out_root: str, epoch: int) -> str:
     return f"{out_root.rstrip('/')}/epoch={epoch:010d}"
 
 
-def _read_version(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(RESULT_SCHEMA).parquet(path)
-    except AnalysisException:
-        return None
+def reconciled_path(out_root: str, epoch: int) -> str:
+    return f"{out_root.rstrip('/')}/reconciled/part-{epoch:010d}"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def merge_epoch(spark: SparkSession, queue_batch: DataFrame, epoch: int, process: ProcessDef,
                 erp: ErpTables, years: Sequence[int], out_root: str, mode: str = "reference") -> str:
-    """Reconcile one micro-batch of queue rows and merge it into the result."""
+    """Reconcile one micro-batch of queue rows and write the result version
+    of all epochs up to it.  Only epoch 0 may start from nothing: a missing
+    earlier epoch, or an epoch 0 over the results of another stream, raises."""
+    paths = [reconciled_path(out_root, e) for e in range(epoch)]
+    lost = [p for p in paths if not _exists(spark, p)]
+    if lost:
+        raise ValueError(f"reconciled rows of earlier epochs are missing: {lost}")
+    if epoch == 0 and _exists(spark, version_path(out_root, 1)):
+        raise ValueError(f"{out_root} holds the results of another stream")
     rec = reconcile({process.process_name: queue_batch}, erp, years, [process])
-    batch = eligible(rec, mode)
-    previous = _read_version(spark, version_path(out_root, epoch - 1)) if epoch > 0 else None
-    if previous is None:
-        previous = spark.createDataFrame([], RESULT_SCHEMA)
+    conform(rec, keep_extra=True).write.mode("overwrite").parquet(reconciled_path(out_root, epoch))
+    paths.append(reconciled_path(out_root, epoch))
+    so_far = conform(spark.read.option("mergeSchema", "true").parquet(*paths), keep_extra=True)
     out = version_path(out_root, epoch)
-    conform(upsert(previous, batch)).write.mode("overwrite").parquet(out)
+    merged = upsert(spark.createDataFrame([], RESULT_SCHEMA), eligible(so_far, mode))
+    conform(merged, keep_extra=True).write.mode("overwrite").parquet(out)
     return out
 
 
