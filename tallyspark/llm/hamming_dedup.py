@@ -181,43 +181,66 @@ def near(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
-def compare(block: list[tuple]) -> tuple[list, list]:
-    """Pairs of one key's members in different components within MAX_DIFF."""
+def compare(block: list[tuple], first_level: bool) -> tuple[list, list]:
+    """Pairs of one key's members in different components within MAX_DIFF.
+
+    With full sets in the block a pair is confirmed here, and only links that
+    join two components are given.  On the first level a pair is looked at
+    under the first chunk that it shares, not under each of its keys."""
     rep = np.array([r[0] for r in block])
-    comp = np.array([r[1] for r in block])
     sig = np.frombuffer(b"".join(r[2] for r in block), np.uint16).reshape(-1, SLOTS)
+    sets = [r[4] for r in block] if block[0][4] is not None else None
+    sizes = np.array([len(x) for x in sets]) if sets else None
+    _, comp = np.unique([r[1] for r in block], return_inverse=True)
     a, b = [], []
     for i in range(len(rep) - 1):
         other = np.flatnonzero(comp[i + 1 :] != comp[i]) + i + 1
-        hit = other[(sig[other] != sig[i]).sum(axis=1) <= MAX_DIFF]
-        a += [min(rep[i], r) for r in rep[hit]]
-        b += [max(rep[i], r) for r in rep[hit]]
+        differ = sig[other] != sig[i]
+        near_by = differ.sum(axis=1) <= MAX_DIFF
+        if first_level:
+            good = differ.reshape(-1, CHUNKS, CHUNK).sum(axis=2) <= 1
+            near_by &= good.argmax(axis=1) == block[i][3]
+        if sets:
+            near_by &= 100 * np.minimum(sizes[other], sizes[i]) >= PERCENT * np.maximum(sizes[other], sizes[i])
+        for j in other[near_by]:
+            if sets:
+                if comp[j] == comp[i]:
+                    continue
+                n = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * n < PERCENT * (sizes[i] + sizes[j] - n):
+                    continue
+                comp[comp == comp[j]] = comp[i]
+            a.append(min(rep[i], rep[j]))
+            b.append(max(rep[i], rep[j]))
     return a, b
 
 
-def leaf_pairs(rows: DataFrame) -> DataFrame:
-    """rows: key, part, rep, comp, sig with a bounded number per (key, part)."""
+def leaf_pairs(rows: DataFrame, first_level: bool = False) -> DataFrame:
+    """Pairs of the rows (key, part, rep, comp, sig, last, shingles), of which
+    each (key, part) has a bounded number; shingles may be null."""
 
     def run(batches):
         key, block = None, []
 
         def out():
-            a, b = compare(block)
+            a, b = compare(block, first_level)
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("key", "part", "rep", "comp", "sig")]
-            for k, p, *member in zip(*cols, strict=True):
+            full = batch.column("shingles")
+            offs, flat = full.offsets.to_numpy(), full.values.to_numpy()
+            cols = [batch.column(c).to_pylist() for c in ("key", "part", "rep", "comp", "sig", "last")]
+            for i, (k, p, *member) in enumerate(zip(*cols, strict=True)):
                 if (k, p) != key:
                     if len(block) > 1:
                         yield out()
                     key, block = (k, p), []
-                block.append(member)
+                block.append((*member, flat[offs[i] : offs[i + 1]].copy() if full[i].is_valid else None))
         if len(block) > 1:
             yield out()
 
     return (
-        rows.select("key", "part", "rep", "comp", "sig")
+        rows.select("key", "part", "rep", "comp", "sig", "last", "shingles")
         .repartition("key", "part")
         .sortWithinPartitions("key", "part")
         .mapInArrow(run, "a long, b long")
@@ -249,11 +272,19 @@ def refine(rows: DataFrame) -> DataFrame:
     return rows.select("key", "rep", "last", "comp", "sig").mapInArrow(run, "key long, rep long, last int, comp long, sig binary")
 
 
-def open_pairs(shared: DataFrame, comp: DataFrame, reps: DataFrame, stages: Stages, name: str, leaf: int = LEAF) -> DataFrame:
+def open_pairs(shared: DataFrame, comp: DataFrame, reps: DataFrame, stages: Stages, name: str, leaf: int = LEAF, sets: DataFrame | None = None) -> DataFrame:
     """Candidate pairs in different components under a common key.  A key
-    whose members are in one component is closed: it gives no pair."""
+    whose members are in one component is closed: it gives no pair.  With
+    ``sets`` the pairs given are confirmed links."""
     label = comp.select(F.col("node").alias("rep"), "comp")
     rows = shared.select("key", "rep", "last").join(label, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    known = sets.select(F.col("doc_id").alias("rep"), "shingles") if sets is not None else None
+
+    def leaves(part: DataFrame, first_level: bool = False) -> DataFrame:
+        if known is None:
+            return leaf_pairs(part.withColumn("shingles", F.lit(None).cast("array<long>")), first_level)
+        return leaf_pairs(part.join(known, "rep"), first_level)
+
     out = None
     for level in range(1, LEVELS + 1):
         stat = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
@@ -261,7 +292,7 @@ def open_pairs(shared: DataFrame, comp: DataFrame, reps: DataFrame, stages: Stag
         if level == 1:
             rows = rows.join(reps.select("rep", "sig"), "rep")
         rows = stages.write(rows.select("key", "rep", "last", "comp", "sig", "n"), f"{name}-open{level}")
-        small = leaf_pairs(rows.filter(F.col("n") <= leaf).withColumn("part", F.lit(0)))
+        small = leaves(rows.filter(F.col("n") <= leaf).withColumn("part", F.lit(0)), level == 1)
         out = small if out is None else out.union(small)
         large = rows.filter(F.col("n") > leaf)
         if large.isEmpty():
@@ -274,7 +305,7 @@ def open_pairs(shared: DataFrame, comp: DataFrame, reps: DataFrame, stages: Stag
     mine = F.pmod(F.xxhash64("rep"), blocks)
     with_blocks = large.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     part = (F.least("mine", "other") * blocks + F.greatest("mine", "other")).cast("int")
-    return out.union(leaf_pairs(with_blocks.withColumn("part", part))).distinct()
+    return out.union(leaves(with_blocks.withColumn("part", part))).distinct()
 
 
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -326,12 +357,13 @@ def near_duplicates(docs: DataFrame, stages: Stages | None = None, leaf: int = L
     sets = stages.write(full_sets(docs, ids), "sets")
     linked = stages.write(confirm(maybe, sets), "linked")
 
-    # Links refused above may have hidden others: pairs now in different
-    # components, but not yet looked at, are confirmed as well.
+    # Links refused above may have hidden others: members now in different
+    # components are compared on their full sets inside the key's task, which
+    # gives only the links that join components.
     tried = many.join(ids.withColumnRenamed("doc_id", "rep"), "rep", "left_semi")
-    third = open_pairs(tried, components(linked, stages, "c2"), reps, stages, "p2", leaf)
-    third = third.join(maybe, ["a", "b"], "left_anti")
-    linked = linked.union(stages.write(confirm(third, sets), "third"))
+    if maybe.count() != linked.count():
+        third = open_pairs(tried, components(linked, stages, "c2"), reps, stages, "p2", leaf, sets)
+        linked = linked.union(stages.write(third, "third"))
     twins = known.join(reps.select("d1", "d2", "n_shingles", "rep"), ["d1", "d2", "n_shingles"])
     same = twins.filter("doc_id > rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct()
     comp = components(linked, stages, "c3").select(F.col("node").alias("rep"), "comp")
