@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.keys import amount, round_amount, ymd_year_in
+from tallyspark.functions.keys import amount, ltrim0, round_amount, ymd_year_in
 from tallyspark.schemas import AMOUNT
 from tallyspark.sources.testdata import ErpTables
 
@@ -118,59 +118,76 @@ def vtin_columns(vxr_prefix: str = "") -> list:
     ]
 
 
-def invoice_block(erp: ErpTables, open_only: bool = False, years=None) -> DataFrame:
+DOC_SALTS = 64
+
+
+def _documents(erp: ErpTables, act: DataFrame, open_only: bool) -> DataFrame:
+    """Fiscal documents by (DOCNUM, salt).  Blank numbers, a constant key, are
+    spread over ``DOC_SALTS`` salts, and stay only where an active NF-e has a
+    blank number too (one broadcast row at most)."""
+    doc = erp.nfdoc.where(F.col("DOCNUM").isNotNull()).select(
+        F.col("DOCNUM").alias("_doc"), "NTGEW", "NFTOT", "CRENAM",
+        F.pmod(F.xxhash64("BELNR", "NTGEW", "NFTOT", "CRENAM"), F.lit(DOC_SALTS)).alias("_h"),
+    )
+    blank_active = act.where(F.col("DOCNUM") == "").select(F.col("DOCNUM").alias("_doc")).limit(1)
+    blank = doc.where(F.col("_doc") == "").join(F.broadcast(blank_active), "_doc", "left_semi").withColumnRenamed("_h", "_salt")
+    if open_only:
+        return blank
+    return doc.where(F.col("_doc") != "").withColumn("_salt", F.lit(0).cast("long")).drop("_h").unionByName(blank)
+
+
+def invoice_block(erp: ErpTables, open_only: bool = False, years=None, tax_keys: DataFrame | None = None) -> DataFrame:
     """Authorised received invoices with their item, the matching active
     NF-e (7 keys) and its fiscal document, as one flat block.
 
     CODESTA must be '100' and MANSTA not '03'/'04' (a NULL MANSTA drops the
     row, as ``NOT IN`` does in SQL).
 
-    Invoices without an active NF-e have a NULL document key; they skip the
-    fiscal-document join instead of all hashing into one partition.  With
-    ``open_only`` only invoices that can still be booked are kept (no
-    active NF-e, or one with a blank DOCNUM) before the document join, and
-    ``years`` restricts the emission year up front.
+    Every table is joined once.  The document key is (DOCNUM, salt): a row
+    without an active NF-e keeps a NULL number and a salt of its own, so NULLs
+    spread over the partitions; a row with a blank number is repeated for the
+    salts that blank documents have (one row if there are none), so every
+    pair of the rule is made once and no task holds all of them.
+
+    With ``open_only`` only invoices that can still be booked are kept (no
+    active NF-e, or one with a blank DOCNUM) before the document join,
+    ``years`` restricts the emission year up front, and ``tax_keys`` (one
+    column ``_tax``, without leading zeros) the issuers.
     """
     vxr = erp.xml_rec.where((F.col("CODESTA") == "100") & ~F.col("MANSTA").isin("03", "04"))
     if years is not None:
         vxr = vxr.where(ymd_year_in("D_EMI", years))
-    vxr = vxr.alias("vxr")
-    act = active_nfe(erp).select(
+    if tax_keys is not None:
+        vxr = vxr.join(tax_keys, ltrim0(F.col("STCD1")) == F.col("_tax"), "left_semi")
+    active = active_nfe(erp)
+    act = active.select(
         *ACTIVE_KEYS_7, "PARID", F.col("BRANCH").alias("ACT_BRANCH"), "CREDAT", "DOCNUM"
     ).alias("act")
     item = erp.nfeit.select("NFEID", "NFITEM", "NCM", "CFOP", "QCOM").alias("item")
 
     cond7 = [F.col(f"vxr.{k}") == F.col(f"act.{k}") for k in ACTIVE_KEYS_7]
+    vxr = vxr.alias("vxr")
     j = vxr.join(item, F.col("vxr.ID") == F.col("item.NFEID"), "inner").join(act, cond7, "left")
-    base = [
+    if open_only:
+        j = j.where(F.col("act.DOCNUM").isNull() | (F.col("act.DOCNUM") == ""))
+    doc = _documents(erp, active, open_only)
+    blank_salts = doc.where(F.col("_doc") == "").groupBy("_doc").agg(F.collect_set("_salt").alias("_salts"))
+    # at most one row of DOC_SALTS numbers
+    j = j.join(F.broadcast(blank_salts.withColumnRenamed("_doc", "_blank")), F.col("act.DOCNUM") == F.col("_blank"), "left")
+    own = F.when(F.col("act.DOCNUM").isNull(), -1 - F.pmod(F.xxhash64("vxr.ID"), F.lit(1 << 20))).otherwise(F.lit(0))
+    j = j.withColumn("_j_salt", F.explode(F.coalesce(F.col("_salts"), F.array(own.cast("long")))))
+    j = j.join(doc.alias("doc"), (F.col("act.DOCNUM") == F.col("doc._doc")) & (F.col("_j_salt") == F.col("doc._salt")), "left")
+    return j.select(
         F.col("act.PARID").alias("PARCEIRO"),
         F.col("act.ACT_BRANCH").alias("LOCAL"),
         F.col("act.CREDAT").alias("DT_CRIACAO"),
         F.col("act.DOCNUM").alias("DOCNUM"),
-    ]
-    tail = [
+        amount(F.col("doc.NTGEW")).alias("PESO_LIQUIDO"),
+        amount(F.col("doc.NFTOT")).alias("VLR_NF"),
+        F.col("doc.CRENAM").alias("CRENAM"),
         *vtin_columns("vxr."),
         F.col("item.NFITEM").alias("ITEM"),
         F.col("item.NCM").alias("NCM"),
         F.col("item.CFOP").alias("CFOP"),
         amount(F.col("item.QCOM")).alias("VTIN_QTDE"),
-    ]
-    no_doc_key = j.where(F.col("act.DOCNUM").isNull()).select(
-        *base,
-        F.lit(None).cast(AMOUNT).alias("PESO_LIQUIDO"),
-        F.lit(None).cast(AMOUNT).alias("VLR_NF"),
-        F.lit(None).cast("string").alias("CRENAM"),
-        *tail,
-    )
-    keyed = j.where(F.col("act.DOCNUM").isNotNull())
-    if open_only:
-        keyed = keyed.where(F.col("act.DOCNUM") == "")
-    doc = erp.nfdoc.select(F.col("DOCNUM").alias("DOC_DOCNUM"), "NTGEW", "NFTOT", "CRENAM").alias("doc")
-    with_doc = keyed.join(doc, F.col("act.DOCNUM") == F.col("doc.DOC_DOCNUM"), "left").select(
-        *base,
-        amount(F.col("doc.NTGEW")).alias("PESO_LIQUIDO"),
-        amount(F.col("doc.NFTOT")).alias("VLR_NF"),
-        F.col("doc.CRENAM").alias("CRENAM"),
-        *tail,
     )
-    return no_doc_key.unionByName(with_doc)

@@ -215,11 +215,14 @@ def match_via_document(hc: DataFrame, erp: ErpTables, years: Sequence[int]) -> D
     )
 
 
-def open_invoices(erp: ErpTables, years: Sequence[int]) -> DataFrame:
+def open_invoices(erp: ErpTables, years: Sequence[int], hits: DataFrame | None = None) -> DataFrame:
     """Invoice block rows that can still be booked: emitted in one of the
     years and without a fiscal document number (F5, F7), with join keys.
-    Both conditions are applied before the block's own joins."""
-    inv = invoice_block(erp, open_only=True, years=years)
+    Both conditions are applied before the block's own joins, and with
+    ``hits`` only invoices of their tax ids are read on (the tax id is a key
+    of both routes, so no match is lost)."""
+    taxes = None if hits is None else hits.select(ltrim0(F.col("CPF_CNPJ")).alias("_tax")).distinct()
+    inv = invoice_block(erp, open_only=True, years=years, tax_keys=taxes)
     return inv.select(
         "*",
         ltrim0(F.col("VTIN_CPF_CNPJ")).alias("_tax_key"),
@@ -310,9 +313,11 @@ def match_value_complement(
 def match_all(items: DataFrame, erp: ErpTables, years: Sequence[int], materialize: bool = False) -> DataFrame:
     """U1 over all routes and processes: one row per (work item, match)."""
     hc = with_contracts(ledger_hits(items, erp), erp, item_contracts(items))
-    inv = open_invoices(erp, years)
     if materialize:
-        hc, inv = cut_lineage(hc, "contract-hits"), cut_lineage(inv, "open-invoices")
+        hc = cut_lineage(hc, "contract-hits")
+    inv = open_invoices(erp, years, hc if materialize else None)
+    if materialize:
+        inv = cut_lineage(inv, "open-invoices")
     return match_routes(hc, erp, years, inv)
 
 

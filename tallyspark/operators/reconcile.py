@@ -77,12 +77,13 @@ def prepare(items: DataFrame, erp: ErpTables, years: Sequence[int], materialize:
     """Shared inputs of the routes: ledger hits with their contract block
     (all items) and the open-invoice block.  Both feed several joins, so
     by default each is written once to the shared checkpoint folder (cuts
-    the lineage: later stages and retries read the written rows)."""
+    the lineage: later stages and retries read the written rows).  The hits
+    come first: the invoices are restricted to their tax ids."""
     hc = with_contracts(ledger_hits(items, erp), erp, item_contracts(items))
-    inv = open_invoices(erp, years)
-    if materialize:
-        hc, inv = cut_lineage(hc, "contract-hits"), cut_lineage(inv, "open-invoices")
-    return hc, inv
+    if not materialize:
+        return hc, open_invoices(erp, years)
+    hc = cut_lineage(hc, "contract-hits")
+    return hc, cut_lineage(open_invoices(erp, years, hc), "open-invoices")
 
 
 def reconcile(
@@ -103,6 +104,8 @@ def reconcile(
     matched item keys.
     """
     items = expand_queues(queues, processes)
+    if materialize:
+        items = cut_lineage(items, "items")
     hc_all, inv = prepare(items, erp, years, materialize)
     bad = quarantine(hc_all)
     hc = hc_all.join(bad.select(*ITEM_KEY), ITEM_KEY, "left_anti")
