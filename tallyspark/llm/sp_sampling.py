@@ -2,10 +2,10 @@
 
 Pieces of a SentencePiece model span a lattice over the text; a piece's weight
 is a power law of its rank, and bytes stand for characters without a piece.
-No piece crosses from a word into the next one's leading spaces, so the
-lattice is a chain of units.  A unit's segmentations are enumerated with their
-probabilities; units with more than ``MAX_SEGS`` are walked piece by piece with
-exact backward sums.
+No piece crosses from a word into the next one's leading spaces.  The lattices
+of a block of texts are built together in numpy arrays: a trie finds all pieces
+at all characters, and exact backward sums between the lattice's cuts (places
+that no piece passes over) give every edge its probability.
 
 Gumbel top-k by a perturbed A-star search, top down: the best perturbed value
 of a region (a prefix that is fixed, at the next choice some alternatives
@@ -19,28 +19,30 @@ the row key alone.
 
 Rows: a null or empty text has one segmentation of no pieces (inclusion 1); a
 null doc_id seeds as -1; repeated rows give the same samples.  A text with
-fewer than k segmentations gives all of them.
+fewer than k segmentations gives all of them.  A task holds one block of
+``GRAPH_BYTES`` at a time, about 300 bytes for each byte of it; a longer text
+makes its own block.
 """
 
 from __future__ import annotations
 
 import math
-import re
-from bisect import bisect_right
-from itertools import accumulate
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tallyspark.llm.common import chunks, flat_bytes, mix64
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 K = 2
 SEED = 20
-MAX_SEGS = 16
-CACHE = 60_000
+GRAPH_BYTES = 1 << 18  # text bytes of the lattices built together (a longer text makes its own)
 SPACE = "▁"
-ESCAPE = "\ud800"  # stands for a literal U+2581; no valid text holds it
-UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+", re.DOTALL)
+ESCAPE = 0xD800  # stands for a literal U+2581; no valid text holds it
+END = 0x110000  # the node behind a text, beyond all code points
+U = np.uint64
 
 SCHEMA = "doc_id long, sample int, n_pieces long, log_prob double, perturbed double, inclusion double, ids array<int>"
 COLS = ["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "inclusion", "ids"]
@@ -53,192 +55,279 @@ def logsub(a, b):
         return a + np.log(-np.expm1(np.minimum(b - a, 0.0)))
 
 
+def uniform(keys: np.ndarray, stream: int, at: np.ndarray) -> np.ndarray:
+    """Numbers in (0, 1) that depend on row key, stream and position alone."""
+    with np.errstate(over="ignore"):
+        x = mix64(keys + U(stream) * U(0x9E3779B97F4A7C15)) + at.astype(U) * U(0xD1342543DE82EF95)
+        return ((mix64(x) >> U(11)).astype(np.float64) + 0.5) * 2.0**-53
+
+
 class Lattice:
-    """Pieces and weights of a model, with a bounded cache of units."""
+    """Pieces and weights of a model, as a trie in flat arrays."""
 
     shared: dict = {}
 
     @classmethod
     def of(cls, model: str) -> Lattice:
-        """The worker's lattice of a model; its cache outlives the task."""
+        """The worker's lattice of a model, built once per process."""
         if model not in cls.shared:
             cls.shared[model] = cls(model)
         return cls.shared[model]
 
-    def __init__(self, model: str, max_segs: int = MAX_SEGS):
+    def __init__(self, model: str):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model)
         size = sp.get_piece_size()
         plain = [i for i in range(size) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
-        self.bytes = {int(sp.id_to_piece(i)[1:-1], 16): i for i in range(size) if sp.is_byte(i)}
+        self.back = {i: int(sp.id_to_piece(i)[1:-1], 16) for i in range(size) if sp.is_byte(i)}
+        self.byte_ids = np.zeros(256, np.int32)
+        self.byte_ids[list(self.back.values())] = list(self.back)
         self.text = {i: sp.id_to_piece(i) for i in plain}
         order = sorted(plain, key=lambda i: -sp.get_score(i))
-        self.pieces = {self.text[i]: (i, -1.1 * math.log(r + 20)) for r, i in enumerate(order)}
-        self.longest = max(map(len, self.pieces), default=1)
+        self.weight = np.zeros(size)
+        self.weight[order] = -1.1 * np.log(np.arange(len(order)) + 20.0)
         self.byte_cost = -1.1 * math.log(size + 20) - 4.0
-        self.max_segs, self.units, self.back = max_segs, {}, {v: k for k, v in self.bytes.items()}
-
-    # The text and its units. A literal U+2581 is kept apart from a space.
-
-    def to_units(self, text: str) -> list[str]:
-        return UNIT.findall(SPACE + text.replace(SPACE, ESCAPE).replace(" ", SPACE)) if text else []
+        self._trie()
+
+    def _trie(self) -> None:
+        """Nodes of all prefixes; node 0 is none.  A step is a lookup of
+        (node, character) in an open hash table, the first one by character."""
+        node, ids = {}, [-1]
+        for i, piece in self.text.items():
+            if SPACE in piece.lstrip(SPACE):
+                continue  # no piece crosses from a word into the next one's spaces
+            for end in range(1, len(piece) + 1):
+                if piece[:end] not in node:
+                    node[piece[:end]] = len(ids)
+                    ids.append(-1)
+            ids[node[piece]] = i
+        self.piece = np.array(ids, np.int32)
+        self.first = np.zeros(END + 1, np.int32)
+        steps = []
+        for prefix, n in node.items():
+            if len(prefix) == 1:
+                self.first[ord(prefix)] = n
+            else:
+                steps.append((node[prefix[:-1]] << 21 | ord(prefix[-1]), n))
+        self.bits = max(10, (4 * len(steps)).bit_length())
+        self.keys, self.next = np.zeros(1 << self.bits, U), np.zeros(1 << self.bits, np.int32)
+        for (key, n), s in zip(steps, self._slot(np.array([k for k, _ in steps], U)).tolist(), strict=True):
+            while self.next[s]:
+                s = (s + 1) & ((1 << self.bits) - 1)
+            self.keys[s], self.next[s] = key, n
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((key * U(0x9E3779B97F4A7C15)) >> U(64 - self.bits)).astype(np.int64)
+
+    def step(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
+        key = (node.astype(U) << U(21)) | char.astype(U)
+        slot = self._slot(key)
+        out, other = self.next[slot], self.keys[slot] != key
+        todo = np.flatnonzero(other & (out > 0))
+        out[other] = 0
+        while len(todo):
+            slot[todo] = (slot[todo] + 1) & ((1 << self.bits) - 1)
+            got, hit = self.next[slot[todo]], self.keys[slot[todo]] == key[todo]
+            out[todo[hit]] = got[hit]
+            todo = todo[~hit & (got > 0)]
+        return out
 
     def decode(self, ids) -> str:
         raw = b"".join(bytes([self.back[i]]) if i in self.back else self.text[i].replace(SPACE, " ").encode() for i in ids)
         return raw.decode()[1:] if raw else ""
 
-    def edges(self, unit: str, at: int) -> list[tuple[int, tuple[int, ...], float]]:
-        """(next position, ids, weight) of the pieces that start at ``at``."""
-        if unit[at] == ESCAPE:
-            raw = SPACE.encode()
-            return [(at + 1, tuple(self.bytes[x] for x in raw), self.byte_cost * len(raw))]
-        out = []
-        for end in range(at + 1, min(len(unit), at + self.longest) + 1):
-            got = self.pieces.get(unit[at:end])
-            if got:
-                out.append((end, (got[0],), got[1]))
-        if not out or out[0][0] != at + 1:
-            raw = unit[at].encode()
-            out.append((at + 1, tuple(self.bytes[x] for x in raw), self.byte_cost * len(raw)))
+
+class Graph:
+    """Lattices of several texts in flat arrays: a node per character, one at
+    each text's end, and the edges of a node next to each other."""
+
+    def __init__(self, lattice: Lattice, texts: list[str]):
+        parts, size = [], [0]
+        for t in texts:
+            codes = np.frombuffer((" " + t).encode("utf-32-le") if t else b"", np.uint32)
+            parts += [codes, np.array([END], np.uint32)]
+            size.append(len(codes) + 1)
+            if SPACE in t:  # a literal U+2581 is kept apart from a space
+                parts[-2] = np.where(codes == ord(SPACE), ESCAPE, codes)
+        chars = np.concatenate(parts)
+        chars[chars == 32] = ord(SPACE)
+        self.lattice, self.chars, self.doc = lattice, chars, np.cumsum(size)
+        self._edges()
+        self._weigh()
+
+    def _edges(self) -> None:
+        """Matches of all pieces at all nodes; bytes where no piece has the
+        single character; one edge leads out of each text's end."""
+        n, chars, trie = len(self.chars), self.chars, self.lattice
+        at = np.flatnonzero(trie.first[chars])
+        node, found, depth = trie.first[chars[at]], [], 1
+        one = np.zeros(n, bool)
+        while len(at):
+            ids = trie.piece[node]
+            ends = ids >= 0
+            found.append((depth, at[ends], ids[ends]))
+            if depth == 1:
+                one[at[ends]] = True
+                found.insert(0, (1, np.flatnonzero(~one), None))
+            node = trie.step(node, chars[at + depth])
+            at, node, depth = at[node > 0], node[node > 0], depth + 1
+        if not found:
+            found.append((1, np.arange(n), None))
+        degree = np.zeros(n, np.int32)
+        for _, where, _ in found:
+            degree[where] += 1
+        self.start = np.zeros(n + 1, np.int64)
+        np.cumsum(degree, out=self.start[1:])
+        free = self.start[:-1].copy()
+        total = int(self.start[-1])
+        self.ids, self.to = np.full(total, -1, np.int32), np.zeros(total, np.int32)
+        for length, where, ids in found:
+            slot = free[where]
+            self.to[slot] = where + length
+            if ids is not None:
+                self.ids[slot] = ids
+            free[where] += 1
+        self.degree = degree
+
+    def _weigh(self) -> None:
+        """Log-probabilities of the edges, from exact backward sums.  No edge
+        passes over a cut, so the stretches between cuts are summed together,
+        node after node from their ends."""
+        n, start, degree = len(self.chars), self.start, self.degree
+        self.node = np.repeat(np.arange(n, dtype=np.int32), degree)
+        weight = self.lattice.weight[np.maximum(self.ids, 0)]
+        raw = np.flatnonzero(self.ids < 0)
+        char = self.chars[self.node[raw]]
+        weight[raw] = np.where(char == END, 0.0, self.lattice.byte_cost * utf8_length(char))
+        cut = np.ones(n + 1, bool)
+        cut[1:] = np.maximum.accumulate(np.maximum.reduceat(self.to, start[:-1])) <= np.arange(1, n + 1)
+        cuts = np.flatnonzero(cut)
+        away = np.repeat(cuts[1:], np.diff(cuts)) - np.arange(n)
+        small = np.uint16 if away.max() < 1 << 16 else np.int64
+        nodes = np.argsort(away.astype(small), kind="stable")
+        edges = np.argsort(away[self.node].astype(small), kind="stable")
+        levels = np.bincount(away)
+        sums, self.lp = np.zeros(n + 1), np.empty(len(weight))
+        i = j = 0
+        for count in levels[1:].tolist():
+            mine = nodes[i : i + count]
+            deg = degree[mine]
+            begin = np.cumsum(deg) - deg
+            out = edges[j : j + int(deg.sum())]
+            i, j = i + count, j + len(out)
+            x = weight[out] + sums[self.to[out]]
+            got = np.logaddexp.reduceat(x, begin)
+            self.lp[out] = np.minimum(x - np.repeat(got, deg), 0.0)
+            sums[mine] = np.where(cut[mine], 0.0, got)
+        p = np.exp(self.lp)
+        upto = np.cumsum(p)
+        self.p, self.below = p, upto - np.repeat(upto[start[:-1]] - p[start[:-1]], degree)
+
+    def choose(self, draws: np.ndarray) -> np.ndarray:
+        """An edge for every node, by its probabilities."""
+        first = self.start[:-1]
+        k = np.add.reduceat((self.below <= np.repeat(draws, self.degree)).astype(np.int32), first)
+        return first + np.minimum(k, self.degree - 1)
+
+    def pieces(self, edges: np.ndarray) -> np.ndarray:
+        """Ids of a path; a character without a piece gives its bytes."""
+        ids = self.ids[edges]
+        raw = np.flatnonzero(ids < 0)
+        if not len(raw):
+            return ids
+        char = self.chars[self.node[edges[raw]]].astype(np.int64)
+        char[char == ESCAPE] = ord(SPACE)
+        count = np.ones(len(ids), np.int64)
+        count[raw] = utf8_length(char)
+        out, begin = np.repeat(ids, count), (np.cumsum(count) - count)[raw]
+        for c, b in zip(char.tolist(), begin.tolist(), strict=True):
+            code = chr(c).encode()
+            out[b : b + len(code)] = self.lattice.byte_ids[list(code)]
         return out
 
-    def unit(self, unit: str):
-        """(segmentations with log-probabilities, their running sums, None) of
-        an enumerated unit, else (None, edges by position, backward sums)."""
-        got = self.units.get(unit)
-        if got is None:
-            n = len(unit)
-            beta, count, links = [-math.inf] * n + [0.0], [0] * n + [1], [None] * n
-            for at in range(n - 1, -1, -1):
-                links[at] = self.edges(unit, at)
-                w = [s + beta[e] for e, _, s in links[at]]
-                top = max(w)
-                if top > -math.inf:
-                    beta[at] = top + math.log(sum(math.exp(x - top) for x in w))
-                count[at] = sum(count[e] for e, _, _ in links[at])
-            segs = None
-            if count[0] <= self.max_segs:
-                done = [[] for _ in range(n)] + [[((), 0.0)]]
-                for at in range(n - 1, -1, -1):
-                    done[at] = [(i + r, s + x) for e, i, s in links[at] for r, x in done[e]]
-                segs = [(ids, x - beta[0]) for ids, x in done[0]]
-                links, beta = list(accumulate(math.exp(x) for _, x in segs)), None
-            got = (segs, links, beta)
-            if len(self.units) >= CACHE:
-                self.units.clear()
-            self.units[unit] = got
-        return got
-
-
-class Chain:
-    """One text as a chain of choices.  A choice is (unit, position): a whole
-    enumerated unit, or one piece of a longer one."""
-
-    def __init__(self, lattice: Lattice, text: str):
-        self.units = lattice.to_units(text)
-        self.info = [lattice.unit(u) for u in self.units]
-
-    def options(self, state) -> list[tuple[tuple, tuple[int, ...], float]]:
-        """(next state, ids, log-probability) of a choice."""
-        u, at = state
-        segs, links, beta = self.info[u]
-        if segs is not None:
-            return [((u + 1, 0), ids, x) for ids, x in segs]
-        end = len(self.units[u])
-        return [((u + 1, 0) if e == end else (u, e), ids, s + beta[e] - beta[at]) for e, ids, s in links[at]]
-
-    def walk(self, state, rng) -> tuple[list, list, np.ndarray]:
-        """Ancestral sample from ``state``: states, ids and log-probabilities
-        of the choices."""
-        states, ids, lps = [], [], []
-        total, k = len(self.units), 0
-        draws = rng.random(total + 8).tolist()
-        while state[0] < total:
-            u, at = state
-            segs, sums, beta = self.info[u]
-            states.append(state)
-            if k == len(draws):
-                draws, k = rng.random(256).tolist(), 0
-            x = draws[k]
-            k += 1
-            if beta is None:
-                seq, lp = segs[min(bisect_right(sums, x), len(segs) - 1)] if len(segs) > 1 else segs[0]
-                state = (u + 1, 0)
-            else:
-                end = len(self.units[u])
-                for e, seq, w in sums[at]:  # noqa: B007
-                    lp = w + beta[e] - beta[at]
-                    x -= math.exp(lp)
-                    if x < 0:
-                        break
-                state = (u + 1, 0) if e == end else (u, e)
-            ids.append(seq)
-            lps.append(min(lp, 0.0))
-        return states, ids, np.array(lps)
-
-
-def truncated(phi: np.ndarray, most: float, rng) -> np.ndarray:
-    """Gumbel(phi) values conditioned to lie below ``most``."""
+
+def utf8_length(char: np.ndarray) -> np.ndarray:
+    return 1 + (char >= 0x80) + (char >= 0x800) + (char >= 0x10000)
+
+
+def truncated(phi: np.ndarray, most: float, draws: np.ndarray) -> np.ndarray:
+    """Gumbel(phi) values conditioned to lie below ``most``; none for -inf."""
     with np.errstate(over="ignore", divide="ignore"):
-        return -np.logaddexp(-most, -phi + np.log(-np.log(rng.random(len(phi)))))
-
-
-def sample(lattice: Lattice, text: str, key: int, k: int = K, seed: int = SEED):
-    """(ids, log-probability, perturbed value, inclusion score) of the top k
-    segmentations and the threshold."""
-    rng = np.random.default_rng([seed, key & 0xFFFFFFFFFFFFFFFF])
-    chain = Chain(lattice, text)
-    found, paths = [], []
-    root = float(-math.log(-math.log(rng.random())))
-    # A region: (value, path whose prefix it shares or None, choice, excluded)
-    best: list[tuple[float, int | None, int, tuple]] = [(root, None, 0, ())]
-    rests: list[np.ndarray] = []  # per path, the value of the rest at each choice
-    gone: dict[tuple[int, int], tuple] = {}
-    while best and len(found) < k:
-        value, path, at, excluded = max(best)
-        if value == -math.inf:
-            break
-        best = [b for b in best if b[1] is not None and b[1] != path]
-        if path is None:
-            states, ids, lps = chain.walk((0, 0), rng)
-            prefix, begin = 0.0, 0
-        else:
-            p_states, p_ids, p_lps = paths[path]
-            opts = [o for o in chain.options(p_states[at]) if o[1] not in excluded]
-            p = np.exp([o[2] for o in opts])
-            nxt, seq, lp = opts[int(rng.choice(len(opts), p=p / p.sum()))]
-            states, ids, lps = chain.walk(nxt, rng)
-            states, ids = p_states[: at + 1] + states, p_ids[:at] + [seq] + ids
-            lps = np.concatenate([p_lps[:at], [lp], lps])
-            prefix, begin = float(p_lps[:at].sum()), at
-            # What else is left at this choice stays a region of the old path.
-            excluded = excluded + (seq,)
-            mass = sum(math.exp(o[2]) for o in opts) - math.exp(lp)
-            old = rests[path]
-            left = len(opts) > 1 and mass > 0
-            old[at] = float(truncated(np.array([prefix + math.log(mass)]), value, rng)[0]) if left else -math.inf
-            gone[path, at] = excluded
-            best.append((float(old.max()), path, int(old.argmax()), gone.get((path, int(old.argmax())), (p_ids[int(old.argmax())],))))
-            begin = at + 1
-        me = len(paths)
-        paths.append((states, ids, lps))
-        rest = np.full(max(1, len(lps)), -math.inf)
-        if begin < len(lps):
-            before = np.concatenate([[0.0], np.cumsum(lps)[:-1]])[begin:]
-            phi = before + logsub(np.zeros(len(lps) - begin), lps[begin:])
-            open_ = np.isfinite(phi) & (lps[begin:] < 0)
-            got = np.full(len(phi), -math.inf)
-            got[open_] = truncated(phi[open_], value, rng)
-            rest[begin:] = got
+        return -np.logaddexp(-most, -phi + np.log(-np.log(draws)))
+
+
+def search(graph: Graph, doc: int, choices: list, draws: list, scalars: np.ndarray, k: int):
+    """(edges, log-probability, perturbed value, inclusion score) of the top k
+    paths of a text.  ``choices`` and ``draws`` hold, per path, an edge and a
+    number for every node."""
+    a, b = int(graph.doc[doc]), int(graph.doc[doc + 1]) - 1
+
+    def walk(at: int, r: int) -> np.ndarray:
+        edge = choices[r][at:b]
+        follow, out, i = (graph.to[edge] - at).tolist(), [], 0
+        while i < b - at:
+            out.append(i)
+            i = follow[i]
+        return edge[out]
+
+    value = float(-math.log(-math.log(scalars[0])))
+    path, begin = walk(a, 0), 0
+    paths, lps, rests, gone, found = [], [], [], {}, []
+    while True:
+        r = len(paths)
+        lp = graph.lp[path]
+        rest = np.full(len(path), -math.inf)
+        if begin < len(path):
+            before = np.concatenate([[0.0], np.cumsum(lp)[:-1]])[begin:]
+            many = graph.degree[graph.node[path[begin:]]] > 1
+            phi = np.where(many, before + logsub(np.zeros(len(before)), lp[begin:]), -math.inf)
+            rest[begin:] = truncated(phi, value, draws[r][graph.node[path[begin:]]])
+        paths.append(path)
+        lps.append(lp)
         rests.append(rest)
-        top = int(rest.argmax())
-        if rest[top] > -math.inf:
-            best.append((float(rest[top]), me, top, gone.get((me, top), (ids[top],))))
-        found.append(([x for s in ids for x in s], float(lps.sum()), value))
-    threshold = max((b[0] for b in best), default=-math.inf)
-    score = lambda lp: 1.0 if threshold == -math.inf else -math.expm1(-math.exp(min(700.0, lp - threshold)))
-    return [(ids, lp, v, score(lp)) for ids, lp, v in found]
+        found.append((path, float(lp.sum()), value))
+        tops = [float(x.max()) if len(x) else -math.inf for x in rests]
+        value = max(tops)
+        if value == -math.inf or len(found) == k:
+            break
+        # Open the best region: another edge at its choice, the rest free.
+        old = tops.index(value)
+        at = int(rests[old].argmax())
+        node = int(graph.node[paths[old][at]])
+        out = gone.get((old, at), [int(paths[old][at])])
+        free = [e for e in range(int(graph.start[node]), int(graph.start[node + 1])) if e not in out]
+        p = graph.p[free]
+        pick = min(int(np.searchsorted(np.cumsum(p), scalars[2 * r + 1] * p.sum(), side="right")), len(free) - 1)
+        gone[old, at] = out + [free[pick]]
+        mass = float(np.delete(p, pick).sum())
+        left = float(lps[old][:at].sum()) + math.log(mass) if mass > 0 else -math.inf
+        rests[old][at] = truncated(np.array([left]), value, scalars[2 * r + 2 : 2 * r + 3])[0]
+        path = np.concatenate([paths[old][:at], [free[pick]], walk(int(graph.to[free[pick]]), r + 1)])
+        begin = at + 1
+    score = lambda lp: 1.0 if value == -math.inf else -math.expm1(-math.exp(min(700.0, lp - value)))
+    return [(path, lp, v, score(lp)) for path, lp, v in found]
+
+
+def sample_texts(lattice: Lattice, texts: list[str], keys: list[int], k: int = K, seed: int = SEED) -> Iterator[list[tuple]]:
+    """Per text (ids, log-probability, perturbed value, inclusion score) of
+    its top k segmentations."""
+    graph = Graph(lattice, texts)
+    with np.errstate(over="ignore"):
+        key = mix64(np.array([x & 0xFFFFFFFFFFFFFFFF for x in keys], U) + U(seed) * U(0xBF58476D1CE4E5B9))
+    size = np.diff(graph.doc)
+    of_node, place = np.repeat(key, size), np.arange(len(graph.chars)) - np.repeat(graph.doc[:-1], size)
+    choices = [graph.choose(uniform(of_node, 2 * r + 1, place)) for r in range(k)]
+    draws = [uniform(of_node, 2 * r + 2, place) for r in range(k)]
+    scalars = uniform(key[:, None], 0, np.arange(2 * k + 1)[None, :])
+    for doc in range(len(texts)):
+        yield [(graph.pieces(e), lp, v, inc) for e, lp, v, inc in search(graph, doc, choices, draws, scalars[doc], k)]
+
+
+def sample(lattice: Lattice, text: str, key: int, k: int = K, seed: int = SEED) -> list[tuple]:
+    """The samples of one text, ids as a list."""
+    return [(ids.tolist(), *rest) for ids, *rest in next(sample_texts(lattice, [text], [key], k, seed))]
 
 
 def sample_segmentations(docs: DataFrame, model: str = MODEL, k: int = K, seed: int = SEED) -> DataFrame:
@@ -248,22 +337,20 @@ def sample_segmentations(docs: DataFrame, model: str = MODEL, k: int = K, seed:
     def run(batches):
         lattice = Lattice.of(model)
         for b in batches:
-            rows, size = [], 0
-            for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                for j, (ids, lp, v, inc) in enumerate(sample(lattice, t or "", -1 if d is None else d, k, seed)):
-                    rows.append((d, j, len(ids), lp, v, inc, np.array(ids, np.int32)))
-                    size += len(ids)
-                if size > 1 << 20:
-                    yield out(rows)
-                    rows, size = [], 0
-            if rows:
+            _, offs = flat_bytes(b.column("text"))
+            for lo, hi in chunks(offs, GRAPH_BYTES):
+                keys = b.column("doc_id").slice(lo, hi - lo).to_pylist()
+                texts = [t or "" for t in b.column("text").slice(lo, hi - lo).to_pylist()]
+                rows = []
+                got = sample_texts(lattice, texts, [-1 if d is None else d for d in keys], k, seed)
+                for d, samples in zip(keys, got, strict=True):
+                    rows += [(d, j, len(ids), lp, v, inc, ids) for j, (ids, lp, v, inc) in enumerate(samples)]
                 yield out(rows)
 
     def out(rows):
         cols = list(zip(*rows, strict=True))
-        flat = np.concatenate(cols[6]) if rows else np.zeros(0, np.int32)
-        offs = np.cumsum([0, *(len(x) for x in cols[6])]).astype(np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))
+        offs = np.cumsum([0, *cols[2]]).astype(np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(cols[6]).astype(np.int32)))
         return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols[:6], TYPES, strict=False)), ids], names=COLS)
 
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)

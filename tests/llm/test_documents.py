@@ -255,6 +255,65 @@ def test_sampling_follows_the_lattice_distribution():
     assert abs(total / n - 1) < 0.05
 
 
+def brute_segmentations(lattice, text):
+    """All segmentations of a text and their log-probabilities, by recursion
+    over the pieces."""
+    rank = {t: lattice.weight[i] for i, t in lattice.text.items()}
+    ident = {t: i for i, t in lattice.text.items()}
+    full = "\u2581" + text.replace(" ", "\u2581")
+
+    def rest(at):
+        if at == len(full):
+            return [((), 0.0)]
+        out = []
+        for end in range(at + 1, len(full) + 1):
+            if full[at:end] in rank:
+                out += [((ident[full[at:end]], *ids), rank[full[at:end]] + w) for ids, w in rest(end)]
+        if full[at] not in rank:
+            raw = full[at].encode()
+            cost = lattice.byte_cost * len(raw)
+            out += [((*(int(lattice.byte_ids[x]) for x in raw), *ids), cost + w) for ids, w in rest(at + 1)]
+        return out
+
+    got = rest(0)
+    norm = np.logaddexp.reduce([w for _, w in got])
+    return {ids: w - norm for ids, w in got}
+
+
+def test_samples_match_the_enumerated_lattice():
+    """Log-probabilities equal the enumeration's, and the second sample
+    follows p / (1 - p of the first)."""
+    lattice = sp_sampling.Lattice(sp_sampling.MODEL)
+    for text in ("than", "a b", "\n\U0001f600x", "nested words"):
+        every = brute_segmentations(lattice, text)
+        assert abs(sum(np.exp(list(every.values()))) - 1) < 1e-9
+        for key in range(20):
+            for ids, lp, _, _ in sp_sampling.sample(lattice, text, key, 3):
+                assert abs(every[tuple(ids)] - lp) < 1e-9
+        assert len(sp_sampling.sample(lattice, text, 1, len(every) + 5)) == len(every)
+    every, n, second, want = brute_segmentations(lattice, "than"), 6000, {}, {}
+    for key in range(n):
+        (one, p, _, _), (two, *_) = sp_sampling.sample(lattice, "than", key, 2)
+        second[tuple(two)] = second.get(tuple(two), 0) + 1
+    for a, pa_ in every.items():
+        for b, pb in every.items():
+            if a != b:
+                want[b] = want.get(b, 0.0) + np.exp(pa_ + pb) / (1 - np.exp(pa_))
+    for ids, p in want.items():
+        assert abs(second.get(ids, 0) / n - p) < 5 * np.sqrt(p * (1 - p) / n) + 1e-3
+
+
+def test_samples_do_not_depend_on_the_block():
+    lattice = sp_sampling.Lattice(sp_sampling.MODEL)
+    texts = ["than the", "", "x" * 300, "than the"]
+    got = [[(ids.tolist(), lp) for ids, lp, _, _ in s] for s in sp_sampling.sample_texts(lattice, texts, [1, 2, 3, 1])]
+    assert got[0] == got[3]
+    for t, key, s in zip(texts, [1, 2, 3, 1], got, strict=True):
+        alone = sp_sampling.sample(lattice, t, key)
+        assert [x[0] for x in s] == [x[0] for x in alone]
+        assert np.allclose([x[1] for x in s], [x[1] for x in alone])
+
+
 # ---------------------------------------------------------- decontamination
 
 
