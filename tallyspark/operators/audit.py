@@ -78,10 +78,10 @@ def _order_numbers(items: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _invoices_with_active(erp: ErpTables) -> DataFrame:
-    """Invoice header x item, active NF-e LEFT joined on 7 keys."""
-    vxr = erp.xml_rec.alias("vxr")
-    it = erp.nfeit.select("NFEID", "QCOM", "PONUMBER").alias("it")
+def _invoices_with_active(erp: ErpTables, headers: DataFrame, lines: DataFrame) -> DataFrame:
+    """The given invoice headers x items, active NF-e LEFT joined on 7 keys."""
+    vxr = headers.alias("vxr")
+    it = lines.select("NFEID", "QCOM", "PONUMBER").alias("it")
     act = active_nfe(erp).select(*ACTIVE_KEYS_7, F.col("DOCNUM").alias("ACT_DOCNUM")).alias("act")
     j = vxr.join(it, F.col("it.NFEID") == F.col("vxr.ID"), "inner").join(
         act, [F.col(f"act.{k}") == F.col(f"vxr.{k}") for k in ACTIVE_KEYS_7], "left"
@@ -109,8 +109,10 @@ def audit_booked(items: DataFrame, erp: ErpTables, year: int, materialize: bool
     """C11: per item, expected quantity/value, tax ids, linked and matching
     invoices, and the class.
 
-    The items feed the key lists and five joins, so by default they are
-    written once to the shared checkpoint folder and read back."""
+    The items feed the key lists and five joins, the expected amounts two and
+    the tax ids' invoices three, so by default each is written once to the
+    shared checkpoint folder and read back: an invoice table is read twice,
+    for the order numbers and for the tax ids."""
     if materialize:
         items = cut_lineage(items, "audit-items")
     keys = _order_numbers(items)
@@ -143,11 +145,12 @@ def audit_booked(items: DataFrame, erp: ErpTables, year: int, materialize: bool
     )
     dc_cpf = cpf_rows.select("dc", "cpf").distinct().withColumn("tk", ltrim0_or_empty("cpf"))
 
-    inv = _invoices_with_active(erp)
-    # invoices linked to the order number
-    po = inv.join(keys.withColumnRenamed("k", "PONUMBER"), "PONUMBER", "left_semi").withColumn(
-        "dc", ltrim0_or_empty("PONUMBER")
+    # invoices linked to the order number; most items have none, and a blank
+    # number is no key, so those rows go before the shuffle
+    ordered = erp.nfeit.where(F.col("PONUMBER") != "").join(
+        keys.withColumnRenamed("k", "PONUMBER"), "PONUMBER", "left_semi"
     )
+    po = _invoices_with_active(erp, erp.xml_rec, ordered).withColumn("dc", ltrim0_or_empty("PONUMBER"))
     po_by_dc = po.groupBy("dc").agg(
         F.count(F.lit(1)).alias("n_po_nfs"),
         F.coalesce(F.bool_or(nonblank_docnum("docnum")), F.lit(False)).alias("escrit_po"),
@@ -156,9 +159,11 @@ def audit_booked(items: DataFrame, erp: ErpTables, year: int, materialize: bool
 
     # invoices of the partner tax ids, created in the year
     tks = dc_cpf.where(F.col("tk") != "").select("tk").distinct()
-    by_cpf = inv.where(F.col("DATECR").startswith(str(int(year)))).withColumn(
-        "tk", ltrim0_or_empty("STCD1")
-    ).join(tks, "tk", "left_semi")
+    created = erp.xml_rec.where(F.col("DATECR").startswith(str(int(year))))
+    headers = created.withColumn("tk", ltrim0_or_empty("STCD1")).join(tks, "tk", "left_semi").drop("tk")
+    by_cpf = _invoices_with_active(erp, headers, erp.nfeit).withColumn("tk", ltrim0_or_empty("STCD1"))
+    if materialize:
+        zrow, by_cpf = cut_lineage(zrow, "audit-ledger"), cut_lineage(by_cpf, "audit-candidates")
     n_by_tk = by_cpf.groupBy("tk").agg(F.count(F.lit(1)).alias("n"))
     item_cpf = items.select(*ITEM, "dc").join(dc_cpf, "dc", "inner")
     n_cand = item_cpf.join(n_by_tk, "tk", "inner").groupBy(*ITEM).agg(F.sum("n").alias("n_cand"))

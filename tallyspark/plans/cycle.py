@@ -22,9 +22,9 @@ from tallyspark.operators.reconcile import eligible, reconcile
 from tallyspark.operators.summary import digest, process_summary, run_status
 from tallyspark.operators.upsert import dedup_last
 from tallyspark.schemas import RESULT_COLUMNS, RESULT_SCHEMA
-from tallyspark.session import stage_scope
+from tallyspark.session import cut_lineage, stage_scope
 from tallyspark.sinks.writers import export_batch, save_to_targets, TRUNCATE
-from tallyspark.sources.registry import DEFAULT_PROCESSES, ProcessDef, registry_frame
+from tallyspark.sources.registry import DEFAULT_PROCESSES, ProcessDef, active_processes, registry_frame
 from tallyspark.sources.testdata import ErpTables
 
 
@@ -36,6 +36,40 @@ class CycleResult:
     per_process: DataFrame
     totals: DataFrame
     digest: DataFrame
+    failed: dict[str, str]  # process -> message, of the processes that report ERRO
+
+
+def _export_isolated(
+    spark: SparkSession,
+    queues: Mapping[str, DataFrame],
+    erp: ErpTables,
+    years: Sequence[int],
+    processes: Sequence[ProcessDef],
+    run_ts: _dt.datetime,
+    batch_path: str,
+) -> dict[str, str]:
+    """Reconcile and export the batch; returns the failed processes.
+
+    A process without a queue fails alone.  All others run in one plan; only
+    if that fails each is run by itself, so one bad queue costs the others no
+    result.  Nothing of a failed process is exported.
+    """
+    failed = {p.process_name: "queue is absent" for p in processes if p.process_name not in queues}
+    rest = [p for p in processes if p.process_name not in failed]
+    try:
+        if rest:
+            export_batch(reconcile(queues, erp, years, rest, run_ts), batch_path)
+            return failed
+    except Exception:  # whose fault it is, the runs by process tell
+        pass
+    out = spark.createDataFrame([], RESULT_SCHEMA)
+    for p in rest:
+        try:
+            out = out.unionByName(cut_lineage(reconcile(queues, erp, years, [p], run_ts), "process"))
+        except Exception as e:  # noqa: BLE001 - reported as the process status
+            failed[p.process_name] = str(e)
+    export_batch(out, batch_path)
+    return failed
 
 
 def run_cycle(
@@ -49,15 +83,20 @@ def run_cycle(
     mode: str = "reference",
     run_ts: _dt.datetime | None = None,
 ) -> CycleResult:
-    processes = list(processes)
+    processes = active_processes(processes)
     started = _dt.datetime.now()
     run_ts = run_ts or started
     root = out_root.rstrip("/")
 
     batch_path = f"{root}/batch"
+    if not processes:
+        empty = spark.createDataFrame([], RESULT_SCHEMA)
+        per = process_summary(empty, registry_frame(spark, processes))
+        totals = run_status(per, started, _dt.datetime.now())
+        return CycleResult(batch_path, [], empty, per, totals, digest(per, totals, None), {})
     # the reconcile's intermediate tables only feed the batch export
     with stage_scope(spark, "cycle"):
-        export_batch(reconcile(queues, erp, years, processes, run_ts), batch_path)
+        failed = _export_isolated(spark, queues, erp, years, processes, run_ts, batch_path)
     batch = spark.read.schema(RESULT_SCHEMA).parquet(batch_path).select(*RESULT_COLUMNS)
 
     # the cycle truncates its targets and loads the eligible rows keyed:
@@ -65,9 +104,10 @@ def run_cycle(
     target_paths = [f"{root}/{t}" for t in targets]
     save_to_targets(dedup_last(eligible(batch, mode)), target_paths, TRUNCATE)
 
-    per = process_summary(batch, registry_frame(spark, processes))
+    bad = spark.createDataFrame([(p,) for p in failed], "PROCESS_NAME string") if failed else None
+    per = process_summary(batch, registry_frame(spark, processes), bad)
     totals = run_status(per, started, _dt.datetime.now())
-    return CycleResult(batch_path, target_paths, batch, per, totals, digest(per, totals, None))
+    return CycleResult(batch_path, target_paths, batch, per, totals, digest(per, totals, None), failed)
 
 
 def main(argv: list[str] | None = None) -> None:

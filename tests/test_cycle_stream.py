@@ -52,6 +52,30 @@ def test_cycle_invariants(spark, small_dir, tmp_out):
     assert any(d.startswith("PROCESS_NAME=") for d in os.listdir(res.batch_path))
 
 
+def test_cycle_without_processes_is_partial(spark, tmp_out):
+    q, erp = fx.build(spark)
+    res = run_cycle(spark, q, erp, [2026], tmp_out, processes=[])
+    assert res.totals.first().status == "PARCIAL" and res.target_paths == []
+    assert res.batch.count() == 0 and res.digest.count() == 0
+
+
+def test_a_failing_process_does_not_end_the_others(spark, tmp_out):
+    """A process without a queue and one whose queue cannot be read report
+    ERRO; the batch and the targets hold the rows of the others."""
+    q, erp = fx.build(spark)
+    del q[fx.VALOR]
+    q[fx.ARMAZEN] = q[fx.ARMAZEN].drop("n_contrato")
+    res = run_cycle(spark, q, erp, [2026], tmp_out)
+    assert set(res.failed) == {fx.VALOR, fx.ARMAZEN}
+    per = {r.PROCESS_NAME: r.status for r in res.per_process.collect()}
+    assert per == {fx.FIXO: "SUCESSO", fx.S_FIX: "SEM_DADOS", fx.C_FIX: "SEM_DADOS", fx.ARMAZEN: "ERRO", fx.VALOR: "ERRO"}
+    totals = res.totals.first()
+    assert totals.status == "PARCIAL" and totals.processos_erro == 2
+    want = reconcile({fx.FIXO: q[fx.FIXO]}, erp, [2026], [get_process(fx.FIXO)])
+    assert res.batch.count() == want.count()
+    assert spark.read.parquet(res.target_paths[0]).count() == dedup_last(eligible(want)).count()
+
+
 def test_sinks_round_trip(spark, tmp_out):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "ID long, PROCESS_NAME string")
     save(df, f"{tmp_out}/t", "APPEND")
