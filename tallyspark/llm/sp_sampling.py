@@ -38,7 +38,7 @@ from tallyspark.llm.common import chunks, flat_bytes, mix64
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 K = 2
 SEED = 20
-GRAPH_BYTES = 1 << 18  # text bytes of the lattices built together (a longer text makes its own)
+GRAPH_BYTES = 1 << 16  # text bytes of the lattices built together (a longer text makes its own)
 SPACE = "▁"
 ESCAPE = 0xD800  # stands for a literal U+2581; no valid text holds it
 END = 0x110000  # the node behind a text, beyond all code points
@@ -55,11 +55,16 @@ def logsub(a, b):
         return a + np.log(-np.expm1(np.minimum(b - a, 0.0)))
 
 
-def uniform(keys: np.ndarray, stream: int, at: np.ndarray) -> np.ndarray:
+def stream_keys(keys: np.ndarray, stream: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix64(keys + U(stream) * U(0x9E3779B97F4A7C15))
+
+
+def uniform(keys: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Numbers in (0, 1) that depend on row key, stream and position alone."""
     with np.errstate(over="ignore"):
-        x = mix64(keys + U(stream) * U(0x9E3779B97F4A7C15)) + at.astype(U) * U(0xD1342543DE82EF95)
-        return ((mix64(x) >> U(11)).astype(np.float64) + 0.5) * 2.0**-53
+        x = mix64(keys + at.astype(U) * U(0xD1342543DE82EF95))
+    return ((x >> U(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
 class Lattice:
@@ -111,28 +116,32 @@ class Lattice:
             else:
                 steps.append((node[prefix[:-1]] << 21 | ord(prefix[-1]), n))
         self.bits = max(10, (4 * len(steps)).bit_length())
-        self.keys, self.next = np.zeros(1 << self.bits, U), np.zeros(1 << self.bits, np.int32)
+        self.table = np.zeros(1 << self.bits, U)  # (node, character) and the node behind, 0 if free
+        assert len(ids) < 1 << 21
         for (key, n), s in zip(steps, self._slot(np.array([k for k, _ in steps], U)).tolist(), strict=True):
-            while self.next[s]:
+            while self.table[s]:
                 s = (s + 1) & ((1 << self.bits) - 1)
-            self.keys[s], self.next[s] = key, n
+            self.table[s] = key << 21 | n
 
     def _slot(self, key: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
             return ((key * U(0x9E3779B97F4A7C15)) >> U(64 - self.bits)).astype(np.int64)
 
     def step(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
-        key = (node.astype(U) << U(21)) | char.astype(U)
+        key = (node.astype(U) << U(21)) | char
         slot = self._slot(key)
-        out, other = self.next[slot], self.keys[slot] != key
-        todo = np.flatnonzero(other & (out > 0))
+        got = self.table[slot]
+        out = got & U((1 << 21) - 1)
+        other = np.flatnonzero((got >> U(21)) != key)
         out[other] = 0
+        todo = other[got[other] > 0]
         while len(todo):
             slot[todo] = (slot[todo] + 1) & ((1 << self.bits) - 1)
-            got, hit = self.next[slot[todo]], self.keys[slot[todo]] == key[todo]
-            out[todo[hit]] = got[hit]
+            got = self.table[slot[todo]]
+            hit = (got >> U(21)) == key[todo]
+            out[todo[hit]] = got[hit] & U((1 << 21) - 1)
             todo = todo[~hit & (got > 0)]
-        return out
+        return out.astype(np.int64)
 
     def decode(self, ids) -> str:
         raw = b"".join(bytes([self.back[i]]) if i in self.back else self.text[i].replace(SPACE, " ").encode() for i in ids)
@@ -161,8 +170,9 @@ class Graph:
         """Matches of all pieces at all nodes; bytes where no piece has the
         single character; one edge leads out of each text's end."""
         n, chars, trie = len(self.chars), self.chars, self.lattice
-        at = np.flatnonzero(trie.first[chars])
-        node, found, depth = trie.first[chars[at]], [], 1
+        node, found, depth = trie.first[chars], [], 1
+        at = np.flatnonzero(node)
+        node = node[at]
         one = np.zeros(n, bool)
         while len(at):
             ids = trie.piece[node]
@@ -172,12 +182,11 @@ class Graph:
                 one[at[ends]] = True
                 found.insert(0, (1, np.flatnonzero(~one), None))
             node = trie.step(node, chars[at + depth])
-            at, node, depth = at[node > 0], node[node > 0], depth + 1
+            more = np.flatnonzero(node)
+            at, node, depth = at[more], node[more], depth + 1
         if not found:
             found.append((1, np.arange(n), None))
-        degree = np.zeros(n, np.int32)
-        for _, where, _ in found:
-            degree[where] += 1
+        degree = np.bincount(np.concatenate([where for _, where, _ in found]), minlength=n).astype(np.int32)
         self.start = np.zeros(n + 1, np.int64)
         np.cumsum(degree, out=self.start[1:])
         free = self.start[:-1].copy()
@@ -205,22 +214,23 @@ class Graph:
         cut[1:] = np.maximum.accumulate(np.maximum.reduceat(self.to, start[:-1])) <= np.arange(1, n + 1)
         cuts = np.flatnonzero(cut)
         away = np.repeat(cuts[1:], np.diff(cuts)) - np.arange(n)
+        self.cut = cut
         small = np.uint16 if away.max() < 1 << 16 else np.int64
         nodes = np.argsort(away.astype(small), kind="stable")
-        edges = np.argsort(away[self.node].astype(small), kind="stable")
-        levels = np.bincount(away)
-        sums, self.lp = np.zeros(n + 1), np.empty(len(weight))
-        i = j = 0
-        for count in levels[1:].tolist():
-            mine = nodes[i : i + count]
-            deg = degree[mine]
-            begin = np.cumsum(deg) - deg
-            out = edges[j : j + int(deg.sum())]
-            i, j = i + count, j + len(out)
-            x = weight[out] + sums[self.to[out]]
-            got = np.logaddexp.reduceat(x, begin)
-            self.lp[out] = np.minimum(x - np.repeat(got, deg), 0.0)
-            sums[mine] = np.where(cut[mine], 0.0, got)
+        deg = degree[nodes]
+        begin = np.cumsum(deg) - deg
+        edges = np.repeat(start[nodes] - begin, deg) + np.arange(len(weight))
+        weights, targets = weight[edges], self.to[edges]
+        sums, after = np.empty(n), np.zeros(n + 1)  # from a node on; the same, but none behind a cut
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(away)[1:])])
+        begin = np.append(begin, len(weight))
+        for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            if i < j:
+                lo, hi = begin[i], begin[j]
+                got = np.logaddexp.reduceat(weights[lo:hi] + after[targets[lo:hi]], begin[i:j] - lo)
+                sums[nodes[i:j]] = got
+                after[nodes[i:j]] = np.where(cut[nodes[i:j]], 0.0, got)
+        self.lp = np.minimum(weight + after[self.to] - np.repeat(sums, degree), 0.0)
         p = np.exp(self.lp)
         upto = np.cumsum(p)
         self.p, self.below = p, upto - np.repeat(upto[start[:-1]] - p[start[:-1]], degree)
@@ -231,6 +241,16 @@ class Graph:
         k = np.add.reduceat((self.below <= np.repeat(draws, self.degree)).astype(np.int32), first)
         return first + np.minimum(k, self.degree - 1)
 
+    def paths(self, choice: np.ndarray) -> np.ndarray:
+        """Nodes on the chosen paths that start at every cut."""
+        on = np.zeros(len(self.chars) + 1, bool)
+        at = np.flatnonzero(self.cut[:-1])
+        while len(at):
+            on[at] = True
+            at = self.to[choice[at]]
+            at = at[~self.cut[at]]
+        return np.flatnonzero(on)
+
     def pieces(self, edges: np.ndarray) -> np.ndarray:
         """Ids of a path; a character without a piece gives its bytes."""
         ids = self.ids[edges]
@@ -258,19 +278,19 @@ def truncated(phi: np.ndarray, most: float, draws: np.ndarray) -> np.ndarray:
         return -np.logaddexp(-most, -phi + np.log(-np.log(draws)))
 
 
-def search(graph: Graph, doc: int, choices: list, draws: list, scalars: np.ndarray, k: int):
+def search(graph: Graph, doc: int, choices: list, nodes: list, keys: list, scalars: np.ndarray, k: int):
     """(edges, log-probability, perturbed value, inclusion score) of the top k
-    paths of a text.  ``choices`` and ``draws`` hold, per path, an edge and a
-    number for every node."""
+    paths of a text.  Per path, ``choices`` holds an edge for every node,
+    ``nodes`` where these lead from all cuts, ``keys`` its random stream."""
     a, b = int(graph.doc[doc]), int(graph.doc[doc + 1]) - 1
 
     def walk(at: int, r: int) -> np.ndarray:
-        edge = choices[r][at:b]
-        follow, out, i = (graph.to[edge] - at).tolist(), [], 0
-        while i < b - at:
-            out.append(i)
-            i = follow[i]
-        return edge[out]
+        head = []
+        while not graph.cut[at]:
+            head.append(int(choices[r][at]))
+            at = int(graph.to[head[-1]])
+        lo, hi = np.searchsorted(nodes[r], (at, b))
+        return np.concatenate([np.array(head, np.int64), choices[r][nodes[r][lo:hi]]])
 
     value = float(-math.log(-math.log(scalars[0])))
     path, begin = walk(a, 0), 0
@@ -281,9 +301,9 @@ def search(graph: Graph, doc: int, choices: list, draws: list, scalars: np.ndarr
         rest = np.full(len(path), -math.inf)
         if begin < len(path):
             before = np.concatenate([[0.0], np.cumsum(lp)[:-1]])[begin:]
-            many = graph.degree[graph.node[path[begin:]]] > 1
-            phi = np.where(many, before + logsub(np.zeros(len(before)), lp[begin:]), -math.inf)
-            rest[begin:] = truncated(phi, value, draws[r][graph.node[path[begin:]]])
+            node = graph.node[path[begin:]]
+            phi = np.where(graph.degree[node] > 1, before + logsub(0.0, lp[begin:]), -math.inf)
+            rest[begin:] = truncated(phi, value, uniform(keys[r][doc], node - a))
         paths.append(path)
         lps.append(lp)
         rests.append(rest)
@@ -317,12 +337,13 @@ def sample_texts(lattice: Lattice, texts: list[str], keys: list[int], k: int = K
     with np.errstate(over="ignore"):
         key = mix64(np.array([x & 0xFFFFFFFFFFFFFFFF for x in keys], U) + U(seed) * U(0xBF58476D1CE4E5B9))
     size = np.diff(graph.doc)
-    of_node, place = np.repeat(key, size), np.arange(len(graph.chars)) - np.repeat(graph.doc[:-1], size)
-    choices = [graph.choose(uniform(of_node, 2 * r + 1, place)) for r in range(k)]
-    draws = [uniform(of_node, 2 * r + 2, place) for r in range(k)]
-    scalars = uniform(key[:, None], 0, np.arange(2 * k + 1)[None, :])
+    place = np.arange(len(graph.chars)) - np.repeat(graph.doc[:-1], size)
+    choices = [graph.choose(uniform(np.repeat(stream_keys(key, 2 * r + 1), size), place)) for r in range(k)]
+    nodes = [graph.paths(c) for c in choices]
+    keys = [stream_keys(key, 2 * r + 2) for r in range(k)]
+    scalars = uniform(stream_keys(key, 0)[:, None], np.arange(2 * k + 1)[None, :])
     for doc in range(len(texts)):
-        yield [(graph.pieces(e), lp, v, inc) for e, lp, v, inc in search(graph, doc, choices, draws, scalars[doc], k)]
+        yield [(graph.pieces(e), lp, v, inc) for e, lp, v, inc in search(graph, doc, choices, nodes, keys, scalars[doc], k)]
 
 
 def sample(lattice: Lattice, text: str, key: int, k: int = K, seed: int = SEED) -> list[tuple]:
