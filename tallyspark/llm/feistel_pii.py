@@ -33,6 +33,10 @@ DATE = r"(?P<date>(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-]))"
 CARD = r"(?P<card>(?<!\d)(?:\d{13,19}|\d{4}(?P<sep>[ -])\d{4}(?P=sep)\d{4}(?P=sep)\d{1,7})(?!\d))"
 FOUND = re.compile("|".join((EMAIL, IP, DATE, SSN, PHONE, CARD)), re.ASCII)
 
+# First digits of area code and exchange that no assigned number has: a second
+# domain, so that such phone numbers are replaced among themselves.
+LEADS_01 = [f"{a}{e}" for a in range(10) for e in range(10) if a < 2 or e < 2]
+
 DAY0 = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2100, 1, 1).toordinal() - DAY0
 FOUND_T = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("pseudonym", pa.string())]))
@@ -101,7 +105,10 @@ def pseudonym(kind: str, value: str, key: bytes = KEY) -> str | None:
     if kind == "phone":
         own, country = digits[-10:], digits[:-10]
         if own[0] in "01" or own[3] in "01":
-            return None
+            index = LEADS_01.index(own[0] + own[3]) * 10**8 + int(own[1:3] + own[4:])
+            lead, rest = divmod(permute(index, len(LEADS_01) * 10**8, key, "phone01"), 10**8)
+            (area, exchange), rest = LEADS_01[lead], f"{rest:08d}"
+            return refill(value, f"{country}{area}{rest[:2]}{exchange}{rest[2:]}")
         index = (((int(own[0]) - 2) * 100 + int(own[1:3])) * 8 + int(own[3]) - 2) * 10**6 + int(own[4:])
         index, rest = divmod(permute(index, 64 * 10**8, key, "phone"), 10**6)
         area, exchange = divmod(index, 8)

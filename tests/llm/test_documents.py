@@ -104,6 +104,22 @@ def test_pseudonyms_are_valid_linked_and_a_permutation(make):
     assert feistel_pii.pseudonymise(make([])).count() == 0
 
 
+def test_phones_with_a_leading_0_or_1_are_replaced(make):
+    values = ["+1 (017) 555-7713", "+1 (152) 555-8590", "988-055-2485", "110.155.2485"]
+    rows = [(40 + i, f"call {v} or {v}, now") for i, v in enumerate(values)]
+    got = {r.doc_id: r for r in feistel_pii.pseudonymise(make(rows)).collect()}
+    for i, v in enumerate(values):
+        r = got[40 + i]
+        assert v not in r.text and r.kinds == "phone" and r.n_found == 2
+        new = {f.pseudonym for f in r.found}
+        assert len(new) == 1 and re.sub(r"\d", "0", new.pop()) == re.sub(r"\d", "0", v)
+    many = [f"{a:03d}-{e:03d}-7713" for a in range(0, 1000, 7) for e in range(0, 1000, 7)]
+    new = [feistel_pii.pseudonym("phone", v) for v in many]
+    assert len(set(new)) == len(many)
+    assigned = lambda v: v[0] not in "01" and v[4] not in "01"
+    assert [assigned(v) for v in many] == [assigned(v) for v in new]
+
+
 # --------------------------------------------------------------- near-dedup
 
 
