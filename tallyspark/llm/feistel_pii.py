@@ -30,7 +30,7 @@ IP = r"(?P<ip>(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d.]*\d))"
 PHONE = r"(?P<phone>(?<![\d+])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d))"
 SSN = r"(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
 DATE = r"(?P<date>(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-]))"
-CARD = r"(?P<card>(?<!\d)(?:\d{13,19}|\d{4}(?P<sep>[ -])\d{4}(?P=sep)\d{4}(?P=sep)\d{1,7})(?!\d))"
+CARD = r"(?P<card>(?<!\d)(?:\d{13,19}|\d{4}(?P<sep>[ -])(?:\d{4}(?P=sep)\d{4}(?P=sep)\d{1,7}|\d{6}(?P=sep)\d{5}))(?!\d))"
 FOUND = re.compile("|".join((EMAIL, IP, DATE, SSN, PHONE, CARD)), re.ASCII)
 
 # First digits of area code and exchange that no assigned number has: a second
@@ -128,13 +128,14 @@ def pseudonym(kind: str, value: str, key: bytes = KEY) -> str | None:
 
 
 def mask(text: str, key: bytes = KEY) -> tuple[str, list[dict]]:
-    out, found, at = [], [], 0
-    for m in FOUND.finditer(text):
+    out, found, at, pos = [], [], 0, 0
+    while m := FOUND.search(text, pos):
         new = pseudonym(m.lastgroup, m.group(), key)
         if new is None:
+            pos = m.start() + 1  # a valid value may begin inside the refused one
             continue
         out += [text[at : m.start()], new]
-        at = m.end()
+        at = pos = m.end()
         found.append({"kind": m.lastgroup, "start": m.start(), "end": m.end(), "pseudonym": new})
     return "".join(out) + text[at:], found
 

@@ -120,6 +120,24 @@ def test_phones_with_a_leading_0_or_1_are_replaced(make):
     assert [assigned(v) for v in many] == [assigned(v) for v in new]
 
 
+def test_values_inside_a_refused_match_and_cards_grouped_4_6_5(make):
+    rows = [
+        (50, "in 2024 4111 1111 1111 1111 was used"),
+        (51, "2001-2024-4111-1111-1111-1111."),
+        (52, "amex 3782 822463 10005 or 3782-822463-10005, not 3782 822463 10006"),
+        (53, "2024 2024 4111 1111 1111 1112"),
+    ]
+    got = {r.doc_id: r for r in feistel_pii.pseudonymise(make(rows)).collect()}
+    for i, head, tail in ((50, "in 2024 ", " was used"), (51, "2001-2024-", ".")):
+        assert got[i].kinds == "card" and got[i].n_found == 1
+        assert got[i].text.startswith(head) and got[i].text.endswith(tail) and "1111" not in got[i].text
+        assert got[i].text[got[i].found[0].start : got[i].found[0].end] == got[i].found[0].pseudonym
+    assert got[52].kinds == "card" and got[52].n_found == 2 and got[52].text.endswith("not 3782 822463 10006")
+    one, two = (f.pseudonym for f in got[52].found)
+    assert one.replace(" ", "-") == two and one != "3782 822463 10005" and feistel_pii.luhn(two.replace("-", "")[:-1]) == int(two[-1])
+    assert got[53].text == rows[3][1] and got[53].n_found == 0
+
+
 # --------------------------------------------------------------- near-dedup
 
 
