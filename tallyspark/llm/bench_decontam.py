@@ -9,14 +9,19 @@ The items are read to the driver in blocks of at most ``BLOCK_CHARS``
 characters and every block makes its own pass over the documents, so the
 automaton a task holds is bounded however long the benchmark is.
 
-Rows: null or empty texts match nothing; items that are null or shorter than
-``MIN_CHARS`` after normalisation are not searched (too short to tell a copy
-from chance).  Repeated rows and repeated items give one match each.
+Items shorter than ``MIN_CHARS`` after normalisation have no error budget: the
+whole item is its one piece, and an exact copy counts where it does not begin
+or end inside a word.  Scripts written without spaces have no such limits.
+
+Rows: null or empty texts match nothing; items that are null or empty after
+normalisation are not searched.  Repeated rows and repeated items give one
+match each.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,6 +34,8 @@ BLOCK_CHARS = 4 << 20
 SCHEMA = "doc_id long, item_id long, edits int, start long, end long"
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 UPPER = {i: i + 32 for i in range(65, 91)}
+# Scripts without spaces between words: Thai to Myanmar, Khmer, CJK with kana, Yi.
+UNSPACED = re.compile(r"[\u0E00-\u109F\u1780-\u17FF\u2E80-\uA4CF\uF900-\uFAFF\uFF66-\uFF9F\U00020000-\U0003FFFF]")
 
 
 def normalise(text: str) -> str:
@@ -36,7 +43,16 @@ def normalise(text: str) -> str:
 
 
 def budget(n: int, share: float = ERROR_SHARE) -> int:
-    return max(1, int(n * share))
+    return max(1, int(n * share)) if n >= MIN_CHARS else 0
+
+
+def in_word(c: str) -> bool:
+    return (c == "_" or unicodedata.category(c)[0] in "LMN") and not UNSPACED.match(c)
+
+
+def splits_word(text: str, at: int) -> bool:
+    """Whether a cut before character ``at`` parts a word in two."""
+    return 0 < at < len(text) and in_word(text[at - 1]) and in_word(text[at])
 
 
 def myers(pattern: str, text: str, most: int) -> tuple[int, int] | None:
@@ -87,9 +103,14 @@ class Matcher:
     def find(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item, edits, start, end) of the best match of each found item."""
         windows: dict[int, list[list[int]]] = {}
+        exact: dict[int, tuple[int, int]] = {}
         for end, (size, at) in self.seeds.iter(text):
             for k, off in at:
                 _, t, most = self.items[k]
+                if not most:
+                    if k not in exact and not splits_word(text, end + 1 - size) and not splits_word(text, end + 1):
+                        exact[k] = (end + 1 - size, end + 1)
+                    continue
                 lo = max(0, end + 1 - size - off - most)
                 hi = min(len(text), end + 1 - size - off + len(t) + most)
                 got = windows.setdefault(k, [])
@@ -97,7 +118,7 @@ class Matcher:
                     got[-1][1] = max(hi, got[-1][1])
                 else:
                     got.append([lo, hi])
-        out = []
+        out = [(self.items[k][0], 0, *span) for k, span in exact.items()]
         for k, spans in windows.items():
             item, t, most = self.items[k]
             best = None
@@ -116,7 +137,7 @@ def item_blocks(benchmark: DataFrame, limit: int):
     block, size = [], 0
     for row in benchmark.select("item_id", "text").filter("text is not null").distinct().toLocalIterator():
         t = normalise(row["text"])
-        if len(t) < MIN_CHARS:
+        if not t:
             continue
         if block and size + len(t) > limit:
             yield block

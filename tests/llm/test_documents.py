@@ -384,6 +384,28 @@ def test_decontamination_finds_edited_items(make, spark):
     assert bench_decontam.find_items(make(rows), bench.limit(0)).count() == 0
 
 
+def test_decontamination_finds_short_items(make, spark):
+    han, kana = "中国的首都是哪座城市请选择正确答案" * 2 + "一二三四五", "日本でいちばん高い山はどれですか"
+    items = [(1, "What is 2+2?"), (2, han), (3, kana), (4, "cat"), (5, " \n"), (6, ""), (7, "the Capital")]
+    assert len(han) == 39
+    rows = EDGE + [
+        (300, "quiz: what  IS\n2+2? four"),
+        (301, "前文" + han + "后文"),
+        (302, "問題" + kana + "答え"),
+        (303, "concatenate a cat."),
+        (304, "concatenate cats, cat_a, cat\u0301 and scat"),
+        (305, "What is 2+3? the capitals"),
+        (306, "the\tcapital"),
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for limit in (1 << 20, 10):
+        got = {(r.doc_id, r.item_id): r for r in bench_decontam.find_items(make(rows), bench, limit=limit).collect()}
+        assert set(got) == {(300, 1), (301, 2), (302, 3), (303, 4), (306, 7)}
+        assert {r.edits for r in got.values()} == {0} and (got[303, 4].start, got[303, 4].end) == (14, 17)
+        kept = {r.doc_id for r in bench_decontam.keep_clean(make(rows), bench, limit=limit).collect()}
+        assert kept == {d for d, _ in EDGE} | {304, 305}
+
+
 # -------------------------------------------------------------- language ID
 
 
