@@ -114,10 +114,10 @@ class Matcher:
                 lo = max(0, end + 1 - size - off - most)
                 hi = min(len(text), end + 1 - size - off + len(t) + most)
                 got = windows.setdefault(k, [])
-                if got and lo <= got[-1][1]:
-                    got[-1][1] = max(hi, got[-1][1])
-                else:
-                    got.append([lo, hi])
+                while got and lo <= got[-1][1]:
+                    a, b = got.pop()
+                    lo, hi = min(lo, a), max(hi, b)
+                got.append([lo, hi])
         out = [(self.items[k][0], 0, *span) for k, span in exact.items()]
         for k, spans in windows.items():
             item, t, most = self.items[k]

@@ -82,10 +82,10 @@ class Scanner:
                 lo = max(0, end + 1 - size - off - k)
                 hi = lo + len(n) + 3 * k
                 got = regions.setdefault(i, [])
-                if got and lo <= got[-1][1]:
-                    got[-1][1] = max(got[-1][1], hi)
-                else:
-                    got.append([lo, hi])
+                while got and lo <= got[-1][1]:
+                    a, b = got.pop()
+                    lo, hi = min(lo, a), max(hi, b)
+                got.append([lo, hi])
         out = []
         for i, got in sorted(regions.items()):
             n, label, _ = self.notices[i]

@@ -406,6 +406,28 @@ def test_decontamination_finds_short_items(make, spark):
         assert kept == {d for d, _ in EDGE} | {304, 305}
 
 
+def test_windows_of_repetitive_items_are_not_cut():
+    unit = "acb db acacb db acacb db acacb db acacb db acacb db acac"
+    text = "x " * 30 + "acb qb acacb db acacb db acacb db acacb db acacb db acaq" + " y" * 30
+    assert bench_decontam.myers(unit, text, 2)[0] == 2
+    assert [h[:2] for h in bench_decontam.Matcher([(1, unit)], 0.05).find(text)] == [(1, 2)]
+    rng, hits = random.Random(1), 0
+    for _ in range(1500):
+        unit = bench_decontam.normalise("".join(rng.choice("abcd ") for _ in range(rng.choice([5, 7, 10, 14]))) * 8)[: rng.randrange(45, 75)]
+        if len(unit) < 40:
+            continue
+        most, chars = bench_decontam.budget(len(unit)), list(unit)
+        for _ in range(most):
+            chars[rng.randrange(len(chars))] = rng.choice(["", "q", "zz"])
+        text = "x " * 30 + "".join(chars) + " y" * 30
+        want = bench_decontam.myers(unit, text, most)
+        assert [h[1] for h in bench_decontam.Matcher([(1, unit)], 0.05).find(text)] == ([want[0]] if want else [])
+        scanner = license_scan.Scanner(((unit, "l", most),))
+        assert bool(scanner.spans(text)) == bool(scanner.fuzzy[0].search(text))
+        hits += want is not None
+    assert hits > 100
+
+
 # -------------------------------------------------------------- language ID
 
 
