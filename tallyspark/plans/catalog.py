@@ -540,3 +540,23 @@ def q_stream_cycle(spark, sf_dir):
     process = get_process(STREAM_PROCESS)
     out = run_available(spark, queues[STREAM_PROCESS], process, erp, YEARS, root, files=2)
     return out.drop("DATA_EXECUCAO")
+
+
+@register("stream_cycle_all", with_ctes(dedup_sql(f"({_ELIG_REF_SQL})", RESULT_NO_CLOCK)))
+def q_stream_cycle_all(spark, sf_dir):
+    """One stream per active process.  PROCESS_NAME is part of the upsert key,
+    so the union of their results is the result of the whole cycle."""
+    import uuid
+    from functools import reduce
+
+    from tallyspark.session import checkpoint_dir
+    from tallyspark.sources.registry import active_processes
+    from tallyspark.streaming.queue_stream import run_available
+
+    queues, erp = _sources(spark, sf_dir)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/stream-cycle-{uuid.uuid4().hex}"
+    outs = [
+        run_available(spark, queues[p.process_name], p, erp, YEARS, f"{root}/{p.process_name}", files=2)
+        for p in active_processes()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), outs).drop("DATA_EXECUCAO")

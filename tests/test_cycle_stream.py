@@ -214,3 +214,20 @@ def test_cycle_cli(spark, small_dir, tmp_out, capsys):
     main(["--sf-dir", small_dir, "--out", f"{tmp_out}/cli"])
     out = capsys.readouterr().out
     assert '"status": "SUCESSO"' in out and "CTRFIXO: SUCESSO" in out
+
+
+def test_stream_covers_every_active_process(spark, small_dir, monkeypatch):
+    """One stream per active process, each in its own folder (the rows are
+    held against the SQL by the oracle test of ``stream_cycle_all``)."""
+    from tallyspark.plans.catalog import QUERIES
+    from tallyspark.sources.registry import active_processes
+
+    seen = {}
+
+    def landed(spark, rows, process, erp, years, root, files=2):
+        seen[process.process_name] = root
+        return spark.createDataFrame([], RESULT_SCHEMA)
+
+    monkeypatch.setattr("tallyspark.streaming.queue_stream.run_available", landed)
+    assert "DATA_EXECUCAO" not in QUERIES["stream_cycle_all"](spark, small_dir).columns
+    assert list(seen) == [p.process_name for p in active_processes()] and len(set(seen.values())) == 5
