@@ -322,8 +322,10 @@ def remove_repeats(docs: DataFrame, stages: Stages | None = None, part: int = PA
     hot = found.groupBy("a").agg(F.count("*").alias("m")).filter("m > 1")
     hot = hot.select("a", F.ceil(F.col("m") / part).alias("parts"))
     runs = found.join(hot, "a").groupBy("tid", "n").agg(F.collect_list(F.struct("a", "parts", "s0", "s1")).alias("runs"))
-    need = runs.join(copies.filter("doc_id is not null").select("tid", "n", "doc_id"), ["tid", "n"])
-    texts = base.select("doc_id", "tid", "n", "text").join(need, ["doc_id", "tid", "n"]).dropDuplicates(["tid", "n"])
+    need = runs.join(copies.select("tid", "n", F.col("doc_id").alias("rep")), ["tid", "n"])
+    rows = base.select("doc_id", F.col("tid").alias("row_tid"), F.col("n").alias("row_n"), "text")
+    own = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("row_tid") == F.col("tid")) & (F.col("row_n") == F.col("n"))
+    texts = rows.join(need, own).dropDuplicates(["tid", "n"])
     texts = stages.write(texts.select("tid", "n", "text", "runs"), "texts")
     contexts = cut_contexts(texts).withColumn("part", F.pmod(F.xxhash64("tid", "s0"), "parts"))
     got = stages.write(search_shards(contexts), "shards")

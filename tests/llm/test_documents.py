@@ -255,6 +255,15 @@ def test_suffix_dedup_matches_brute_force(make):
     assert suffix_dedup.remove_repeats(make([])).count() == 0
 
 
+def test_suffix_dedup_of_texts_under_a_null_doc_id(make):
+    rng = random.Random(10)
+    passage = prose(rng, 120)
+    rows = [(None, prose(rng, 30) + passage + prose(rng, 40)), (70, prose(rng, 20) + passage), (None, prose(rng, 150))]
+    got = suffix_dedup.remove_repeats(make(rows)).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == suffix_brute(rows)
+    assert sorted(r.n_removed > 0 for r in got) == [False, True, True]
+
+
 # ------------------------------------------------------------- SentencePiece
 
 
