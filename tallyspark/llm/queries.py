@@ -11,8 +11,11 @@ from tallyspark.llm import (
     exact_stream_dedup,
     feistel_pii,
     hamming_dedup,
+    kronecker_negatives,
     license_scan,
     mixture_langid,
+    prefix_trie,
+    simhash_bitslice,
     sp_sampling,
     suffix_dedup,
     url_cascade,
@@ -63,6 +66,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture_langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op11_simhash_bitsliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_bitslice.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_report(prefix_trie.build_trie(_table(spark, sf_dir, "conversations")))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kronecker_negatives.mine_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -80,8 +95,16 @@ LLM_QUERIES = {
         op8_html_extraction,
         op9_decontamination,
         op10_language_id,
+        op11_simhash_bitsliced,
+        op12_prefix_trie,
+        op13_hard_negatives,
         pipeline,
     )
 }
 
-LLM_ORACLE = {"op2_exact_dedup": exact_stream_dedup.ORACLE, "op3_url_filter": url_cascade.ORACLE}
+LLM_ORACLE = {
+    "op2_exact_dedup": exact_stream_dedup.ORACLE,
+    "op3_url_filter": url_cascade.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
+    "op13_hard_negatives": kronecker_negatives.ORACLE,
+}
