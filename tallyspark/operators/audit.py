@@ -10,8 +10,8 @@ SEM_NF_DO_CPF -> NF_DIVERGE.
 Everything is joins and partial aggregates: per-order facts (tax ids, the
 invoices linked by order number) are aggregated per order before they meet
 the items; the tax-id match is two equi-joins (rounded value; 0.1-wide value
-bucket with the exact tolerance check), so no tax id ever pairs all its
-invoices with all its items.
+bucket with the exact tolerance check) against the distinct values of a tax id
+and quantity, so no tax id ever pairs all its invoices with all its items.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from tallyspark.functions.keys import (
     strip_ws,
     zfill10,
 )
+from tallyspark.functions.rounding import py_round
 from tallyspark.operators.blocks import ACTIVE_KEYS_7, active_nfe
 from tallyspark.session import cut_lineage
 from tallyspark.sources.testdata import ErpTables
@@ -46,7 +47,9 @@ SITUATION_TEXT = {
 }
 VALUE_TOLERANCE = 0.10
 
-ITEM = ["proc", "qid", "pos"]
+# What an item's facts depend on.  Ids may be missing or repeated, so an item is
+# looked up by its content, and items that agree in it are looked up once.
+ITEM = ["dc", "cockpit"]
 
 
 def audit_items(queues: Mapping[str, DataFrame], procs: Mapping[str, str] = AUDIT_PROCS) -> DataFrame:
@@ -116,6 +119,7 @@ def audit_booked(items: DataFrame, erp: ErpTables, year: int, materialize: bool
     if materialize:
         items = cut_lineage(items, "audit-items")
     keys = _order_numbers(items)
+    wanted = items.select(*ITEM).distinct()
 
     # expected amounts: first ledger row of (contract, cockpit); empty cockpit never matches
     zmm = erp.zmmt0022.join(keys.withColumnRenamed("k", "CONTRATO"), "CONTRATO", "left_semi").select(
@@ -125,7 +129,7 @@ def audit_booked(items: DataFrame, erp: ErpTables, year: int, materialize: bool
         F.col("QTDE").cast("double").alias("q"),
         F.col("VALOR").cast("double").alias("v"),
     )
-    with_ck = items.where(F.col("cockpit") != "").withColumn("idk", ltrim0_or_empty("cockpit"))
+    with_ck = wanted.where(F.col("cockpit") != "").withColumn("idk", ltrim0_or_empty("cockpit"))
     zrow = with_ck.join(zmm, ["dc", "idk"], "inner").groupBy(*ITEM).agg(
         F.min(F.struct("zid", "q", "v")).alias("z")
     )
@@ -165,37 +169,40 @@ def audit_booked(items: DataFrame, erp: ErpTables, year: int, materialize: bool
     if materialize:
         zrow, by_cpf = cut_lineage(zrow, "audit-ledger"), cut_lineage(by_cpf, "audit-candidates")
     n_by_tk = by_cpf.groupBy("tk").agg(F.count(F.lit(1)).alias("n"))
-    item_cpf = items.select(*ITEM, "dc").join(dc_cpf, "dc", "inner")
-    n_cand = item_cpf.join(n_by_tk, "tk", "inner").groupBy(*ITEM).agg(F.sum("n").alias("n_cand"))
+    n_cand = dc_cpf.join(n_by_tk, "tk", "inner").groupBy("dc").agg(F.sum("n").alias("n_cand"))
 
-    # tax-id match: quantity to 3 places and value within 0.10 or equal rounded
-    exp = item_cpf.join(zrow, ITEM, "inner").select(
+    # tax-id match: quantity to 3 places and value within 0.10 or equal rounded.
+    # Invoices that agree in tax id, quantity and value are one candidate, so a
+    # hot tax id gives an item as many pairs as it has values in reach, not invoices.
+    exp = zrow.join(dc_cpf, "dc", "inner").select(
         *ITEM, "tk", F.col("z.q").alias("qexp"), F.col("z.v").alias("vexp")
     ).where(F.col("qexp").isNotNull() & F.col("vexp").isNotNull())
-    cand = by_cpf.where(F.col("qcom").isNotNull() & F.col("v_nf").isNotNull()).select(
-        "tk", F.bround("qcom", 3).alias("q3"), "v_nf", "docnum", "nf",
-        F.bround("v_nf", 0).alias("r0"), F.floor(F.col("v_nf") * 10).alias("bucket"),
-    )
-    e = exp.select(*ITEM, "tk", F.bround("qexp", 3).alias("q3"), "vexp")
-    by_round = e.withColumn("r0", F.bround("vexp", 0)).join(cand, ["tk", "q3", "r0"], "inner")
+    cand = by_cpf.where(F.col("qcom").isNotNull() & F.col("v_nf").isNotNull())
+    cand = cand.groupBy("tk", py_round("qcom", 3).alias("q3"), "v_nf").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.bool_or(nonblank_docnum("docnum")), F.lit(False)).alias("filled"),
+        F.min(_best(1)).alias("best"),
+    ).select("*", py_round("v_nf", 0).alias("r0"), F.floor(F.col("v_nf") * 10).alias("bucket"))
+    e = exp.select(*ITEM, "tk", py_round("qexp", 3).alias("q3"), "vexp")
+    by_round = e.withColumn("r0", py_round("vexp", 0)).join(cand, ["tk", "q3", "r0"], "inner")
     near = e.select(
         "*", F.explode(F.sequence(F.floor(F.col("vexp") * 10) - 2, F.floor(F.col("vexp") * 10) + 2)).alias("bucket")
-    ).join(cand.drop("r0"), ["tk", "q3", "bucket"], "inner").where(
-        (F.abs(F.col("v_nf") - F.col("vexp")) <= VALUE_TOLERANCE)
-        & (F.bround("v_nf", 0) != F.bround("vexp", 0))
+    ).join(cand, ["tk", "q3", "bucket"], "inner").where(
+        (F.abs(F.col("v_nf") - F.col("vexp")) <= VALUE_TOLERANCE) & (F.col("r0") != py_round("vexp", 0))
     )
-    matches = by_round.select(*ITEM, "docnum", "nf").unionByName(near.select(*ITEM, "docnum", "nf"))
+    found = [*ITEM, "n", "filled", "best"]
+    matches = by_round.select(*found).unionByName(near.select(*found))
     m_by_item = matches.groupBy(*ITEM).agg(
-        F.count(F.lit(1)).alias("n_match_oficial"),
-        F.coalesce(F.bool_or(nonblank_docnum("docnum")), F.lit(False)).alias("escrit_oficial"),
-        F.min(_best(1)).alias("best_m"),
+        F.sum("n").alias("n_match_oficial"),
+        F.bool_or("filled").alias("escrit_oficial"),
+        F.min("best").alias("best_m"),
     )
 
     d = (
         items.join(zrow, ITEM, "left")
         .join(cpf_by_dc, "dc", "left")
         .join(po_by_dc, "dc", "left")
-        .join(n_cand, ITEM, "left")
+        .join(n_cand, "dc", "left")
         .join(m_by_item, ITEM, "left")
     )
     n_po = F.coalesce(F.col("n_po_nfs"), F.lit(0))

@@ -39,12 +39,13 @@ from tallyspark.operators.blocks import (
     storage_contract_block,
     vtin_columns,
 )
+from tallyspark.operators.skew import CellBudget, even_join
 from tallyspark.schemas import RESULT_COLUMNS, ROUTE_DOCUMENT, ROUTE_TAX_ID, STORAGE_ONLY_COLUMNS
 from tallyspark.sources.registry import KIND_PURCHASE, KIND_STORAGE, KIND_VALUE
 from tallyspark.session import cut_lineage
 from tallyspark.sources.testdata import ErpTables
 
-ITEM_KEY = ["PROCESS_NAME", "id", "numero_cockpit"]
+ITEM_KEY = ["PROCESS_NAME", "queue_row_id", "numero_cockpit"]
 
 LEDGER_COLUMNS = {
     "MANDT": "ZMMT_MANDT",
@@ -259,7 +260,23 @@ def _tax_output(j: DataFrame, hc_columns: list[str]) -> DataFrame:
     )
 
 
-def match_via_tax_id(hc: DataFrame, erp: ErpTables, years: Sequence[int], invoices: DataFrame | None = None) -> DataFrame:
+# what tells the rows of one (tax id, quantity) apart: item and ledger row; invoice line and document
+_HIT_ID = ["queue_row_id", "numero_cockpit", "ZMMT_ID", "ZMMT_DATA", "ZMMT_VALOR", "CPF_CNPJ", "ITEM_CONTRATO"]
+_INVOICE_ID = ["VTIN_XML", "ITEM", "VTIN_NF_NUM", "VTIN_VLR_NF", "PARCEIRO", "PESO_LIQUIDO", "VLR_NF"]
+
+
+def _tax_join(base: DataFrame, inv: DataFrame, keys: list[tuple[str, str]], budget: CellBudget | None, condition=None) -> DataFrame:
+    """Hits with the invoices of their key; with a budget (both sides written
+    before) a hot tax id is dealt over a grid of bounded cells."""
+    left_on, right_on = [a for a, _ in keys], [b for _, b in keys]
+    if budget is None:
+        on = [base[a] == inv[b] for a, b in keys]
+        return base.join(inv, on if condition is None else [*on, condition], "inner")
+    return even_join(base, inv, left_on, right_on, [c for c in _HIT_ID if c in base.columns], _INVOICE_ID, budget, condition)
+
+
+def match_via_tax_id(hc: DataFrame, erp: ErpTables, years: Sequence[int], invoices: DataFrame | None = None,
+                     budget: CellBudget | None = None) -> DataFrame:
     """C3 (VIA_CPF_MATCH) for purchase and storage items without a posting
     document: tax id and rounded quantity, value by either rounding."""
     base = _tax_side(
@@ -267,19 +284,13 @@ def match_via_tax_id(hc: DataFrame, erp: ErpTables, years: Sequence[int], invoic
     ).withColumn("_h_val_key", round_amount("ZMMT_VALOR", 2))
     inv = invoices if invoices is not None else open_invoices(erp, years)
     inv = inv.select("*", F.explode(_value_keys(F.col("VTIN_VLR_NF"))).alias("_val_key"))
-    j = base.join(
-        inv,
-        (base["_h_tax_key"] == inv["_tax_key"])
-        & (base["_h_qty_key"] == inv["_qty_key"])
-        & (base["_h_val_key"] == inv["_val_key"]),
-        "inner",
-    )
+    j = _tax_join(base, inv, [("_h_tax_key", "_tax_key"), ("_h_qty_key", "_qty_key"), ("_h_val_key", "_val_key")], budget)
     return _tax_output(j, hc.columns)
 
 
 def match_value_complement(
     hc: DataFrame, erp: ErpTables, years: Sequence[int], invoices: DataFrame | None = None,
-    anchor_days: int = 90,
+    anchor_days: int = 90, budget: CellBudget | None = None,
 ) -> DataFrame:
     """C4: value-complement items; tax id and rounded quantity, emission on
     or after the ledger date minus ``anchor_days`` (one-sided), no value rule
@@ -299,14 +310,8 @@ def match_value_complement(
     )
     inv = invoices if invoices is not None else open_invoices(erp, years)
     inv = inv.withColumn("_emission", parse_ymd("VTIN_DT_EMISSAO")).withColumn("_year", F.year("_emission"))
-    j = base.join(
-        inv,
-        (base["_h_tax_key"] == inv["_tax_key"])
-        & (base["_h_qty_key"] == inv["_qty_key"])
-        & (base["_h_year"] == inv["_year"])
-        & (inv["_emission"] >= base["_h_anchor"]),
-        "inner",
-    )
+    keys = [("_h_tax_key", "_tax_key"), ("_h_qty_key", "_qty_key"), ("_h_year", "_year")]
+    j = _tax_join(base, inv, keys, budget, F.col("_emission") >= F.col("_h_anchor"))
     return _tax_output(j, hc.columns)
 
 
@@ -318,11 +323,13 @@ def match_all(items: DataFrame, erp: ErpTables, years: Sequence[int], materializ
     inv = open_invoices(erp, years, hc if materialize else None)
     if materialize:
         inv = cut_lineage(inv, "open-invoices")
-    return match_routes(hc, erp, years, inv)
+    return match_routes(hc, erp, years, inv, CellBudget() if materialize else None)
 
 
-def match_routes(hc: DataFrame, erp: ErpTables, years: Sequence[int], inv: DataFrame) -> DataFrame:
+def match_routes(hc: DataFrame, erp: ErpTables, years: Sequence[int], inv: DataFrame, budget: CellBudget | None = None) -> DataFrame:
+    """All routes; ``budget`` (hits and invoices written before) evens out hot
+    tax ids."""
     doc = match_via_document(hc, erp, years)
-    tax = match_via_tax_id(hc, erp, years, inv)
-    val = match_value_complement(hc, erp, years, inv)
+    tax = match_via_tax_id(hc, erp, years, inv, budget)
+    val = match_value_complement(hc, erp, years, inv, budget=budget)
     return doc.unionByName(tax).unionByName(val)

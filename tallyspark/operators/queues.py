@@ -1,14 +1,16 @@
-"""Queue scans (S1, S2) and the cockpit explode into work items."""
+"""Queue scans (S1, S2), the cockpit explode into work items and the identity
+of the queue rows (C1)."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.keys import lpad10, ltrim0, split_cockpits
 from tallyspark.schemas import QUEUE_COLUMNS
+from tallyspark.session import cut_lineage
 from tallyspark.sources.registry import (
     DEFAULT_PROCESSES,
     KIND_STORAGE,
@@ -50,6 +52,17 @@ def scan_queue(raw: DataFrame, process: ProcessDef) -> DataFrame:
     return df.select(*QUEUE_COLUMNS)
 
 
+def row_digest(process_name: str) -> Column:
+    """Content of a queue row (all columns but the exploded cockpit) and its
+    process, as 128 bits of SHA-256 in hex; NULL and '' differ."""
+    parts = [F.lit(process_name)]
+    for c in QUEUE_COLUMNS:
+        if c != "numero_cockpit":
+            text = F.col(c).cast("string")
+            parts.append(F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.length(text).cast("string"), F.lit(":"), text)))
+    return F.substring(F.sha2(F.concat(*parts), 256), 1, 32)
+
+
 def expand_queues(
     queues: Mapping[str, DataFrame], processes: Iterable[ProcessDef] = DEFAULT_PROCESSES
 ) -> DataFrame:
@@ -57,10 +70,8 @@ def expand_queues(
 
     Adds ``PROCESS_NAME``, ``ordinal``, ``kind`` and the two join keys:
     ``ctr_key`` (the contract as the ledger holds it) and ``cockpit_key``
-    (cockpit id without leading zeros).  An item is identified by
-    (PROCESS_NAME, id, numero_cockpit): cockpits are distinct within a queue
-    row, so duplicates of a queue row stay duplicated only if the queue
-    itself repeats an id.
+    (cockpit id without leading zeros), and ``row_digest``, the content of
+    the queue row; :func:`number_items` makes it the row's identity.
     """
     active = list(active_processes(processes))
     absent = [p.process_name for p in active if p.process_name not in queues]
@@ -78,6 +89,7 @@ def expand_queues(
                 F.lit(p.kind).alias("kind"),
                 ctr_key.alias("ctr_key"),
                 ltrim0(F.col("numero_cockpit")).alias("cockpit_key"),
+                row_digest(p.process_name).alias("row_digest"),
             )
         )
     if not parts:
@@ -86,3 +98,36 @@ def expand_queues(
     for df in parts[1:]:
         out = out.unionByName(df)
     return out
+
+
+def number_items(items: DataFrame) -> DataFrame:
+    """The items with ``queue_row_id``, written once.
+
+    A queue id may be NULL or repeated, so a row's identity is its content and,
+    among rows of equal content, an occurrence number.  Cockpits are distinct
+    within a row, so the n-th item of (content, cockpit) belongs to the n-th
+    such row, and rows of equal content are interchangeable: the identity does
+    not depend on how the queue is partitioned.
+
+    Occurrences are numbered inside each written partition and moved by the
+    counts of the partitions before, so a row repeated without bound is never
+    one task's work; items that occur once only pay the (partial) count.
+    """
+    content = ["row_digest", "numero_cockpit"]
+    staged = cut_lineage(items.withColumn("_part", F.spark_partition_id()), "items")
+    per_part = staged.groupBy(*content, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = per_part.groupBy(*content).agg(F.sum("_n").alias("_total")).where("_total > 1").select(*content)
+    repeated = cut_lineage(repeated, "repeated-items")
+
+    def named(df: DataFrame, occurrence: Column) -> DataFrame:
+        row_id = F.concat_ws("-", "row_digest", occurrence.cast("string")).alias("queue_row_id")
+        return df.select(*[c for c in items.columns if c != "row_digest"], row_id)
+
+    if repeated.isEmpty():
+        return named(staged, F.lit(1))
+    before = F.sum("_n").over(Window.partitionBy(*content).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = per_part.join(repeated, content, "left_semi").select(*content, "_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    # equal rows: their order inside a partition is of no account
+    place = F.row_number().over(Window.partitionBy(*content, "_part").orderBy(F.lit(0)))
+    many = named(staged.join(offsets, [*content, "_part"]).withColumn("_k", place), F.col("_before") + F.col("_k"))
+    return cut_lineage(named(staged.join(repeated, content, "left_anti"), F.lit(1)).unionByName(many), "numbered-items")

@@ -1,4 +1,5 @@
-"""Reconcile all processes in one plan (C5), with row-level quarantine (C6),
+"""Reconcile all processes in one plan (C5), with ERRO rows for items that fail a
+fatal check (C6, :mod:`tallyspark.operators.checks`),
 conformance to the fixed result schema (K9, P2) and eligibility (C7)."""
 
 from __future__ import annotations
@@ -9,7 +10,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.keys import is_blank, parse_ymd
+from tallyspark.functions.keys import is_blank
+from tallyspark.operators.checks import quarantine
 from tallyspark.operators.match import (
     ITEM_KEY,
     item_contracts,
@@ -18,15 +20,16 @@ from tallyspark.operators.match import (
     open_invoices,
     with_contracts,
 )
+from tallyspark.operators.skew import CellBudget
 from tallyspark.session import cut_lineage
-from tallyspark.operators.queues import expand_queues
+from tallyspark.operators.queues import expand_queues, number_items
 from tallyspark.schemas import (
     RESULT_SCHEMA,
     ROW_ERRO,
     ROW_SEM_RETORNO,
     ROW_SUCESSO,
 )
-from tallyspark.sources.registry import DEFAULT_PROCESSES, KIND_VALUE, ProcessDef
+from tallyspark.sources.registry import DEFAULT_PROCESSES, ProcessDef
 from tallyspark.sources.testdata import ErpTables
 
 # queue column -> result column (then everything is upper-cased)
@@ -58,21 +61,6 @@ def conform(df: DataFrame, schema=RESULT_SCHEMA, keep_extra: bool = False) -> Da
     return df.select(*cols, *extra)
 
 
-def quarantine(hc: DataFrame) -> DataFrame:
-    """Value-complement items whose contract-joined ledger rows carry a
-    date that cannot be read (the date anchor would fail) become ERRO rows.
-
-    ``hc`` are the ledger hits with their contract block; returns the item
-    key plus ``MENSAGEM_ERRO`` (one aggregate per item).
-    """
-    bad = hc.where((F.col("kind") == KIND_VALUE) & parse_ymd("ZMMT_DATA").isNull())
-    return bad.groupBy(*ITEM_KEY).agg(
-        F.concat(F.lit("data invalida no razao: "), F.coalesce(F.min("ZMMT_DATA"), F.lit("NULL"))).alias(
-            "MENSAGEM_ERRO"
-        )
-    )
-
-
 def prepare(items: DataFrame, erp: ErpTables, years: Sequence[int], materialize: bool = True):
     """Shared inputs of the routes: ledger hits with their contract block
     (all items) and the open-invoice block.  Both feed several joins, so
@@ -93,6 +81,7 @@ def reconcile(
     processes: Iterable[ProcessDef] = DEFAULT_PROCESSES,
     run_ts: _dt.datetime | None = None,
     materialize: bool = True,
+    budget: CellBudget = CellBudget(),
 ) -> DataFrame:
     """Every active process, every work item, in one plan.
 
@@ -103,13 +92,11 @@ def reconcile(
     and the items without any match are an anti-join against the distinct
     matched item keys.
     """
-    items = expand_queues(queues, processes)
-    if materialize:
-        items = cut_lineage(items, "items")
+    items = number_items(expand_queues(queues, processes))
     hc_all, inv = prepare(items, erp, years, materialize)
     bad = quarantine(hc_all)
     hc = hc_all.join(bad.select(*ITEM_KEY), ITEM_KEY, "left_anti")
-    matches = match_routes(hc, erp, years, inv)
+    matches = match_routes(hc, erp, years, inv, budget if materialize else None)
     if materialize:
         matches = cut_lineage(matches, "matches")
     # SUCESSO rows come straight from the matches (they carry the item

@@ -187,7 +187,7 @@ def first_errors(batch: DataFrame, n: int = 5) -> DataFrame:
             "PROCESS_NAME", "ID", "NUMERO_COCKPIT",
             F.format_string("• %s: %s", safe_text(F.col("PROCESS_NAME")), safe_text(F.col("MENSAGEM_ERRO"))).alias("line"),
         )
-        .orderBy("PROCESS_NAME", "ID", "NUMERO_COCKPIT")
+        .orderBy("PROCESS_NAME", F.col("ID").asc_nulls_last(), F.col("NUMERO_COCKPIT").asc_nulls_last(), "line")
         .limit(n)
     )
 

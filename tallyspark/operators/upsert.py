@@ -76,6 +76,18 @@ def key_violations(df: DataFrame, keys: Sequence[str] = UPSERT_KEYS) -> DataFram
     )
 
 
+def as_named_in(batch: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The batch with its columns spelt as in ``names``: column names are one
+    whatever their case (two batch columns that differ in case only raise)."""
+    spelt = {n.upper(): n for n in names}
+    seen: dict[str, str] = {}
+    for c in batch.columns:
+        if c.upper() in seen:
+            raise ValueError(f"columns {seen[c.upper()]!r} and {c!r} collide as {c.upper()!r}")
+        seen[c.upper()] = c
+    return batch.select(*[F.col(f"`{c}`").alias(spelt.get(u, c)) for u, c in seen.items()])
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str] = UPSERT_KEYS) -> DataFrame:
     """Merge ``batch`` into ``target`` by the upsert key.
 
@@ -83,9 +95,10 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str] = UPSERT_KEY
     the batch value for every column the batch has and keeps the target
     value for the others; new keys are inserted (target-only columns NULL);
     untouched target rows stay.  The result has the target's columns plus
-    any new batch columns (never drops a column).
+    any new batch columns (never drops a column).  Column names are one
+    whatever their case.
     """
-    target, batch = evolve(target, batch, keep_batch_columns=True)
+    target, batch = evolve(target, as_named_in(batch, target.columns), keep_batch_columns=True)
     batch_cols = set(batch.columns)
     b = dedup_last(batch, keys)
     nk = len(keys)

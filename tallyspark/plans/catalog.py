@@ -20,8 +20,9 @@ from tallyspark.operators.match import (
     match_via_document,
     match_via_tax_id,
 )
-from tallyspark.operators.queues import expand_queues
-from tallyspark.operators.reconcile import conform, eligible, prepare, quarantine, reconcile
+from tallyspark.operators.queues import expand_queues, number_items
+from tallyspark.operators.checks import quarantine, row_reasons
+from tallyspark.operators.reconcile import conform, eligible, prepare, reconcile
 from tallyspark.plans.oracle import DEFAULT_YEARS, MATCH_AVAILABLE, conform_select, with_ctes
 from tallyspark.schemas import ROW_SUCESSO
 from tallyspark.sources.registry import DEFAULT_PROCESSES, KIND_STORAGE, KIND_VALUE
@@ -59,7 +60,7 @@ def _sources(spark: SparkSession, sf_dir: str):
 
 def _hc(spark: SparkSession, sf_dir: str, processes=DEFAULT_PROCESSES):
     queues, erp = _sources(spark, sf_dir)
-    hc_all, _ = prepare(expand_queues(queues, processes), erp, YEARS, materialize=True)
+    hc_all, _ = prepare(number_items(expand_queues(queues, processes)), erp, YEARS, materialize=True)
     hc = hc_all.join(quarantine(hc_all).select(*ITEM_KEY), ITEM_KEY, "left_anti")
     return erp, hc
 
@@ -76,13 +77,13 @@ _NO_CLOCK = "SELECT * EXCLUDE (DATA_EXECUCAO) FROM {src}"
 @register("queue_expand", with_ctes("SELECT * FROM items WHERE kind <> 'value'"))
 def q_queue_expand(spark, sf_dir):
     queues, _ = _sources(spark, sf_dir)
-    return expand_queues(queues, [p for p in DEFAULT_PROCESSES if p.kind != KIND_VALUE])
+    return number_items(expand_queues(queues, [p for p in DEFAULT_PROCESSES if p.kind != KIND_VALUE]))
 
 
 @register("queue_expand_value", with_ctes("SELECT * FROM items WHERE kind = 'value'"))
 def q_queue_expand_value(spark, sf_dir):
     queues, _ = _sources(spark, sf_dir)
-    return expand_queues(queues, [p for p in DEFAULT_PROCESSES if p.kind == KIND_VALUE])
+    return number_items(expand_queues(queues, [p for p in DEFAULT_PROCESSES if p.kind == KIND_VALUE]))
 
 
 # --- J3/J4: contract blocks ------------------------------------------------------
@@ -139,7 +140,7 @@ def q_match_value_complement(spark, sf_dir):
 )
 def q_match_storage(spark, sf_dir):
     queues, erp = _sources(spark, sf_dir)
-    items = expand_queues(queues, [p for p in DEFAULT_PROCESSES if p.kind == KIND_STORAGE])
+    items = number_items(expand_queues(queues, [p for p in DEFAULT_PROCESSES if p.kind == KIND_STORAGE]))
     return _conformed(match_all(items, erp, YEARS))
 
 
@@ -149,11 +150,12 @@ def q_reconcile_all(spark, sf_dir):
     return reconciled(spark, sf_dir).drop("DATA_EXECUCAO")
 
 
-@register("quarantine", with_ctes("SELECT * FROM bad"))
+@register("quarantine", with_ctes("SELECT PROCESS_NAME, queue_row_id, id, numero_cockpit, motivos, MENSAGEM_ERRO FROM reasons"))
 def q_quarantine(spark, sf_dir):
     queues, erp = _sources(spark, sf_dir)
-    hc_all, _ = prepare(expand_queues(queues), erp, YEARS, materialize=False)
-    return quarantine(hc_all)
+    items = number_items(expand_queues(queues))
+    hc_all, _ = prepare(items, erp, YEARS, materialize=False)
+    return row_reasons(items, hc_all).withColumn("motivos", F.array_join("motivos", "; "))
 
 
 # --- C7: eligibility -------------------------------------------------------------
@@ -246,6 +248,23 @@ def q_upsert_merge(spark, sf_dir):
     return upsert(target, batch)
 
 
+@register("keyed_table_merge", _upsert_sql())
+def q_keyed_table_merge(spark, sf_dir):
+    """The merge of ``upsert_merge`` in the stored bucketed table: the target
+    is its first version, the batch comes in lower-case names."""
+    import uuid
+
+    from tallyspark.session import checkpoint_dir, cut_lineage
+    from tallyspark.sinks.keyed_table import KeyedTable
+
+    rec = cut_lineage(reconciled(spark, sf_dir).drop("DATA_EXECUCAO"), "reconciled")
+    table = KeyedTable(spark, f"{checkpoint_dir(spark).rstrip('/')}/keyed-{uuid.uuid4().hex}", buckets=16)
+    table.merge(eligible(rec, "strict").withColumn("MSG_RPA", F.lit("ALVO")))
+    batch = eligible(rec, "reference")
+    table.merge(batch.select(*[F.col(c).alias(c.lower()) for c in BATCH_COLUMNS]))
+    return table.read().select(*RESULT_NO_CLOCK)
+
+
 EVOLVE_TARGET = RESULT_NO_CLOCK[: RESULT_NO_CLOCK.index("MENSAGEM_ERRO") + 1]
 EVOLVE_BATCH = ["ID", "PROCESS_NAME", "NUMERO_COCKPIT", "STATUS_EXECUCAO", "DOCNUM", "RESULTADO", "ORIGEM_MATCH"]
 
@@ -342,7 +361,7 @@ def q_digest(spark, sf_dir):
     with_ctes(
         """SELECT PROCESS_NAME, ID, NUMERO_COCKPIT,
   printf('• %s: %s', COALESCE(NULLIF(trim(PROCESS_NAME), ''), '-'), COALESCE(NULLIF(trim(MENSAGEM_ERRO), ''), '-')) AS line
-FROM reconciled WHERE STATUS_EXECUCAO = 'ERRO' ORDER BY PROCESS_NAME, ID, NUMERO_COCKPIT LIMIT 5"""
+FROM reconciled WHERE STATUS_EXECUCAO = 'ERRO' ORDER BY PROCESS_NAME, ID, NUMERO_COCKPIT, line LIMIT 5"""
     ),
 )
 def q_digest_errors(spark, sf_dir):
@@ -520,26 +539,17 @@ def q_pick_runner(spark, sf_dir):
 
 
 # --- ST1: the cycle as a stream over landed queue files ------------------------------------
-STREAM_PROCESS = "V2_Consulta_Comp_CTRFIXO"
-
-
-@register(
-    "stream_cycle",
-    with_ctes(dedup_sql(f"(SELECT * FROM ({_ELIG_REF_SQL}) e WHERE PROCESS_NAME = '{STREAM_PROCESS}')",
-                        RESULT_NO_CLOCK)),
-)
+@register("stream_cycle", with_ctes(dedup_sql(f"({_ELIG_REF_SQL})", RESULT_NO_CLOCK)))
 def q_stream_cycle(spark, sf_dir):
+    """All queues in one stream, the process as a column."""
     import uuid
 
     from tallyspark.session import checkpoint_dir
-    from tallyspark.sources.registry import get_process
-    from tallyspark.streaming.queue_stream import run_available
+    from tallyspark.streaming.cycle_stream import run_cycle_stream
 
     queues, erp = _sources(spark, sf_dir)
     root = f"{checkpoint_dir(spark).rstrip('/')}/stream-cycle-{uuid.uuid4().hex}"
-    process = get_process(STREAM_PROCESS)
-    out = run_available(spark, queues[STREAM_PROCESS], process, erp, YEARS, root, files=2)
-    return out.drop("DATA_EXECUCAO")
+    return run_cycle_stream(spark, queues, erp, YEARS, root, files=2).drop("DATA_EXECUCAO")
 
 
 @register("stream_cycle_all", with_ctes(dedup_sql(f"({_ELIG_REF_SQL})", RESULT_NO_CLOCK)))

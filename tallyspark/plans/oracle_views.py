@@ -32,7 +32,7 @@ def plain(k: str) -> str:
 def cockpit(k: str) -> str:
     return (
         f"CASE WHEN {k} % 17 = 0 THEN NULL WHEN {k} % 17 = 1 THEN ' | ' "
-        f"ELSE '1| 2|1||0003|' || CAST({k} % 7 + 1 AS VARCHAR) END"
+        f"ELSE '1| 2|1||0003|' || CAST({k} % 7 + 1 AS VARCHAR) || CASE WHEN {k} % 59 = 0 THEN '|A1' ELSE '' END END"
     )
 
 
@@ -47,30 +47,42 @@ def _priority(process_name: str) -> str:
     return next(k for k, v in PRIORITY_TO_PROCESS.items() if v == process_name)
 
 
+def queue_id(k: str) -> str:
+    return f"CASE WHEN {k} % 41 = 0 THEN NULL WHEN {k} % 43 = 0 THEN 7 ELSE {k} END"
+
+
+def queue_orders(process_name: str) -> str:
+    return (
+        "FROM orders JOIN (VALUES (1), (2)) twice(copy) ON copy = 1 OR o_orderkey % 47 = 0 "
+        f"WHERE o_orderpriority = '{_priority(process_name)}'"
+    )
+
+
 def quantity_queue_sql(process_name: str) -> str:
     k = "o_orderkey"
-    return f"""SELECT {k} AS id, {status(k)} AS status,
+    return f"""SELECT {queue_id(k)} AS id, {status(k)} AS status,
   o_orderstatus AS status_complemento_fixo, 'QUANTIDADE' AS tipo,
-  {plain(k)} AS n_contrato, {padded(k)} AS doc_compra, {cockpit(k)} AS numero_cockpit,
+  CASE WHEN {k} % 53 <> 0 THEN {plain(k)} END AS n_contrato, CASE WHEN {k} % 53 <> 0 THEN {padded(k)} END AS doc_compra,
+  {cockpit(k)} AS numero_cockpit,
   lpad(substr(o_orderpriority, 1, 1), 4, '0') AS centro,
   CAST(year(o_orderdate) AS VARCHAR) AS safra, 'SOJA' AS material,
   lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cod_parceiro,
   {ymd('o_orderdate')} AS data_hora_ultima_atualizacao, CAST(NULL AS VARCHAR) AS msg_rpa,
   'NFE' || CAST({k} AS VARCHAR) AS chave_acesso, {ymd('o_orderdate')} AS data_processamento,
   '08:00:00' AS hora_processamento
-FROM orders WHERE o_orderpriority = '{_priority(process_name)}'"""
+{queue_orders(process_name)}"""
 
 
 def value_queue_sql(process_name: str) -> str:
     k = "o_orderkey"
-    return f"""SELECT {k} AS id, CASE WHEN {k} % 3 = 2 THEN '02' ELSE '01' END AS ctr_status,
+    return f"""SELECT {queue_id(k)} AS id, CASE WHEN {k} % 3 = 2 THEN '02' ELSE '01' END AS ctr_status,
   o_orderstatus AS ctr_description, 'VALOR' AS tipo_complemento,
   {plain(k)} AS n_contrato, {padded(k)} AS documento_compras, {cockpit(k)} AS id_cockpit,
   lpad(substr(o_orderpriority, 1, 1), 4, '0') AS centro,
   CAST(year(o_orderdate) AS VARCHAR) AS safra, 'SOJA' AS material,
   lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS codigo_parceiro,
   {ymd('o_orderdate')} AS ctr_last_updated, CAST(NULL AS VARCHAR) AS msg_sap
-FROM orders WHERE o_orderpriority = '{_priority(process_name)}'"""
+{queue_orders(process_name)}"""
 
 
 def queue_view_name(process_name: str) -> str:
@@ -92,7 +104,7 @@ def erp_view_ctes() -> list[tuple[str, str]]:
         ("zmmt0022", f"""SELECT '{MANDT}' AS MANDT, lpad(CAST(l_linenumber AS VARCHAR), 6, '0') AS ID,
   {padded('l_orderkey')} AS CONTRATO,
   CASE WHEN l_orderkey % 23 = 0 THEN '00000000' ELSE {ymd('l_shipdate')} END AS DATA,
-  CAST(l_quantity AS DECIMAL(18,6)) AS QTDE, CAST(l_extendedprice AS DECIMAL(18,6)) AS VALOR,
+  CASE WHEN l_orderkey % 61 <> 0 THEN CAST(l_quantity AS DECIMAL(18,6)) END AS QTDE, CAST(l_extendedprice AS DECIMAL(18,6)) AS VALOR,
   CASE WHEN l_orderkey % 11 = 0 THEN '00000000' ELSE {ymd('l_shipdate')} END AS MIRO_DATA,
   '120000' AS MIRO_HORA,
   CASE WHEN l_returnflag = 'R' THEN '' ELSE CAST({MIRO_BASE} + {li} AS VARCHAR) END AS MIRO_DOC,

@@ -60,7 +60,12 @@ def _cockpit_text(orderkey: Column) -> Column:
     return (
         F.when(orderkey % 17 == 0, F.lit(None).cast("string"))
         .when(orderkey % 17 == 1, F.lit(" | "))
-        .otherwise(F.concat(F.lit("1| 2|1||0003|"), (orderkey % 7 + 1).cast("string")))
+        .otherwise(
+            F.concat(
+                F.lit("1| 2|1||0003|"), (orderkey % 7 + 1).cast("string"),
+                F.when(orderkey % 59 == 0, F.lit("|A1")).otherwise(F.lit("")),  # not a number
+            )
+        )
     )
 
 
@@ -75,17 +80,28 @@ def _queue_status(orderkey: Column) -> Column:
     )
 
 
+def _queue_id(orderkey: Column) -> Column:
+    """Queue ids as they come: some missing, some shared by different rows."""
+    return F.when(orderkey % 41 == 0, F.lit(None).cast("long")).when(orderkey % 43 == 0, F.lit(7).cast("long")).otherwise(orderkey)
+
+
+def _queue_orders(orders: DataFrame, process: ProcessDef) -> DataFrame:
+    """The orders of a queue; some stand in it twice, equal in every column."""
+    priority = next(k for k, v in PRIORITY_TO_PROCESS.items() if v == process.process_name)
+    copies = F.when(F.col("o_orderkey") % 47 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return orders.where(F.col("o_orderpriority") == priority).withColumn("_copy", F.explode(copies))
+
+
 def quantity_queue(orders: DataFrame, process: ProcessDef) -> DataFrame:
     """One quantity queue table (raw, before the status filter)."""
-    priority = next(k for k, v in PRIORITY_TO_PROCESS.items() if v == process.process_name)
     k = F.col("o_orderkey")
-    return orders.where(F.col("o_orderpriority") == priority).select(
-        k.alias("id"),
+    return _queue_orders(orders, process).select(
+        _queue_id(k).alias("id"),
         _queue_status(k).alias("status"),
         F.col("o_orderstatus").alias("status_complemento_fixo"),
         F.lit("QUANTIDADE").alias("tipo"),
-        _contract_plain(k).alias("n_contrato"),
-        _contract_padded(k).alias("doc_compra"),
+        F.when(k % 53 != 0, _contract_plain(k)).alias("n_contrato"),
+        F.when(k % 53 != 0, _contract_padded(k)).alias("doc_compra"),
         _cockpit_text(k).alias("numero_cockpit"),
         F.lpad(F.substring("o_orderpriority", 1, 1), 4, "0").alias("centro"),
         F.year("o_orderdate").cast("string").alias("safra"),
@@ -105,10 +121,9 @@ def quantity_queue(orders: DataFrame, process: ProcessDef) -> DataFrame:
 
 def value_queue(orders: DataFrame, process: ProcessDef) -> DataFrame:
     """The value-complement queue table, in its own column vocabulary."""
-    priority = next(k for k, v in PRIORITY_TO_PROCESS.items() if v == process.process_name)
     k = F.col("o_orderkey")
-    return orders.where(F.col("o_orderpriority") == priority).select(
-        k.alias("id"),
+    return _queue_orders(orders, process).select(
+        _queue_id(k).alias("id"),
         F.when(k % 3 == 2, "02").otherwise("01").alias("ctr_status"),
         F.col("o_orderstatus").alias("ctr_description"),
         F.lit("VALOR").alias("tipo_complemento"),
@@ -149,7 +164,7 @@ def ledger(lineitem: DataFrame) -> DataFrame:
         F.lpad(ln.cast("string"), 6, "0").alias("ID"),
         _contract_padded(lk).alias("CONTRATO"),
         F.when(lk % 23 == 0, F.lit("00000000")).otherwise(ymd("l_shipdate")).alias("DATA"),
-        amount("l_quantity").alias("QTDE"),
+        F.when(lk % 61 != 0, amount("l_quantity")).alias("QTDE"),
         amount("l_extendedprice").alias("VALOR"),
         F.when(lk % 11 == 0, F.lit("00000000")).otherwise(ymd("l_shipdate")).alias("MIRO_DATA"),
         F.lit("120000").alias("MIRO_HORA"),
