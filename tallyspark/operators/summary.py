@@ -9,8 +9,9 @@ as SEM_DADOS.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.keys import hhmmss, is_blank, safe_text
@@ -23,6 +24,7 @@ from tallyspark.schemas import (
     RUN_PARCIAL,
     RUN_SUCESSO,
 )
+from tallyspark.sources.registry import ProcessDef
 
 # --- fixed values: status -> card style / colour / short-name prefix ---------
 STATUS_STYLE = {"SUCESSO": "good", "ERRO": "attention", "PARCIAL": "warning", "SEM_DADOS": "warning"}
@@ -79,6 +81,40 @@ def process_summary(batch: DataFrame, registry: DataFrame, failed: DataFrame | N
     )
 
 
+# --- G-A1 without a second pass: metrics observed while the batch is written ---
+def batch_metrics(processes: Sequence[ProcessDef]) -> list[Column]:
+    """Counts per process for ``DataFrame.observe``: five a process, so their
+    number is the registry's."""
+    out = []
+    for i, p in enumerate(processes):
+        mine = F.col("PROCESS_NAME") == p.process_name
+        status = F.col("STATUS_EXECUCAO")
+        out += [
+            F.count_if(mine).alias(f"rows_{i}"),
+            F.count_if(mine & (status == ROW_SUCESSO)).alias(f"ok_{i}"),
+            F.count_if(mine & is_blank("DOCNUM")).alias(f"blank_{i}"),
+            F.count_if(mine & (status == ROW_SEM_RETORNO)).alias(f"pend_{i}"),
+            F.count_if(mine & (status == ROW_ERRO)).alias(f"err_{i}"),
+        ]
+    return out
+
+
+def summary_from_metrics(spark: SparkSession, metrics: Mapping[str, int], processes: Sequence[ProcessDef],
+                         failed: Iterable[str] = (), seconds: Mapping[str, float] | None = None) -> DataFrame:
+    """:func:`process_summary` from observed metrics, with each process's
+    duration; a row per process."""
+    seconds, failed, rows = seconds or {}, set(failed), []
+    for i, p in enumerate(processes):
+        n, ok, blank, pend, err = (int(metrics.get(f"{m}_{i}", 0)) for m in ("rows", "ok", "blank", "pend", "err"))
+        status = ROW_ERRO if p.process_name in failed else ROW_SUCESSO if n else PROC_SEM_DADOS
+        if status != ROW_SUCESSO:
+            n = blank = pend = err = 0
+        rows.append((p.process_name, p.ordinal, status, n, blank if ok else 0, pend, err, seconds.get(p.process_name)))
+    schema = ("PROCESS_NAME string, ordinal int, status string, rows_processed long, rows_aptas long, rows_pendentes long, "
+              "rows_erro long, duration_seconds double")
+    return spark.createDataFrame(rows, schema).withColumn("duration", hhmmss("duration_seconds"))
+
+
 def run_status(per_process: DataFrame, started_at: _dt.datetime | None = None,
                finished_at: _dt.datetime | None = None) -> DataFrame:
     """G-A2 + G-A3: one row of run totals and the run status.

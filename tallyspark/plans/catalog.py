@@ -337,6 +337,47 @@ def q_run_status(spark, sf_dir):
     return run_status(_per_process(spark, sf_dir))
 
 
+BROKEN_PROCESS, EMPTY_PROCESS = "V2_Consulta_Comp_ARMAZEN", "V2_Consulta_Comp_CTR_C_FIXACAO"
+
+
+@register(
+    "cycle_status",
+    with_all_ctes(
+        f"""SELECT PROCESS_NAME, ordinal,
+  CASE PROCESS_NAME WHEN '{BROKEN_PROCESS}' THEN 'ERRO' WHEN '{EMPTY_PROCESS}' THEN 'SEM_DADOS' ELSE status END AS status,
+  CASE WHEN off THEN 0 ELSE rows_processed END AS rows_processed, CASE WHEN off THEN 0 ELSE rows_aptas END AS rows_aptas,
+  CASE WHEN off THEN 0 ELSE rows_pendentes END AS rows_pendentes, CASE WHEN off THEN 0 ELSE rows_erro END AS rows_erro,
+  true AS timed, 'PARCIAL' AS run_status,
+  (SELECT count(*) FROM published) AS rows_dev, (SELECT count(*) FROM published) AS rows_prod
+FROM (SELECT *, PROCESS_NAME IN ('{BROKEN_PROCESS}', '{EMPTY_PROCESS}') AS off FROM per_process) p""",
+        extra=[
+            ("per_process", _PER_PROCESS_SQL),
+            ("published", dedup_sql(f"(SELECT * FROM ({_ELIG_REF_SQL}) e WHERE PROCESS_NAME NOT IN ('{BROKEN_PROCESS}', '{EMPTY_PROCESS}'))",
+                                    RESULT_NO_CLOCK)),
+        ],
+    ),
+)
+def q_cycle_status(spark, sf_dir):
+    """A whole cycle with one process whose queue lacks a column and one
+    without rows: counts observed during the write, durations, both targets."""
+    import uuid
+
+    from tallyspark.plans.cycle import run_cycle
+    from tallyspark.session import checkpoint_dir
+
+    queues, erp = _sources(spark, sf_dir)
+    queues = {**queues, BROKEN_PROCESS: queues[BROKEN_PROCESS].drop("n_contrato"), EMPTY_PROCESS: queues[EMPTY_PROCESS].where(F.lit(False))}
+    res = run_cycle(spark, queues, erp, YEARS, f"{checkpoint_dir(spark).rstrip('/')}/cycle-{uuid.uuid4().hex}")
+    dev, prod = (spark.read.parquet(p).count() for p in res.target_paths)
+    status = res.totals.select(F.col("status").alias("run_status"))
+    timed = F.coalesce(F.col("duration_seconds") > 0, F.lit(False)).alias("timed")
+    rows = res.per_process.select("PROCESS_NAME", "ordinal", "status", "rows_processed", "rows_aptas", "rows_pendentes", "rows_erro", timed)
+    # one row of totals beside a row per process
+    return rows.withColumn("_one", F.lit(1)).join(F.broadcast(status.withColumn("_one", F.lit(1))), "_one").drop("_one").select(
+        "*", F.lit(dev).cast("long").alias("rows_dev"), F.lit(prod).cast("long").alias("rows_prod")
+    )
+
+
 @register(
     "digest",
     with_all_ctes(
@@ -374,6 +415,23 @@ from tallyspark.operators.audit import audit_booked, audit_distribution, audit_f
 AUDIT_YEAR = 1998
 
 
+# --- SF7: rounding of doubles ------------------------------------------------------------
+from tallyspark.functions.rounding import py_round  # noqa: E402
+
+
+@register(
+    "rounded_doubles",
+    "SELECT l_orderkey, l_linenumber, x, " + ", ".join(f"CAST(printf('%.{n}f', x) AS DOUBLE) AS r{n}" for n in range(4))
+    + " FROM (SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DOUBLE) * CAST(l_discount AS DOUBLE) / 16 AS x FROM lineitem) t",
+)
+def q_rounded_doubles(spark, sf_dir):
+    from tallyspark.sources.testdata import read_table
+
+    x = F.col("l_extendedprice").cast("double") * F.col("l_discount").cast("double") / 16
+    rows = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", x.alias("x"))
+    return rows.select("*", *[py_round("x", n).alias(f"r{n}") for n in range(4)])
+
+
 def _audit_detail(spark, sf_dir):
     queues, erp = _sources(spark, sf_dir)
     return audit_booked(audit_items(queues), erp, AUDIT_YEAR)

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from tallyspark.operators.upsert import as_named_in, dedup_last, key_columns, upsert
 from tallyspark.schemas import RESULT_SCHEMA, UPSERT_KEYS
 from tallyspark.session import cut_lineage
+from tallyspark.sinks import files
 from tallyspark.sinks.writers import with_keys
 
 BUCKETS = 64
@@ -66,19 +67,13 @@ class KeyedTable:
         self._new = Manifest(0, buckets, tuple(keys), schema, {})
 
     # --- manifests ---------------------------------------------------------------
-    def _path(self, *parts: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
-
-    def _fs(self):
-        return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def _path(self, *parts: str) -> str:
+        return "/".join([self.root, *parts])
 
     def versions(self) -> list[int]:
         """Published versions, oldest first."""
-        fs, folder = self._fs(), self._path("_manifest")
-        if not fs.exists(folder):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith("."))
+        found = files.names(self.spark, self._path("_manifest"))
+        return [int(n.removesuffix(".json")) for n in found if n.endswith(".json") and not n.startswith(".")]
 
     def manifest(self, version: int | None = None) -> Manifest:
         """A version's manifest, the latest by default (version 0 is empty)."""
@@ -89,47 +84,31 @@ class KeyedTable:
             return self._new
         if version not in known:
             raise ValueError(f"{self.root} has no version {version}")
-        text = self.spark.read.text(str(self._path("_manifest", f"{version:010d}.json")), wholetext=True).first()
-        return Manifest.loads(text[0])
+        return Manifest.loads(files.read_text(self.spark, self._path("_manifest", f"{version:010d}.json")))
 
     def _publish(self, m: Manifest) -> None:
         """Create the manifest of the next version; fails if there is one.
         The content is written aside first, so a reader never sees half; a
         claim left by a merge that died here is removed by :meth:`recover`."""
-        fs = self._fs()
         final = self._path("_manifest", f"{m.version:010d}.json")
         claim = self._path("_manifest", f".{m.version:010d}.claim")
         aside = self._path("_manifest", f".{uuid.uuid4().hex}.aside")
-        taken = StaleVersion(f"version {m.version} of {self.root} is taken; merge again from the latest")
-        out = fs.create(aside, False)
-        out.write(bytearray(m.dumps().encode()))
-        out.close()
+        files.write_text(self.spark, aside, m.dumps())
         # an exclusive create is atomic where a rename may overwrite
-        if fs.exists(final) or not self._create(fs, claim):
-            fs.delete(aside, False)
-            raise taken
-        done = not fs.exists(final) and fs.rename(aside, final)
-        fs.delete(claim, False)
-        if not done:
-            fs.delete(aside, False)
-            raise taken
-
-    @staticmethod
-    def _create(fs, path) -> bool:
-        try:
-            return bool(fs.createNewFile(path))
-        except Exception as e:  # some file systems raise instead of answering
-            if "AlreadyExists" in str(e):
-                return False
-            raise
+        if not files.exists(self.spark, final) and files.claim(self.spark, claim):
+            done = not files.exists(self.spark, final) and files.rename(self.spark, aside, final)
+            files.delete(self.spark, claim)
+            if done:
+                return
+        files.delete(self.spark, aside)
+        raise StaleVersion(f"version {m.version} of {self.root} is taken; merge again from the latest")
 
     def recover(self) -> None:
         """Remove the claims and drafts of merges that died while they
         published.  Not to be run beside a merge."""
-        fs, folder = self._fs(), self._path("_manifest")
-        for s in fs.listStatus(folder) if fs.exists(folder) else []:
-            if s.getPath().getName().endswith((".claim", ".aside")):
-                fs.delete(s.getPath(), False)
+        for name in files.names(self.spark, self._path("_manifest")):
+            if name.endswith((".claim", ".aside")):
+                files.delete(self.spark, self._path("_manifest", name))
 
     # --- rows --------------------------------------------------------------------
     def read(self, version: int | None = None) -> DataFrame:
@@ -179,16 +158,14 @@ class KeyedTable:
         names, and the manifests before; returns the deleted folders.  Not to
         be run beside a merge."""
         known = self.versions()
-        kept = known[-keep:]
-        named = {f for v in kept for f in self.manifest(v).folders.values()}
-        fs, gone = self._fs(), []
-        data = self._path("data")
-        for write in fs.listStatus(data) if fs.exists(data) else []:
-            for bucket in fs.listStatus(write.getPath()):
-                name = f"data/{write.getPath().getName()}/{bucket.getPath().getName()}"
-                if bucket.isDirectory() and name not in named:
-                    fs.delete(bucket.getPath(), True)
+        named = {f for v in known[-keep:] for f in self.manifest(v).folders.values()}
+        gone = []
+        for write in files.names(self.spark, self._path("data")):
+            for bucket in files.names(self.spark, self._path("data", write)):
+                name = f"data/{write}/{bucket}"
+                if bucket.startswith(f"{_BUCKET}=") and name not in named:
+                    files.delete(self.spark, self._path(name))
                     gone.append(name)
         for v in known[:-keep]:
-            fs.delete(self._path("_manifest", f"{v:010d}.json"), False)
+            files.delete(self.spark, self._path("_manifest", f"{v:010d}.json"))
         return gone

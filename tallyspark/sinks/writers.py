@@ -8,6 +8,7 @@ folder and returns its path, so a failed job leaves the old version intact.
 
 from __future__ import annotations
 
+import datetime as _dt
 import uuid
 from collections.abc import Sequence
 
@@ -34,13 +35,20 @@ def save_strategy(drop_and_create: bool, truncate_before_insert: bool) -> str:
 def export_batch(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """K1 + O1: the full batch (all statuses), one folder per process, rows
     in queue order inside each file (a sort within partitions: the
-    partitioned writer sorts by process anyway; no global sort)."""
+    partitioned writer sorts by process anyway; no global sort).  A run
+    exports to a folder of its own (see :func:`export_path`)."""
     (
         df.sortWithinPartitions("PROCESS_NAME", "ID")
         .write.mode("overwrite").partitionBy("PROCESS_NAME").format(fmt).option("header", "true").save(path)
     )
 
 
+def export_path(root: str, run_ts: _dt.datetime) -> str:
+    """K1: the export folder of a run, named by its time; runs never
+    overwrite one another's."""
+    return f"{root.rstrip('/')}/batch/{run_ts:%Y%m%d_%H%M%S_%f}"
+
+
 def write_list_csv(listing: DataFrame, path: str, order: Sequence[str]) -> None:
     """K2: ';'-separated CSV with header, globally ordered (range-partitioned
     sort; part files are in order)."""
@@ -106,17 +114,31 @@ def upsert_path(spark: SparkSession, target_path: str | None, batch: DataFrame,
     return new_path
 
 
+def grow_table(spark: SparkSession, table: str, df: DataFrame) -> None:
+    """K9: add to a stored table the columns of ``df`` that it lacks, with
+    their types (names are one whatever their case); none is dropped."""
+    have = {c.upper() for c in spark.table(table).columns}
+    new = [f for f in df.schema.fields if f.name.upper() not in have]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+
+
 def save_table(df: DataFrame, table: str, strategy: str = APPEND, schema=RESULT_SCHEMA) -> None:
-    """K4/K5/K7 for catalog tables: APPEND inserts (creating the table with
-    the fixed schema when absent), TRUNCATE overwrites the rows,
-    DROP_CREATE drops and recreates the table from the fixed schema."""
+    """K4/K5/K7/K9 for catalog tables: APPEND inserts (creating the table with
+    the fixed schema when absent), TRUNCATE overwrites the rows, DROP_CREATE
+    drops and recreates the table from the fixed schema.  Columns outside the
+    schema are added to the table and kept; rows go in by name."""
     spark = df.sparkSession
-    out = conform(df, schema) if schema is not None else df
+    out = conform(df, schema, keep_extra=True) if schema is not None else df
     if strategy == DROP_CREATE:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
     if not spark.catalog.tableExists(table):
         out.limit(0).write.saveAsTable(table)
-    if strategy == TRUNCATE:
-        out.write.mode("overwrite").insertInto(table, overwrite=True)
-    else:
-        out.write.insertInto(table)
+    grow_table(spark, table, out)
+    mine = {c.upper(): c for c in out.columns}
+    rows = out.select(*[
+        (F.col(f"`{mine[f.name.upper()]}`") if f.name.upper() in mine else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in spark.table(table).schema.fields
+    ])
+    rows.write.insertInto(table, overwrite=strategy == TRUNCATE)

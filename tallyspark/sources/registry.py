@@ -9,9 +9,10 @@ kept through an explicit ``ordinal`` column.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import re
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, replace
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import MISSING, asdict, dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -73,10 +74,62 @@ def get_process(name: str, processes: Iterable[ProcessDef] = DEFAULT_PROCESSES)
 
 
 def with_active(processes: Sequence[ProcessDef], names: Iterable[str]) -> list[ProcessDef]:
+    """The registry with just the named processes active; an unknown name raises."""
     keep = set(names)
+    unknown = keep - {p.process_name for p in processes}
+    if unknown:
+        raise KeyError(f"processes not in registry: {sorted(unknown)}")
     return [replace(p, active=p.process_name in keep) for p in processes]
 
 
+# --- S4: the registry from a configuration -----------------------------------
+def process_from(entry: Mapping, ordinal: int) -> ProcessDef:
+    """One configured process; its place in the file is its ordinal.  Unknown,
+    missing and wrongly typed entries raise with the process and the field."""
+    known = {f.name: f for f in fields(ProcessDef) if f.name != "ordinal"}
+    where = f"process {entry.get('process_name', f'number {ordinal}')!r}"
+    if unknown := sorted(set(entry) - set(known)):
+        raise ValueError(f"{where}: unknown fields {unknown}")
+    if missing := sorted(n for n, f in known.items() if f.default is MISSING and n not in entry):
+        raise ValueError(f"{where}: missing fields {missing}")
+    values = {**entry, "statuses": tuple(str(s) for s in entry["statuses"])} if isinstance(entry["statuses"], list) else dict(entry)
+    for name, kind in (("process_name", str), ("tipo_processo", str), ("queue_table", str), ("target_table", str), ("statuses", tuple),
+                       ("active", bool), ("truncate_before_insert", bool), ("drop_and_create", bool), ("aa_file_id", (int, type(None)))):
+        if name in values and (not isinstance(values[name], kind) or values[name] in ("", ())):
+            raise ValueError(f"{where}: {name} is {values[name]!r}")
+    if values["kind"] not in (KIND_PURCHASE, KIND_STORAGE, KIND_VALUE):
+        raise ValueError(f"{where}: unknown kind {values['kind']!r}")
+    return ProcessDef(ordinal=ordinal, **values)
+
+
+def load_processes(spark: SparkSession, path: str) -> list[ProcessDef]:
+    """The registry from a JSON file (``{"processes": [...]}``; YAML too where
+    its parser is installed) at any path Spark reads; the file's order is kept
+    and a repeated name raises."""
+    text = spark.read.text(path, wholetext=True).first()[0]
+    if path.endswith((".yaml", ".yml")):
+        try:
+            import yaml
+        except ImportError as e:
+            raise ValueError(f"no YAML parser installed for {path}; give JSON") from e
+        body = yaml.safe_load(text)
+    else:
+        body = json.loads(text)
+    if not isinstance(body, dict) or not isinstance(body.get("processes"), list):
+        raise ValueError(f"{path}: no list of processes")
+    out = [process_from(entry, i) for i, entry in enumerate(body["processes"], start=1)]
+    seen = [p.process_name for p in out]
+    if repeated := sorted({n for n in seen if seen.count(n) > 1}):
+        raise ValueError(f"{path}: repeated processes {repeated}")
+    return out
+
+
+def dump_processes(processes: Iterable[ProcessDef]) -> str:
+    """The configuration text of a registry, in registry order."""
+    ordered = sorted(processes, key=lambda p: p.ordinal)
+    return json.dumps({"processes": [{k: v for k, v in asdict(p).items() if k != "ordinal"} for p in ordered]}, indent=2)
+
+
 REGISTRY_SCHEMA = T.StructType(
     [
         T.StructField("PROCESS_NAME", T.StringType(), False),

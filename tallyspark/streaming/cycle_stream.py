@@ -33,6 +33,7 @@ from tallyspark.operators.reconcile import conform, reconcile
 from tallyspark.operators.upsert import dedup_last
 from tallyspark.schemas import QUANTITY_QUEUE_SCHEMA, RESULT_SCHEMA, ROW_SUCESSO, VALUE_QUEUE_SCHEMA
 from tallyspark.session import checkpoint_dir, cut_lineage, stage_scope
+from tallyspark.sinks import files
 from tallyspark.sinks.keyed_table import KeyedTable
 from tallyspark.sources.registry import DEFAULT_PROCESSES, KIND_VALUE, ProcessDef, active_processes
 from tallyspark.sources.testdata import ErpTables
@@ -64,20 +65,15 @@ def _epoch(out_root: str, kind: str, epoch: int) -> str:
     return f"{out_root.rstrip('/')}/{kind}/epoch={epoch:010d}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that Spark gave the stream of a checkpoint."""
-    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()[0])["id"]
+    return json.loads(files.read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
 
 
 def claim(spark: SparkSession, out_root: str, owner: str) -> None:
     """Mark the results as one stream's; raise if they are another's."""
     path = f"{out_root.rstrip('/')}/stream"
-    if not _exists(spark, f"{path}/_SUCCESS"):
+    if not files.exists(spark, f"{path}/_SUCCESS"):
         spark.createDataFrame([(owner,)], "id string").write.mode("overwrite").parquet(path)
     found = spark.read.schema("id string").parquet(path).first()[0]
     if found != owner:
@@ -88,7 +84,7 @@ def advance(spark: SparkSession, batch: DataFrame, epoch: int, erp: ErpTables, y
             processes: Iterable[ProcessDef] = DEFAULT_PROCESSES) -> None:
     """Reconcile one micro-batch of landed rows and write what it changes."""
     active = active_processes(processes)
-    if epoch and not _exists(spark, _epoch(out_root, "state", epoch - 1) + "/_SUCCESS"):
+    if epoch and not files.exists(spark, _epoch(out_root, "state", epoch - 1) + "/_SUCCESS"):
         raise ValueError(f"state of the epoch before {epoch} is missing in {out_root}")
     before: set[str] = set()
     if epoch:
@@ -116,12 +112,8 @@ def advance(spark: SparkSession, batch: DataFrame, epoch: int, erp: ErpTables, y
 
 def last_epoch(spark: SparkSession, out_root: str) -> int:
     """The last finished epoch, -1 if there is none."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out_root.rstrip('/')}/state")
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return -1
-    epochs = [int(s.getPath().getName().removeprefix("epoch=")) for s in fs.listStatus(path) if s.isDirectory()]
-    return max((e for e in epochs if _exists(spark, _epoch(out_root, "state", e) + "/_SUCCESS")), default=-1)
+    epochs = [int(n.removeprefix("epoch=")) for n in files.names(spark, f"{out_root.rstrip('/')}/state") if n.startswith("epoch=")]
+    return max((e for e in epochs if files.exists(spark, _epoch(out_root, "state", e) + "/_SUCCESS")), default=-1)
 
 
 def delta(spark: SparkSession, out_root: str, first: int = 0, last: int | None = None) -> DataFrame:
