@@ -1,7 +1,9 @@
 """Language ID by multilingual mixture inference.
 
 Training counts hashed byte n-grams per language over a bounded sample of the
-labelled rows (at most about ``max_train`` rows, chosen by a hash of doc_id).
+labelled rows: about ``max_train`` rows shared evenly by the languages (at least
+``MIN_TRAIN`` each, all rows of a rarer one), chosen by a hash of doc_id against
+a threshold per language, so every labelled language is learned at every size.
 A document's language proportions are the mixture weights that expectation-
 maximisation finds over the n-gram likelihoods of its whole text; languages
 are dropped from the set while the penalised likelihood (BIC) improves, and
@@ -9,7 +11,9 @@ the largest proportion of the set that is left names the language.
 
 Rows: a null text or one without a letter is ``und`` with score 0; a null
 doc_id is predicted and not held out; with nothing to learn from every row is
-``und``.  Repeated rows give one row each; other columns are ignored.
+``und``.  Repeated rows give one row each; an empty table gives an empty result;
+of equal shares the language that sorts first is named; other columns are not
+read.  Texts of any length are judged whole.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from tallyspark.llm.common import flat_bytes
 
 BUCKETS = 1 << 14
 MAX_TRAIN = 20_000
+MIN_TRAIN = 200
 EM_STEPS = 12
 
 SCHEMA = "doc_id long, lang_pred string, score double, languages array<struct<lang:string,share:double>>"
@@ -42,13 +47,25 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def threshold(n: int, most: int) -> int:
+    """Largest 63-bit hash that is taken of a language with n rows, so that
+    about ``most`` rows are, however many there are."""
+    return (1 << 63) - 1 if n <= most else (most << 63) // n
+
+
 def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> tuple[list[str], np.ndarray]:
     """(languages, log p(gram | language)) from the labelled rows that are not
     held out.  The model has one row of ``BUCKETS`` numbers per language."""
-    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    n = rows.count()
-    share = min(1.0, max_train / max(1, n))
-    rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).select("lang", "text")
+    rows = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.octet_length("text") > 0) & ~held_out(F.col("doc_id")))
+    rows = rows.select("doc_id", "lang", "text")
+    size = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not size:
+        return [], np.zeros((0, BUCKETS))
+    spark = docs.sparkSession
+    share = [(lang, threshold(n, max(MIN_TRAIN, max_train // len(size)))) for lang, n in sorted(size.items())]
+    # one row per language, as the model has
+    rows = rows.join(F.broadcast(spark.createDataFrame(share, "lang string, most long")), "lang")
+    rows = rows.filter(F.shiftrightunsigned(F.xxhash64("doc_id"), 1) <= F.col("most")).select("lang", "text")
 
     def count(batches):
         total: dict[str, np.ndarray] = {}
@@ -66,12 +83,14 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> tuple[list[str], np.nd
     counts = rows.mapInArrow(count, "lang string, g int, n long").groupBy("lang", "g").agg(F.sum("n").alias("n"))
     got = counts.toPandas()
     langs = sorted(got["lang"].unique())
+    if langs != sorted(size):
+        raise ValueError(f"no training row was taken of {sorted(set(size) - set(langs))}")
     table = np.zeros((len(langs), BUCKETS))
     for i, lang in enumerate(langs):
         own = got[got["lang"] == lang]
         table[i, own["g"].to_numpy()] = own["n"].to_numpy()
     table += 0.5
-    return langs, np.log(table / table.sum(axis=1, keepdims=True)) if langs else table
+    return langs, np.log(table / table.sum(axis=1, keepdims=True))
 
 
 def mixture(like: np.ndarray, weight: np.ndarray, steps: int = EM_STEPS) -> tuple[np.ndarray, float]:
