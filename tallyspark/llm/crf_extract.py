@@ -5,11 +5,14 @@ with its open block tags.  Features are the ancestor tags, words of their
 class, id and role, and properties of the text (length, share of link text,
 sentence ends).  The field has two labels, boilerplate and main text; it is
 trained by gradient ascent with a Gaussian prior on a bounded number of pages
-(``MAX_TRAIN``) that label themselves: pages that mark their article.  Viterbi
-decodes every page.
+(``MAX_TRAIN``, of at most ``MAX_PAGE`` characters) that label themselves: pages
+that mark their article or, if no page of the table does, any pages by their
+blocks of prose.  Viterbi decodes every page.
 
 Rows: a null, empty or text-free page gives an empty text and 0 characters;
-repeated rows give one row each; a null page_id or url is carried through.
+repeated rows give one row each; a null page_id or url is carried through; an
+empty table gives an empty result; other columns are not read.  Pages of any
+length are decoded whole.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_TRAIN = 300
+MAX_PAGE = 200_000
+PROSE = 60  # characters of a block that counts as prose
 STEPS = 60
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -185,15 +190,33 @@ def own_labels(blocks) -> list[int]:
     return out
 
 
+def prose_labels(blocks) -> list[int]:
+    """Labels of a page without marks: sentences of some length, few links,
+    inside nothing that names boilerplate."""
+    out = []
+    for text, linked, stack in blocks:
+        tags = {t for t, _ in stack}
+        words = frozenset().union(*(w for _, w in stack)) if stack else frozenset()
+        prose = len(text) >= PROSE and text[-1] in ".!?…\"'”»" and 4 * linked < len(text)
+        out.append(int(prose and not tags & BOILER_TAGS and not words & BOILER_WORDS))
+    return out
+
+
+def page_labels(blocks) -> list[int]:
+    marks = any(t in MAIN_TAGS for _, _, stack in blocks for t, _ in stack)
+    return own_labels(blocks) if marks else prose_labels(blocks)
+
+
 def fit(pages: list[str], steps: int = STEPS, spread: float = 2.0, rate: float = 0.5) -> Field:
     """MAP weights by full-batch gradient ascent (AdaGrad steps)."""
     names: dict[str, int] = {f: i for i, f in enumerate(PRIOR)}
     data = []
     for page in pages:
         blocks = leaf_blocks(page or "")
-        if blocks and any(own_labels(blocks)):
+        labels = page_labels(blocks)
+        if any(labels):
             rows = [[names.setdefault(f, len(names)) for f in features(b)] for b in blocks]
-            data.append((rows, np.array(own_labels(blocks))))
+            data.append((rows, np.array(labels)))
     prior = np.array([PRIOR.get(f, 0.0) for f in names])
     w, t = prior.copy(), np.zeros((2, 2))
     gw, gt = np.full(len(w), 1e-6), np.full((2, 2), 1e-6)
@@ -219,10 +242,18 @@ def fit(pages: list[str], steps: int = STEPS, spread: float = 2.0, rate: float =
     return Field(dict(zip(names, w.tolist(), strict=True)), t)
 
 
-def training_pages(pages: DataFrame, most: int = MAX_TRAIN) -> list[str]:
-    """At most ``most`` pages that mark their article, by a hash of page_id."""
-    rows = pages.filter(F.col("html").rlike("(?i)<(article|main)[ >]") & (F.length("html") < 200_000))
-    return [r["html"] for r in rows.orderBy(F.xxhash64("page_id")).select("html").limit(most).collect()]
+def training_pages(pages: DataFrame, most: int = MAX_TRAIN, longest: int = MAX_PAGE) -> list[str]:
+    """At most ``most`` pages that mark their article (any, if none does), by a
+    hash of page_id.  The ids are chosen first, so no more than ``most`` pages
+    of ``longest`` characters leave their tasks."""
+    fit_for_it = pages.filter(F.col("page_id").isNotNull() & F.length("html").between(1, longest))
+    for rows in (fit_for_it.filter(F.col("html").rlike("(?i)<(article|main)[ >]")), fit_for_it):
+        ids = rows.select("page_id").distinct().orderBy(F.xxhash64("page_id")).limit(most).collect()
+        if ids:
+            chosen = F.broadcast(pages.sparkSession.createDataFrame(ids, "page_id long"))  # ``most`` rows
+            once = rows.join(chosen, "page_id", "left_semi").groupBy("page_id").agg(F.min("html").alias("html"))
+            return [r["html"] for r in once.orderBy(F.xxhash64("page_id")).select("html").collect()]
+    return []
 
 
 def extract(pages: DataFrame, field: Field) -> DataFrame:
