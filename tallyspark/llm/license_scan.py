@@ -7,12 +7,14 @@ piece implies is then verified with the ``regex`` library's bounded-error
 matching, which also gives the span and the number of edits.
 
 Rows: a null or empty text has no words and no findings; repeated rows give
-one row each; a null doc_id is carried through; other columns are ignored.
-Long texts are scanned whole.
+one row each; a null doc_id is carried through; other columns are not read, so
+their names are free; an empty table gives an empty result; of overlapping spans
+of one notice with equal edits the leftmost stays.  Long texts are scanned whole.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 
 import pyarrow as pa
@@ -55,6 +57,17 @@ def normalise(text: str) -> str:
     return SEPARATORS.sub(" ", text.translate(UPPER)).strip(" ")
 
 
+def disjoint(found: dict[tuple[int, int], int]) -> list[tuple[int, int]]:
+    """Spans in order, none overlapping another: fewest edits first, then the
+    leftmost."""
+    kept: list[tuple[int, int]] = []
+    for span in sorted(found, key=lambda s: (found[s], s)):
+        at = bisect.bisect_left(kept, span)
+        if (at == 0 or kept[at - 1][1] <= span[0]) and (at == len(kept) or span[1] <= kept[at][0]):
+            kept.insert(at, span)
+    return kept
+
+
 class Scanner:
     def __init__(self, notices=NOTICES, base=BASE_PHRASES):
         import ahocorasick
@@ -73,25 +86,23 @@ class Scanner:
         self.seeds.make_automaton()
 
     def spans(self, norm: str) -> list[dict]:
-        """Verified spans of all notices in a normalised text; overlapping
-        candidate windows of a notice are searched as one region."""
-        regions: dict[int, list[list[int]]] = {}
+        """Verified spans of all notices in a normalised text.  Every window
+        about a seed is searched for its best match; of overlapping matches of
+        a notice the one with the fewest edits stays, then the leftmost."""
+        windows: dict[int, set[int]] = {}
         for end, (size, where) in self.seeds.iter(norm):
             for i, off in where:
-                n, _, k = self.notices[i]
-                lo = max(0, end + 1 - size - off - k)
-                hi = lo + len(n) + 3 * k
-                got = regions.setdefault(i, [])
-                while got and lo <= got[-1][1]:
-                    a, b = got.pop()
-                    lo, hi = min(lo, a), max(hi, b)
-                got.append([lo, hi])
+                windows.setdefault(i, set()).add(max(0, end + 1 - size - off - self.notices[i][2]))
         out = []
-        for i, got in sorted(regions.items()):
-            n, label, _ = self.notices[i]
-            for lo, hi in got:
-                for m in self.fuzzy[i].finditer(norm, lo, min(hi, len(norm))):
-                    out.append({"label": label, "notice": n, "start": m.start(), "end": m.end(), "edits": sum(m.fuzzy_counts)})
+        for i, starts in sorted(windows.items()):
+            n, label, k = self.notices[i]
+            found = {}
+            for lo in sorted(starts):
+                m = self.fuzzy[i].search(norm, lo, min(lo + len(n) + 3 * k, len(norm)))
+                if m:
+                    found[m.start(), m.end()] = sum(m.fuzzy_counts)
+            for start, end in disjoint(found):
+                out.append({"label": label, "notice": n, "start": start, "end": end, "edits": found[start, end]})
         return out
 
     def scan(self, text: str | None) -> tuple[int, list[dict], list[dict]]:
