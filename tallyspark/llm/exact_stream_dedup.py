@@ -132,8 +132,10 @@ FROM documents
 
 
 def keep_latest(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, one per text, with all columns."""
+    """The rows of ``docs`` that stay, one per text, with all columns (of any
+    name: a row travels as one column)."""
     judged = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("keep"), F.unhex("text_sha256").alias("sha")).distinct()
-    rows = docs.withColumn("__sha", F.unhex(F.sha2(text_or_empty(), 256)))
-    same = (F.col("__sha") == F.col("sha")) & F.col("doc_id").eqNullSafe(F.col("keep"))
-    return rows.join(judged, same, "left_semi").dropDuplicates(["doc_id", "__sha"]).select(docs.columns)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    rows = docs.select(whole, F.col("doc_id").alias("id"), F.unhex(F.sha2(text_or_empty(), 256)).alias("own"))
+    same = (F.col("own") == F.col("sha")) & F.col("id").eqNullSafe(F.col("keep"))
+    return rows.join(judged, same, "left_semi").dropDuplicates(["id", "own"]).select("whole.*")

@@ -6,7 +6,7 @@ differ in at most ``2 * chunks - 1`` slots have, by pigeonhole, a chunk with
 at most one error, so indexing every chunk with each of its slots left out in
 turn reaches every pair within the distance ``MAX_DIFF``.  At similarity 0.85
 a slot differs with probability 0.15, so a linked pair lies beyond
-``MAX_DIFF`` with probability below 1e-6.
+``MAX_DIFF`` with probability 8e-6 (:func:`miss_probability`).
 
 Rows of equal sets are one class.  Only connectivity is asked for, so pairs
 are not all emitted: every member of an index key is paired with the key's
@@ -380,9 +380,11 @@ def near_duplicates(docs: DataFrame, stages: Stages | None = None, leaf: int = L
 
 
 def keep_representatives(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id stands for its group, all columns."""
+    """The rows of ``docs`` whose doc_id stands for its group, all columns (of
+    any name: a row travels as one column)."""
     kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("keep")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("keep")), "left_semi")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), F.col("doc_id").alias("id"))
+    return rows.join(kept, F.col("id").eqNullSafe(F.col("keep")), "left_semi").select("whole.*")
 
 
 def miss_probability(percent: int = PERCENT) -> float:
