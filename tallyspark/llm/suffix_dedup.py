@@ -22,15 +22,14 @@ removed wholly.  A null doc_id is carried through.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import Stages, chunks, flat_bytes, mix64, prefix_hash, span_hash, text_or_empty
+from tallyspark.llm.common import Stages, chunks, flat_bytes, prefix_hash, span_hash, text_or_empty
 
+RUNS = "array<struct<start:bigint,end:bigint>>"
 LENGTH = 400
 GRAM = 32
 PART = 2000
@@ -288,56 +287,68 @@ def cover(n: int, ranges: list[dict]) -> list[tuple[int, int]]:
     return [(a, min(b, n)) for a, b in out]
 
 
-def judge_texts(texts: DataFrame) -> DataFrame:
+def covered(ranges: DataFrame) -> DataFrame:
+    """tid, n and the removed byte runs of the texts with window ranges."""
+    runs = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
     def run(batches):
         for b in batches:
-            out = []
-            for t, n, raw, ranges in zip(*(b.column(c).to_pylist() for c in ("tid", "n", "text", "ranges")), strict=True):
-                raw = raw if isinstance(raw, bytes) else raw.encode()
-                spans, sha, at = cover(n, ranges), hashlib.sha256(), 0
-                for a, e in spans:
-                    sha.update(raw[at:a])
-                    at = e
-                sha.update(raw[at:])
-                out.append((t, n, sum(e - a for a, e in spans), len(spans), sha.hexdigest()))
-            cols = list(zip(*out, strict=True)) if out else [[]] * 5
-            kinds = [pa.int64()] * 4 + [pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["tid", "n", "removed", "spans", "sha"]
-            )
+            got = [cover(n, r) for n, r in zip(b.column("n").to_pylist(), b.column("ranges").to_pylist(), strict=True)]
+            spans = pa.array([[{"start": a, "end": e} for a, e in g] for g in got], runs)
+            yield pa.RecordBatch.from_arrays([b.column("tid"), b.column("n"), spans], names=["tid", "n", "removed"])
+
+    return ranges.mapInArrow(run, f"tid long, n long, removed {RUNS}")
+
 
-    return texts.mapInArrow(run, "tid long, n long, removed long, spans long, sha string")
+def without(raw, n, removed):
+    """The bytes outside the removed runs, joined (a cast between bytes and
+    string moves bytes as they are)."""
+    begin = F.concat(F.array(F.lit(0).cast("long")), F.transform(removed, lambda r: r["end"]))
+    end = F.concat(F.transform(removed, lambda r: r["start"]), F.array(n))
+    gaps = F.zip_with(begin, end, lambda a, e: F.substring(raw, (a + 1).cast("int"), (e - a).cast("int")).cast("string"))
+    return F.when(F.size(removed) == 0, raw).otherwise(F.array_join(gaps, "").cast("binary"))
 
 
 def remove_repeats(docs: DataFrame, stages: Stages | None = None, part: int = PART) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 per row of ``docs``."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, text (what remains,
+    U+FFFD for a character cut by a run's edge) and removed (the runs) per row
+    of ``docs``."""
     stages = stages or Stages(docs.sparkSession, "suffix_dedup")
     text = text_or_empty()
     base = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("tid"), F.octet_length(text).cast("long").alias("n"))
-    light = stages.write(base.select("doc_id", "tid", "n", F.sha2("text", 256).alias("sha0")), "light")
-    copies = light.groupBy("tid", "n").agg(F.count("*").alias("copies"), F.min("doc_id").alias("doc_id"))
+    light = stages.write(base.select("doc_id", "tid", "n"), "light")
+    copies = light.groupBy("tid", "n").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"))
 
     found = find_anchors(base.filter(F.col("n") >= LENGTH))
     found = stages.write(found.groupBy("tid", "n", "s0").agg(F.first("a").alias("a"), F.first("s1").alias("s1")), "anchors")
     hot = found.groupBy("a").agg(F.count("*").alias("m")).filter("m > 1")
     hot = hot.select("a", F.ceil(F.col("m") / part).alias("parts"))
     runs = found.join(hot, "a").groupBy("tid", "n").agg(F.collect_list(F.struct("a", "parts", "s0", "s1")).alias("runs"))
-    need = runs.join(copies.select("tid", "n", F.col("doc_id").alias("rep")), ["tid", "n"])
+    need = runs.join(copies.select("tid", "n", "rep"), ["tid", "n"])
     rows = base.select("doc_id", F.col("tid").alias("row_tid"), F.col("n").alias("row_n"), "text")
     own = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("row_tid") == F.col("tid")) & (F.col("row_n") == F.col("n"))
-    texts = rows.join(need, own).dropDuplicates(["tid", "n"])
-    texts = stages.write(texts.select("tid", "n", "text", "runs"), "texts")
+    # (rows that repeat a doc_id and text come twice: a window is known by text and place)
+    texts = stages.write(rows.join(need, own).select("tid", "n", "text", "runs"), "texts")
+    stages.drop("anchors")
     contexts = cut_contexts(texts).withColumn("part", F.pmod(F.xxhash64("tid", "s0"), "parts"))
     got = stages.write(search_shards(contexts), "shards")
+    stages.drop("texts")
     ranges = got.filter("digest is null").union(merge_shards(got.filter("digest is not null")))
-    per_text = ranges.groupBy("tid", "n").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    judged = judge_texts(texts.select("tid", "n", "text").join(per_text, ["tid", "n"]))
-    facts = copies.select("tid", "n", "copies").join(judged, ["tid", "n"], "left")
-    whole = (F.col("copies") > 1) & (F.col("n") >= LENGTH)
-    return light.join(facts, ["tid", "n"]).select(
+    spans = covered(ranges.groupBy("tid", "n").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")))
+    # a text that has copies goes wholly, what else repeats by its runs
+    whole = copies.filter((F.col("copies") > 1) & (F.col("n") >= LENGTH)).select("tid", "n", F.lit(True).alias("whole"))
+    facts = whole.join(spans, ["tid", "n"], "full")
+    all_of_it = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n").alias("end")))
+    facts = stages.write(facts.select("tid", "n", F.when(F.col("whole"), all_of_it).otherwise(F.col("removed")).alias("removed")), "facts")
+    # what repeats grows with the corpus, so the facts are never broadcast
+    rows = base.join(facts.hint("merge"), ["tid", "n"], "left").withColumn("removed", F.coalesce("removed", F.array().cast(RUNS)))
+    rows = rows.withColumn("kept", without(F.col("text").cast("binary"), F.col("n"), F.col("removed")))
+    return rows.select(
         "doc_id",
         F.col("n").alias("n_bytes"),
-        F.when(whole, F.col("n")).otherwise(F.coalesce("removed", F.lit(0))).cast("long").alias("n_removed"),
-        F.when(whole, F.lit(1)).otherwise(F.coalesce("spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("sha", "sha0")).alias("kept_sha256"),
+        F.aggregate("removed", F.lit(0).cast("long"), lambda total, r: total + r["end"] - r["start"]).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
+        "removed",
     )
