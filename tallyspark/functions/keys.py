@@ -113,8 +113,15 @@ def text_year_in(c: Column | str, years: Sequence[int]) -> Column:
 
 
 def ymd_year_in(c: Column | str, years: Sequence[int]) -> Column:
-    """``YEAR(c) IN (years)`` for a 'YYYYMMDD' text date."""
-    return year_in(F.year(parse_ymd(c)), years)
+    """``YEAR(c) IN (years)`` for a 'YYYYMMDD' text date.
+
+    Only eight digits are such a date, so the text range of the years takes
+    nothing away; unlike the year itself it reaches the parquet scan.  (A year
+    held as text has no such range: ' 2026' and '02026' are 2026 too.)"""
+    known = sorted(int(y) for y in years)
+    if not known or known[0] < 1 or known[-1] > 9999:
+        return year_in(F.year(parse_ymd(c)), years)
+    return _c(c).between(f"{known[0]:04d}0101", f"{known[-1]:04d}1231") & year_in(F.year(parse_ymd(c)), years)
 
 
 def hhmmss(seconds: Column | str) -> Column:

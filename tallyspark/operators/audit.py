@@ -31,7 +31,7 @@ from tallyspark.functions.keys import (
 from tallyspark.functions.rounding import py_round
 from tallyspark.operators.blocks import ACTIVE_KEYS_7, active_nfe
 from tallyspark.session import cut_lineage
-from tallyspark.sources.testdata import ErpTables
+from tallyspark.sources.erp import ErpTables
 
 # --- fixed values: audited queues, status, classes and their texts -----------
 AUDIT_PROCS = {"FIXO": "V2_Consulta_Comp_CTRFIXO", "SEM_FIXACAO": "V2_Consulta_Comp_CTR_S_FIXACAO"}

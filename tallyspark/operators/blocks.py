@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.keys import amount, ltrim0, round_amount, ymd_year_in
 from tallyspark.schemas import AMOUNT
-from tallyspark.sources.testdata import ErpTables
+from tallyspark.sources.layout import EMISSION_YEAR
+from tallyspark.sources.erp import ErpTables
 
 def purchase_contract_block(erp: ErpTables, contracts: DataFrame | None = None) -> DataFrame:
     """Purchase header x partner tax ids, for headers having at least one
@@ -121,42 +122,54 @@ def vtin_columns(vxr_prefix: str = "") -> list:
 DOC_SALTS = 64
 
 
-def _documents(erp: ErpTables, act: DataFrame, open_only: bool) -> DataFrame:
-    """Fiscal documents by (DOCNUM, salt).  Blank numbers, a constant key, are
-    spread over ``DOC_SALTS`` salts, and stay only where an active NF-e has a
-    blank number too (one broadcast row at most)."""
-    doc = erp.nfdoc.where(F.col("DOCNUM").isNotNull()).select(
-        F.col("DOCNUM").alias("_doc"), "NTGEW", "NFTOT", "CRENAM",
-        F.pmod(F.xxhash64("BELNR", "NTGEW", "NFTOT", "CRENAM"), F.lit(DOC_SALTS)).alias("_h"),
-    )
-    blank_active = act.where(F.col("DOCNUM") == "").select(F.col("DOCNUM").alias("_doc")).limit(1)
-    blank = doc.where(F.col("_doc") == "").join(F.broadcast(blank_active), "_doc", "left_semi").withColumnRenamed("_h", "_salt")
-    if open_only:
-        return blank
-    return doc.where(F.col("_doc") != "").withColumn("_salt", F.lit(0).cast("long")).drop("_h").unionByName(blank)
+def has_blank_active(erp: ErpTables) -> bool:
+    """Whether any active NF-e has a blank document number.  Normally none
+    has, and then no blank document can be met: the joins that would look for
+    it are left out of the plans.  One narrow scan that ends at the first."""
+    return not active_nfe(erp).where(F.col("DOCNUM") == "").select("DOCNUM").isEmpty()
+
+
+def _documents(erp: ErpTables, blank_too: bool, blank_only: bool) -> DataFrame:
+    """Fiscal documents by (DOCNUM, salt); blank numbers, a constant key, are
+    spread over ``DOC_SALTS`` salts."""
+    doc = erp.nfdoc.where(F.col("DOCNUM").isNotNull())
+    if not blank_too:
+        doc = doc.where(F.col("DOCNUM") != "")
+    elif blank_only:
+        doc = doc.where(F.col("DOCNUM") == "")
+    salt = F.pmod(F.xxhash64("BELNR", "NTGEW", "NFTOT", "CRENAM"), F.lit(DOC_SALTS))
+    salt = F.when(F.col("DOCNUM") == "", salt).otherwise(F.lit(0).cast("long"))
+    return doc.select(F.col("DOCNUM").alias("_doc"), "NTGEW", "NFTOT", "CRENAM", salt.alias("_salt"))
 
 
-def invoice_block(erp: ErpTables, open_only: bool = False, years=None, tax_keys: DataFrame | None = None) -> DataFrame:
+def invoice_block(erp: ErpTables, open_only: bool = False, years=None, tax_keys: DataFrame | None = None,
+                  blank_active: bool | None = None) -> DataFrame:
     """Authorised received invoices with their item, the matching active
     NF-e (7 keys) and its fiscal document, as one flat block.
 
     CODESTA must be '100' and MANSTA not '03'/'04' (a NULL MANSTA drops the
     row, as ``NOT IN`` does in SQL).
 
-    Every table is joined once.  The document key is (DOCNUM, salt): a row
-    without an active NF-e keeps a NULL number and a salt of its own, so NULLs
-    spread over the partitions; a row with a blank number is repeated for the
-    salts that blank documents have (one row if there are none), so every
-    pair of the rule is made once and no task holds all of them.
+    Every table is read and joined once.  The document key is (DOCNUM, salt):
+    a row without an active NF-e keeps a NULL number and a salt of its own, so
+    NULLs spread over the partitions; a row with a blank number meets the
+    documents of every salt, so no task holds all of them (a blank number
+    without any document keeps one row).  ``blank_active`` says whether there
+    is a blank active number at all (:func:`has_blank_active`, measured if not
+    given); without one blank documents are not read, and with ``open_only``
+    no document is.
 
     With ``open_only`` only invoices that can still be booked are kept (no
     active NF-e, or one with a blank DOCNUM) before the document join,
     ``years`` restricts the emission year up front, and ``tax_keys`` (one
     column ``_tax``, without leading zeros) the issuers.
     """
+    blank = has_blank_active(erp) if blank_active is None else blank_active
     vxr = erp.xml_rec.where((F.col("CODESTA") == "100") & ~F.col("MANSTA").isin("03", "04"))
     if years is not None:
         vxr = vxr.where(ymd_year_in("D_EMI", years))
+        if EMISSION_YEAR in vxr.columns:  # stored by year: the other folders are not read
+            vxr = vxr.where(F.col(EMISSION_YEAR).isin(*[int(y) for y in years]))
     if tax_keys is not None:
         vxr = vxr.join(tax_keys, ltrim0(F.col("STCD1")) == F.col("_tax"), "left_semi")
     active = active_nfe(erp)
@@ -170,21 +183,33 @@ def invoice_block(erp: ErpTables, open_only: bool = False, years=None, tax_keys:
     j = vxr.join(item, F.col("vxr.ID") == F.col("item.NFEID"), "inner").join(act, cond7, "left")
     if open_only:
         j = j.where(F.col("act.DOCNUM").isNull() | (F.col("act.DOCNUM") == ""))
-    doc = _documents(erp, active, open_only)
-    blank_salts = doc.where(F.col("_doc") == "").groupBy("_doc").agg(F.collect_set("_salt").alias("_salts"))
-    # at most one row of DOC_SALTS numbers
-    j = j.join(F.broadcast(blank_salts.withColumnRenamed("_doc", "_blank")), F.col("act.DOCNUM") == F.col("_blank"), "left")
-    own = F.when(F.col("act.DOCNUM").isNull(), -1 - F.pmod(F.xxhash64("vxr.ID"), F.lit(1 << 20))).otherwise(F.lit(0))
-    j = j.withColumn("_j_salt", F.explode(F.coalesce(F.col("_salts"), F.array(own.cast("long")))))
-    j = j.join(doc.alias("doc"), (F.col("act.DOCNUM") == F.col("doc._doc")) & (F.col("_j_salt") == F.col("doc._salt")), "left")
+    if open_only and not blank:
+        # no number is left to look a document up by
+        j = j.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (("NTGEW", AMOUNT), ("NFTOT", AMOUNT), ("CRENAM", "string"))])
+    else:
+        number = F.col("act.DOCNUM")
+        own = F.when(number.isNull(), -1 - F.pmod(F.xxhash64("vxr.ID"), F.lit(1 << 20))).otherwise(F.lit(0)).cast("long")
+        salts = F.array(own)
+        if blank:
+            # the first salt keeps the row if there is no blank document at all
+            salts = F.when(number == "", F.sequence(F.lit(0).cast("long"), F.lit(DOC_SALTS - 1).cast("long"))).otherwise(salts)
+        j = j.withColumn("_j_salt", F.explode(salts))
+        doc = _documents(erp, blank, open_only).alias("doc")
+        j = j.join(doc, (number == F.col("doc._doc")) & (F.col("_j_salt") == F.col("doc._salt")), "left")
+        if blank:
+            # a salt without a document is a row only where no salt has one
+            some = erp.nfdoc.where(F.col("DOCNUM") == "").select(F.lit("").alias("_any")).limit(1)
+            j = j.join(F.broadcast(some), number == F.col("_any"), "left")  # one row at most
+            missing = (number == "") & F.col("doc._doc").isNull()
+            j = j.where(~F.coalesce(missing, F.lit(False)) | (F.col("_any").isNull() & (F.col("_j_salt") == 0)))
     return j.select(
         F.col("act.PARID").alias("PARCEIRO"),
         F.col("act.ACT_BRANCH").alias("LOCAL"),
         F.col("act.CREDAT").alias("DT_CRIACAO"),
         F.col("act.DOCNUM").alias("DOCNUM"),
-        amount(F.col("doc.NTGEW")).alias("PESO_LIQUIDO"),
-        amount(F.col("doc.NFTOT")).alias("VLR_NF"),
-        F.col("doc.CRENAM").alias("CRENAM"),
+        amount(F.col("NTGEW")).alias("PESO_LIQUIDO"),
+        amount(F.col("NFTOT")).alias("VLR_NF"),
+        F.col("CRENAM").alias("CRENAM"),
         *vtin_columns("vxr."),
         F.col("item.NFITEM").alias("ITEM"),
         F.col("item.NCM").alias("NCM"),

@@ -34,16 +34,17 @@ from tallyspark.functions.keys import (
 from tallyspark.operators.blocks import (
     ACTIVE_KEYS_5,
     active_nfe,
+    has_blank_active,
     invoice_block,
     purchase_contract_block,
     storage_contract_block,
     vtin_columns,
 )
 from tallyspark.operators.skew import CellBudget, even_join
-from tallyspark.schemas import RESULT_COLUMNS, ROUTE_DOCUMENT, ROUTE_TAX_ID, STORAGE_ONLY_COLUMNS
+from tallyspark.schemas import AMOUNT, RESULT_COLUMNS, ROUTE_DOCUMENT, ROUTE_TAX_ID, STORAGE_ONLY_COLUMNS
 from tallyspark.sources.registry import KIND_PURCHASE, KIND_STORAGE, KIND_VALUE
 from tallyspark.session import cut_lineage
-from tallyspark.sources.testdata import ErpTables
+from tallyspark.sources.erp import ErpTables
 
 ITEM_KEY = ["PROCESS_NAME", "queue_row_id", "numero_cockpit"]
 
@@ -129,8 +130,13 @@ def _value_keys(v: F.Column) -> F.Column:
     return F.array_distinct(F.array(round_amount(v, 2), round_amount(F.round(amount(v), 0), 2)))
 
 
-def match_via_document(hc: DataFrame, erp: ErpTables, years: Sequence[int]) -> DataFrame:
-    """C2 (VIA_MIRO) for purchase and storage items with a posting document."""
+def match_via_document(hc: DataFrame, erp: ErpTables, years: Sequence[int], blank_active: bool | None = None) -> DataFrame:
+    """C2 (VIA_MIRO) for purchase and storage items with a posting document.
+
+    Only documents without a number match, so an invoice can only be reached
+    through an active NF-e without one; ``blank_active`` says whether there is
+    any (measured if not given), and without one the invoice is not joined."""
+    blank = has_blank_active(erp) if blank_active is None else blank_active
     base = hc.where(
         F.col("kind").isin(KIND_PURCHASE, KIND_STORAGE)
         & F.col("ZMMT_MIRO_DOC").isNotNull()
@@ -157,9 +163,39 @@ def match_via_document(hc: DataFrame, erp: ErpTables, years: Sequence[int]) -> D
         ),
         "inner",
     )
-    # DOCNUM is blank on every row here, so only active NF-e rows with a
-    # blank DOCNUM can match: filter them first (normally none, so AQE
-    # broadcasts the side and the hits are not shuffled on a constant key)
+    if blank:
+        j = _document_invoices(j, erp)
+    else:
+        none = [*[(f"_v_{c}", "string") for c in _INVOICE_COLUMNS if c != "V_NF"], ("_v_V_NF", AMOUNT)]
+        none += [(c, "string") for c in ("PARCEIRO", "LOCAL", "DT_CRIACAO", "ITEM", "NCM", "CFOP")] + [("VTIN_QTDE", AMOUNT)]
+        j = j.select("*", *[F.lit(None).cast(t).alias(c) for c, t in none])
+    vnf = amount(F.col("_v_V_NF"))
+    return j.select(
+        *[c for c in hc.columns],
+        "PARCEIRO",
+        "LOCAL",
+        "DT_CRIACAO",
+        "DOCNUM",
+        "CRENAM",
+        "PESO_LIQUIDO",
+        F.coalesce(vnf, F.col("_nftot")).alias("VLR_NF"),
+        *vtin_columns("_v_"),
+        "ITEM",
+        "NCM",
+        "CFOP",
+        "VTIN_QTDE",
+        F.coalesce(vnf, F.col("_nftot"), F.lit(0)).cast("decimal(18,6)").alias("RESULTADO"),
+        F.lit(ROUTE_DOCUMENT).alias("ORIGEM_MATCH"),
+    )
+
+
+_INVOICE_COLUMNS = ("MANSTA", "CODESTA", "ID", "LIFNR", "DATECR", "TIMECR", "D_EMI", "STCD1", "MODEL", "BUKRS", "BRANCH",
+                    "NFNUM9", "SERIE", "CDV", "DOCNUM9", "AUTHCOD", "NFYEAR", "NFMONTH", "V_NF")
+
+
+def _document_invoices(j: DataFrame, erp: ErpTables) -> DataFrame:
+    """The active NF-e of a document (both without a number), its
+    invoice on five keys and the invoice's lines, each LEFT joined."""
     act = active_nfe(erp).where(F.col("DOCNUM") == "").select(
         F.col("DOCNUM").alias("_act_docnum"),
         *[F.col(k).alias(f"_act_{k}") for k in ACTIVE_KEYS_5],
@@ -168,12 +204,10 @@ def match_via_document(hc: DataFrame, erp: ErpTables, years: Sequence[int]) -> D
         F.col("CREDAT").alias("DT_CRIACAO"),
     )
     j = j.join(act, j["DOCNUM"] == act["_act_docnum"], "left")
-    vxr_cols = ("MANSTA", "CODESTA", "ID", "LIFNR", "DATECR", "TIMECR", "D_EMI", "STCD1", "MODEL",
-                "BUKRS", "BRANCH", "NFNUM9", "SERIE", "CDV", "DOCNUM9", "AUTHCOD", "NFYEAR", "NFMONTH", "V_NF")
     vxr = erp.xml_rec.where(F.col("CODESTA") == "100").select(
         *[F.col(k).alias(f"_vxr_{k}") for k in ACTIVE_KEYS_5],
         F.col("ID").alias("_vxr_ID"),
-        *[F.col(c).alias(f"_v_{c}") for c in vxr_cols],
+        *[F.col(c).alias(f"_v_{c}") for c in _INVOICE_COLUMNS],
     )
     item = erp.nfeit.select(
         F.col("NFEID").alias("_nfeid"),
@@ -195,35 +229,17 @@ def match_via_document(hc: DataFrame, erp: ErpTables, years: Sequence[int]) -> D
     unlinked = j.where(F.col("_act_docnum").isNull()).select(
         "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in null_cols]
     )
-    j = linked.unionByName(unlinked)
-    vnf = amount(F.col("_v_V_NF"))
-    return j.select(
-        *[c for c in hc.columns],
-        "PARCEIRO",
-        "LOCAL",
-        "DT_CRIACAO",
-        "DOCNUM",
-        "CRENAM",
-        "PESO_LIQUIDO",
-        F.coalesce(vnf, F.col("_nftot")).alias("VLR_NF"),
-        *vtin_columns("_v_"),
-        "ITEM",
-        "NCM",
-        "CFOP",
-        "VTIN_QTDE",
-        F.coalesce(vnf, F.col("_nftot"), F.lit(0)).cast("decimal(18,6)").alias("RESULTADO"),
-        F.lit(ROUTE_DOCUMENT).alias("ORIGEM_MATCH"),
-    )
+    return linked.unionByName(unlinked)
 
 
-def open_invoices(erp: ErpTables, years: Sequence[int], hits: DataFrame | None = None) -> DataFrame:
+def open_invoices(erp: ErpTables, years: Sequence[int], hits: DataFrame | None = None, blank_active: bool | None = None) -> DataFrame:
     """Invoice block rows that can still be booked: emitted in one of the
     years and without a fiscal document number (F5, F7), with join keys.
     Both conditions are applied before the block's own joins, and with
     ``hits`` only invoices of their tax ids are read on (the tax id is a key
     of both routes, so no match is lost)."""
     taxes = None if hits is None else hits.select(ltrim0(F.col("CPF_CNPJ")).alias("_tax")).distinct()
-    inv = invoice_block(erp, open_only=True, years=years, tax_keys=taxes)
+    inv = invoice_block(erp, open_only=True, years=years, tax_keys=taxes, blank_active=blank_active)
     return inv.select(
         "*",
         ltrim0(F.col("VTIN_CPF_CNPJ")).alias("_tax_key"),
@@ -317,19 +333,21 @@ def match_value_complement(
 
 def match_all(items: DataFrame, erp: ErpTables, years: Sequence[int], materialize: bool = False) -> DataFrame:
     """U1 over all routes and processes: one row per (work item, match)."""
+    blank = has_blank_active(erp)
     hc = with_contracts(ledger_hits(items, erp), erp, item_contracts(items))
     if materialize:
         hc = cut_lineage(hc, "contract-hits")
-    inv = open_invoices(erp, years, hc if materialize else None)
+    inv = open_invoices(erp, years, hc if materialize else None, blank)
     if materialize:
         inv = cut_lineage(inv, "open-invoices")
-    return match_routes(hc, erp, years, inv, CellBudget() if materialize else None)
+    return match_routes(hc, erp, years, inv, CellBudget() if materialize else None, blank)
 
 
-def match_routes(hc: DataFrame, erp: ErpTables, years: Sequence[int], inv: DataFrame, budget: CellBudget | None = None) -> DataFrame:
+def match_routes(hc: DataFrame, erp: ErpTables, years: Sequence[int], inv: DataFrame, budget: CellBudget | None = None,
+                 blank_active: bool | None = None) -> DataFrame:
     """All routes; ``budget`` (hits and invoices written before) evens out hot
     tax ids."""
-    doc = match_via_document(hc, erp, years)
+    doc = match_via_document(hc, erp, years, blank_active)
     tax = match_via_tax_id(hc, erp, years, inv, budget)
     val = match_value_complement(hc, erp, years, inv, budget=budget)
     return doc.unionByName(tax).unionByName(val)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.keys import is_blank
+from tallyspark.operators.blocks import has_blank_active
 from tallyspark.operators.checks import quarantine
 from tallyspark.operators.match import (
     ITEM_KEY,
@@ -30,7 +31,7 @@ from tallyspark.schemas import (
     ROW_SUCESSO,
 )
 from tallyspark.sources.registry import DEFAULT_PROCESSES, ProcessDef
-from tallyspark.sources.testdata import ErpTables
+from tallyspark.sources.erp import ErpTables
 
 # queue column -> result column (then everything is upper-cased)
 QUEUE_RENAMES = {
@@ -61,17 +62,23 @@ def conform(df: DataFrame, schema=RESULT_SCHEMA, keep_extra: bool = False) -> Da
     return df.select(*cols, *extra)
 
 
-def prepare(items: DataFrame, erp: ErpTables, years: Sequence[int], materialize: bool = True):
+def contract_hits(items: DataFrame, erp: ErpTables, materialize: bool = True) -> DataFrame:
+    """Ledger hits of the items with their contract block, by default written
+    once to the shared checkpoint folder."""
+    hc = with_contracts(ledger_hits(items, erp), erp, item_contracts(items))
+    return cut_lineage(hc, "contract-hits") if materialize else hc
+
+
+def prepare(items: DataFrame, erp: ErpTables, years: Sequence[int], materialize: bool = True, blank_active: bool | None = None):
     """Shared inputs of the routes: ledger hits with their contract block
     (all items) and the open-invoice block.  Both feed several joins, so
     by default each is written once to the shared checkpoint folder (cuts
     the lineage: later stages and retries read the written rows).  The hits
     come first: the invoices are restricted to their tax ids."""
-    hc = with_contracts(ledger_hits(items, erp), erp, item_contracts(items))
+    hc = contract_hits(items, erp, materialize)
     if not materialize:
-        return hc, open_invoices(erp, years)
-    hc = cut_lineage(hc, "contract-hits")
-    return hc, cut_lineage(open_invoices(erp, years, hc), "open-invoices")
+        return hc, open_invoices(erp, years, blank_active=blank_active)
+    return hc, cut_lineage(open_invoices(erp, years, hc, blank_active), "open-invoices")
 
 
 def reconcile(
@@ -93,10 +100,11 @@ def reconcile(
     matched item keys.
     """
     items = number_items(expand_queues(queues, processes))
-    hc_all, inv = prepare(items, erp, years, materialize)
+    blank = has_blank_active(erp)
+    hc_all, inv = prepare(items, erp, years, materialize, blank)
     bad = quarantine(hc_all)
     hc = hc_all.join(bad.select(*ITEM_KEY), ITEM_KEY, "left_anti")
-    matches = match_routes(hc, erp, years, inv, budget if materialize else None)
+    matches = match_routes(hc, erp, years, inv, budget if materialize else None, blank)
     if materialize:
         matches = cut_lineage(matches, "matches")
     # SUCESSO rows come straight from the matches (they carry the item

@@ -19,14 +19,17 @@ from tallyspark.operators.match import (
     match_value_complement,
     match_via_document,
     match_via_tax_id,
+    open_invoices,
 )
 from tallyspark.operators.queues import expand_queues, number_items
 from tallyspark.operators.checks import quarantine, row_reasons
-from tallyspark.operators.reconcile import conform, eligible, prepare, reconcile
-from tallyspark.plans.oracle import DEFAULT_YEARS, MATCH_AVAILABLE, conform_select, with_ctes
+from tallyspark.operators.reconcile import conform, contract_hits, eligible, reconcile
+from tallyspark.operators.skew import CellBudget
+from tallyspark.plans.oracle import DEFAULT_YEARS, MATCH_AVAILABLE, blank_active_ctes, conform_select, with_ctes
 from tallyspark.schemas import ROW_SUCESSO
+from tallyspark.session import cut_lineage
 from tallyspark.sources.registry import DEFAULT_PROCESSES, KIND_STORAGE, KIND_VALUE
-from tallyspark.sources.testdata import erp_tables, queue_tables
+from tallyspark.sources.testdata import erp_tables, queue_tables, with_blank_active
 
 YEARS = DEFAULT_YEARS
 
@@ -58,11 +61,16 @@ def _sources(spark: SparkSession, sf_dir: str):
     return _SOURCE_PLANS[key]
 
 
-def _hc(spark: SparkSession, sf_dir: str, processes=DEFAULT_PROCESSES):
+def _hits(spark: SparkSession, sf_dir: str, processes=DEFAULT_PROCESSES):
+    """The ledger hits of all items that no fatal check stops."""
     queues, erp = _sources(spark, sf_dir)
-    hc_all, _ = prepare(number_items(expand_queues(queues, processes)), erp, YEARS, materialize=True)
-    hc = hc_all.join(quarantine(hc_all).select(*ITEM_KEY), ITEM_KEY, "left_anti")
-    return erp, hc
+    hc_all = contract_hits(number_items(expand_queues(queues, processes)), erp)
+    return erp, hc_all.join(quarantine(hc_all).select(*ITEM_KEY), ITEM_KEY, "left_anti")
+
+
+def _open(erp, hc: DataFrame) -> DataFrame:
+    """The open invoices of the hits' tax ids, as the cycle has them."""
+    return cut_lineage(open_invoices(erp, YEARS, hc), "open-invoices")
 
 
 def reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,27 +119,35 @@ def _conformed(df: DataFrame) -> DataFrame:
     return conform(df.withColumn("STATUS_EXECUCAO", F.lit(ROW_SUCESSO))).drop("DATA_EXECUCAO")
 
 
-def _route_sql(src: str, where: str = "") -> str:
+def _route_sql(src: str, where: str = "", views=None) -> str:
     inner = conform_select(src, MATCH_AVAILABLE, ROW_SUCESSO)
-    return with_ctes(f"SELECT * EXCLUDE (DATA_EXECUCAO) FROM ({inner}) t {where}")
+    return with_ctes(f"SELECT * EXCLUDE (DATA_EXECUCAO) FROM ({inner}) t {where}", views=views)
 
 
 @register("match_document", _route_sql("route_doc"))
 def q_match_document(spark, sf_dir):
-    erp, hc = _hc(spark, sf_dir)
+    erp, hc = _hits(spark, sf_dir)
     return _conformed(match_via_document(hc, erp, YEARS))
 
 
+@register("match_document_linked", _route_sql("route_doc", views=blank_active_ctes()))
+def q_match_document_linked(spark, sf_dir):
+    """The document route where an active NF-e has no number yet: documents
+    with a blank number reach its invoice, those without one do not."""
+    erp, hc = _hits(spark, sf_dir)
+    return _conformed(match_via_document(hc, with_blank_active(erp, spark, sf_dir), YEARS))
+
+
 @register("match_tax_id", _route_sql("route_tax"))
 def q_match_tax_id(spark, sf_dir):
-    erp, hc = _hc(spark, sf_dir)
-    return _conformed(match_via_tax_id(hc, erp, YEARS))
+    erp, hc = _hits(spark, sf_dir)
+    return _conformed(match_via_tax_id(hc, erp, YEARS, _open(erp, hc), CellBudget()))
 
 
 @register("match_value_complement", _route_sql("route_value"))
 def q_match_value_complement(spark, sf_dir):
-    erp, hc = _hc(spark, sf_dir)
-    return _conformed(match_value_complement(hc, erp, YEARS))
+    erp, hc = _hits(spark, sf_dir)
+    return _conformed(match_value_complement(hc, erp, YEARS, _open(erp, hc), budget=CellBudget()))
 
 
 @register(
@@ -141,7 +157,7 @@ def q_match_value_complement(spark, sf_dir):
 def q_match_storage(spark, sf_dir):
     queues, erp = _sources(spark, sf_dir)
     items = number_items(expand_queues(queues, [p for p in DEFAULT_PROCESSES if p.kind == KIND_STORAGE]))
-    return _conformed(match_all(items, erp, YEARS))
+    return _conformed(match_all(items, erp, YEARS, materialize=True))
 
 
 # --- C5/C6: reconcile --------------------------------------------------------------
@@ -154,8 +170,7 @@ def q_reconcile_all(spark, sf_dir):
 def q_quarantine(spark, sf_dir):
     queues, erp = _sources(spark, sf_dir)
     items = number_items(expand_queues(queues))
-    hc_all, _ = prepare(items, erp, YEARS, materialize=False)
-    return row_reasons(items, hc_all).withColumn("motivos", F.array_join("motivos", "; "))
+    return row_reasons(items, contract_hits(items, erp, materialize=False)).withColumn("motivos", F.array_join("motivos", "; "))
 
 
 # --- C7: eligibility -------------------------------------------------------------
@@ -184,6 +199,31 @@ def q_eligible_strict(spark, sf_dir):
     return eligible(reconciled(spark, sf_dir), "strict").drop("DATA_EXECUCAO")
 
 
+UNMATCHED_PROCESS = "V2_Consulta_Comp_CTR_S_FIXACAO"
+
+
+@register(
+    "eligible_mixed",
+    with_ctes(
+        f"""SELECT * FROM (SELECT ID, PROCESS_NAME, NUMERO_COCKPIT, DOC_COMPRA, ZMMT_VALOR,
+    CASE WHEN PROCESS_NAME = '{UNMATCHED_PROCESS}' THEN 'SEM_RETORNO' ELSE STATUS_EXECUCAO END AS STATUS_EXECUCAO,
+    CASE ID % 5 WHEN 0 THEN chr(9) || '  ' || chr(10) WHEN 1 THEN 'D' || CAST(ID AS VARCHAR) WHEN 2 THEN '0' ELSE DOCNUM END AS DOCNUM
+  FROM reconciled) r WHERE {_BLANK_DOCNUM} AND PROCESS_NAME <> '{UNMATCHED_PROCESS}'"""
+    ),
+)
+def q_eligible_mixed(spark, sf_dir):
+    """Eligibility where some rows are booked, some numbers are white space,
+    and one process has matched nothing."""
+    number = (
+        F.when(F.col("ID") % 5 == 0, F.lit("\t  \n")).when(F.col("ID") % 5 == 1, F.concat(F.lit("D"), F.col("ID").cast("string")))
+        .when(F.col("ID") % 5 == 2, F.lit("0")).otherwise(F.col("DOCNUM"))
+    )
+    status = F.when(F.col("PROCESS_NAME") == UNMATCHED_PROCESS, F.lit("SEM_RETORNO")).otherwise(F.col("STATUS_EXECUCAO"))
+    rec = reconciled(spark, sf_dir).select("ID", "PROCESS_NAME", "NUMERO_COCKPIT", "DOC_COMPRA", "ZMMT_VALOR",
+                                           status.alias("STATUS_EXECUCAO"), number.alias("DOCNUM"))
+    return eligible(cut_lineage(rec, "mixed"), "reference")
+
+
 # --- C8/C9/K9/K10: upsert, dedup, key check, schema evolution ------------------------
 from tallyspark.operators.upsert import dedup_last, evolve_union, key_violations, upsert  # noqa: E402
 from tallyspark.plans.oracle import dedup_sql, key_sql, with_all_ctes  # noqa: E402
@@ -481,6 +521,25 @@ def q_audit_list(spark, sf_dir):
     return audit_list(_audit_detail(spark, sf_dir)).orderBy(*LIST_ORDER)  # O2: the list's order
 
 
+@register("audit_list_stored", with_all_ctes(_AUDIT_LIST_SQL, audit_year=AUDIT_YEAR))
+def q_audit_list_stored(spark, sf_dir):
+    """The list written as CSV and as JSON; the JSON read back,
+    held against the rows of the CSV."""
+    import uuid
+
+    from tallyspark.operators.audit import LIST_ORDER
+    from tallyspark.session import checkpoint_dir
+    from tallyspark.sinks.writers import read_json, write_json, write_list_csv
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/audit-{uuid.uuid4().hex}"
+    listing = cut_lineage(audit_list(_audit_detail(spark, sf_dir)), "audit-list")
+    write_list_csv(listing, f"{root}/csv", LIST_ORDER)
+    write_json(listing, f"{root}/json")
+    # the CSV keeps no NULLs and no types, so it is compared by count
+    lines = spark.read.option("sep", ";").option("header", "true").csv(f"{root}/csv").count()
+    return read_json(spark, f"{root}/json", listing.schema).where(F.lit(lines) == listing.count())
+
+
 @register(
     "audit_flags",
     with_all_ctes(
@@ -567,6 +626,40 @@ def q_activity_unknown(spark, sf_dir):
     return unknown_statuses(activity_table(spark, sf_dir))
 
 
+# --- SF11, SF18, P4: times, durations, NaN ---------------------------------------------------
+_EVENT_TEXT = """CASE event_id % 4 WHEN 0 THEN '2024-' || lpad(CAST(event_id % 12 + 1 AS VARCHAR), 2, '0') || '-'
+    || lpad(CAST(event_id % 28 + 1 AS VARCHAR), 2, '0') || 'T' || lpad(CAST(event_id % 24 AS VARCHAR), 2, '0') || ':'
+    || lpad(CAST(event_id % 60 AS VARCHAR), 2, '0') || ':30'
+  WHEN 1 THEN '2024-02-' || lpad(CAST(event_id % 28 + 1 AS VARCHAR), 2, '0') WHEN 2 THEN 'T sem data, aguardando' END"""
+
+
+@register(
+    "event_times",
+    f"""SELECT event_id, iso, COALESCE(strftime(try_cast(iso AS TIMESTAMP), '%d/%m/%Y %H:%M'), replace(substr(iso, 1, 16), 'T', ' ')) AS shown,
+  printf('%02d:%02d:%02d', s // 3600, (s % 3600) // 60, s % 60) AS duration, ratio
+FROM (SELECT event_id, {_EVENT_TEXT} AS iso,
+    CASE WHEN event_id % 5 = 0 THEN 0 ELSE CAST(round_even((event_id % 200000) / 8.0, 0) AS BIGINT) END AS s,
+    CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id AS DOUBLE) / 4 END AS ratio
+  FROM events) e""",
+)
+def q_event_times(spark, sf_dir):
+    from tallyspark.functions.keys import hhmmss, nan_to_null
+    from tallyspark.operators.summary import fmt_dt
+    from tallyspark.sources.testdata import read_table
+
+    k = F.col("event_id")
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    iso = (
+        F.when(k % 4 == 0, F.concat(F.lit("2024-"), two(k % 12 + 1), F.lit("-"), two(k % 28 + 1), F.lit("T"), two(k % 24), F.lit(":"), two(k % 60), F.lit(":30")))
+        .when(k % 4 == 1, F.concat(F.lit("2024-02-"), two(k % 28 + 1)))
+        .when(k % 4 == 2, F.lit("T sem data, aguardando"))
+    )
+    seconds = F.when(k % 5 != 0, (k % 200000) / F.lit(8.0))
+    ratio = F.when(k % 3 == 0, F.lit(float("nan"))).otherwise(k.cast("double") / 4)
+    rows = read_table(spark, sf_dir, "events").select("event_id", iso.alias("iso"), seconds.alias("seconds"), ratio.alias("ratio"))
+    return nan_to_null(rows.select("event_id", "iso", fmt_dt(F.col("iso")).alias("shown"), hhmmss("seconds").alias("duration"), "ratio"))
+
+
 def _ids_values(ids, name) -> str:
     return "(VALUES " + ", ".join(f"('{v}', {i})" for i, v in enumerate(ids)) + f") ids({name}, pref)"
 

@@ -31,7 +31,7 @@ from tallyspark.session import cut_lineage, stage_scope
 from tallyspark.sinks.destinations import destination_rows, kept_processes, publish, recover
 from tallyspark.sinks.writers import export_batch, export_path
 from tallyspark.sources.registry import DEFAULT_PROCESSES, ProcessDef, active_processes
-from tallyspark.sources.testdata import ErpTables
+from tallyspark.sources.erp import ErpTables
 
 LOG = logging.getLogger(__name__)
 

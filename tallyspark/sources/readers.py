@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.schemas import ERP_SCHEMAS, QUANTITY_QUEUE_SCHEMA, VALUE_QUEUE_SCHEMA
 from tallyspark.sources.registry import DEFAULT_PROCESSES, KIND_VALUE, ProcessDef
-from tallyspark.sources.testdata import ErpTables
+from tallyspark.sources.erp import ErpTables
 
 
 def _columns(ddl: str) -> list[str]:

@@ -15,12 +15,13 @@ keep the two in step.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.keys import amount, ymd
+from tallyspark.sources.erp import ErpTables
 from tallyspark.sources.registry import DEFAULT_PROCESSES, KIND_VALUE, ProcessDef
 
 # --- fixed values of the derivation ------------------------------------------
@@ -139,24 +140,6 @@ def value_queue(orders: DataFrame, process: ProcessDef) -> DataFrame:
     )
 
 
-@dataclass
-class ErpTables:
-    """The twelve ERP tables the matching reads."""
-
-    zmmt0022: DataFrame  # expected-amounts ledger
-    ekko: DataFrame  # purchase header
-    ekpo: DataFrame  # purchase item
-    mara: DataFrame  # material
-    bp_fiscal: DataFrame  # partner tax ids
-    vbak: DataFrame  # sales header
-    vbap: DataFrame  # sales item
-    kna1: DataFrame  # customer
-    xml_rec: DataFrame  # received invoice (header)
-    nfeit: DataFrame  # received invoice item
-    nfe_active: DataFrame  # active NF-e
-    nfdoc: DataFrame  # fiscal document
-
-
 def ledger(lineitem: DataFrame) -> DataFrame:
     lk, ln = F.col("l_orderkey"), F.col("l_linenumber")
     return lineitem.select(
@@ -335,6 +318,20 @@ def erp_tables(spark: SparkSession, sf_dir: str) -> ErpTables:
     )
 
 
+def with_blank_active(erp: ErpTables, spark: SparkSession, sf_dir: str) -> ErpTables:
+    """The tables with one registered invoice (the first line of the smallest
+    such order) that has no document number yet, and some documents whose
+    number is missing rather than blank."""
+    lines = read_table(spark, sf_dir, "lineitem")
+    first = lines.where((F.col("l_linestatus") == "F") & (F.col("l_linenumber") == 1) & (F.col("l_orderkey") % 13 != 0))
+    number = first.agg(F.min("l_orderkey").alias("k")).select((F.lit(DOCNUM_BASE) + F.col("k") * 10 + 1).cast("string").alias("_first"))
+    active = erp.nfe_active.join(F.broadcast(number), F.col("DOCNUM") == F.col("_first"), "left")  # one row
+    active = active.withColumn("DOCNUM", F.when(F.col("_first").isNotNull(), F.lit("")).otherwise(F.col("DOCNUM"))).drop("_first")
+    posted = F.col("BELNR").cast("long") - F.lit(MIRO_BASE)
+    docs = erp.nfdoc.withColumn("DOCNUM", F.when((posted / 10).cast("long") % 15 == 0, F.lit(None)).otherwise(F.col("DOCNUM")))
+    return replace(erp, nfe_active=active, nfdoc=docs)
+
+
 def queue_tables(
     spark: SparkSession, sf_dir: str, processes=DEFAULT_PROCESSES
 ) -> dict[str, DataFrame]:

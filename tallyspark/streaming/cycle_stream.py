@@ -36,7 +36,7 @@ from tallyspark.session import checkpoint_dir, cut_lineage, stage_scope
 from tallyspark.sinks import files
 from tallyspark.sinks.keyed_table import KeyedTable
 from tallyspark.sources.registry import DEFAULT_PROCESSES, KIND_VALUE, ProcessDef, active_processes
-from tallyspark.sources.testdata import ErpTables
+from tallyspark.sources.erp import ErpTables
 
 PROCESS = "PROCESS_NAME"
 LANDED_SCHEMA = T.StructType(

@@ -21,7 +21,7 @@ from tallyspark.operators.upsert import upsert
 from tallyspark.schemas import QUANTITY_QUEUE_SCHEMA, RESULT_SCHEMA, VALUE_QUEUE_SCHEMA
 from tallyspark.session import checkpoint_dir
 from tallyspark.sources.registry import KIND_VALUE, ProcessDef
-from tallyspark.sources.testdata import ErpTables
+from tallyspark.sources.erp import ErpTables
 
 
 def version_path(out_root: str, epoch: int) -> str:

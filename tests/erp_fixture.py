@@ -7,7 +7,7 @@ small DataFrame; pass a list of row tuples to replace a table.
 from __future__ import annotations
 
 from tallyspark.schemas import ERP_SCHEMAS, QUANTITY_QUEUE_SCHEMA, VALUE_QUEUE_SCHEMA
-from tallyspark.sources.testdata import ErpTables
+from tallyspark.sources.erp import ErpTables
 
 SCHEMAS = ERP_SCHEMAS
 
