@@ -38,10 +38,12 @@ from tallyspark.llm.common import chunks, flat_bytes, mix64
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 K = 2
 SEED = 20
-GRAPH_BYTES = 1 << 16  # text bytes of the lattices built together (a longer text makes its own)
+GRAPH_BYTES = 1 << 15  # text bytes of the lattices built together (a longer text makes its own)
 SPACE = "▁"
 ESCAPE = 0xD800  # stands for a literal U+2581; no valid text holds it
 END = 0x110000  # the node behind a text, beyond all code points
+PER_CHAR = 3.0  # log scale of a character in the backward sums; paths between cuts share it, so it cancels
+TINY = 1e-280  # sums below it are taken in logarithms instead
 U = np.uint64
 
 SCHEMA = "doc_id long, sample int, n_pieces long, log_prob double, perturbed double, inclusion double, ids array<int>"
@@ -93,6 +95,9 @@ class Lattice:
         self.weight = np.zeros(size)
         self.weight[order] = -1.1 * np.log(np.arange(len(order)) + 20.0)
         self.byte_cost = -1.1 * math.log(size + 20) - 4.0
+        chars = np.zeros(size)
+        chars[plain] = [len(self.text[i]) for i in plain]
+        self.scaled = np.exp(self.weight + PER_CHAR * chars)
         self._trie()
 
     def _trie(self) -> None:
@@ -163,6 +168,7 @@ class Graph:
         chars = np.concatenate(parts)
         chars[chars == 32] = ord(SPACE)
         self.lattice, self.chars, self.doc = lattice, chars, np.cumsum(size)
+        self.text = np.repeat(np.arange(len(texts), dtype=np.int32), size[1:])
         self._edges()
         self._weigh()
 
@@ -180,7 +186,7 @@ class Graph:
             found.append((depth, at[ends], ids[ends]))
             if depth == 1:
                 one[at[ends]] = True
-                found.insert(0, (1, np.flatnonzero(~one), None))
+                found.insert(0, (1, np.flatnonzero(~one), None))  # first of their nodes' edges
             node = trie.step(node, chars[at + depth])
             more = np.flatnonzero(node)
             at, node, depth = at[more], node[more], depth + 1
@@ -198,18 +204,15 @@ class Graph:
             if ids is not None:
                 self.ids[slot] = ids
             free[where] += 1
-        self.degree = degree
+        self.degree, self.bare = degree, found[0][1]
 
     def _weigh(self) -> None:
-        """Log-probabilities of the edges, from exact backward sums.  No edge
+        """Probabilities of the edges, from exact backward sums.  No edge
         passes over a cut, so the stretches between cuts are summed together,
         node after node from their ends."""
         n, start, degree = len(self.chars), self.start, self.degree
-        self.node = np.repeat(np.arange(n, dtype=np.int32), degree)
-        weight = self.lattice.weight[np.maximum(self.ids, 0)]
-        raw = np.flatnonzero(self.ids < 0)
-        char = self.chars[self.node[raw]]
-        weight[raw] = np.where(char == END, 0.0, self.lattice.byte_cost * utf8_length(char))
+        raw, char = start[self.bare], self.chars[self.bare]
+        raw_weight = np.where(char == END, 0.0, self.lattice.byte_cost * utf8_length(char))
         cut = np.ones(n + 1, bool)
         cut[1:] = np.maximum.accumulate(np.maximum.reduceat(self.to, start[:-1])) <= np.arange(1, n + 1)
         cuts = np.flatnonzero(cut)
@@ -219,91 +222,155 @@ class Graph:
         nodes = np.argsort(away.astype(small), kind="stable")
         deg = degree[nodes]
         begin = np.cumsum(deg) - deg
-        edges = np.repeat(start[nodes] - begin, deg) + np.arange(len(weight))
-        weights, targets = weight[edges], self.to[edges]
-        sums, after = np.empty(n), np.zeros(n + 1)  # from a node on; the same, but none behind a cut
+        edges = np.repeat(start[nodes] - begin, deg) + np.arange(len(self.ids))
+        targets, cut_at = self.to[edges], cut[nodes]
         bounds = np.concatenate([[0], np.cumsum(np.bincount(away)[1:])])
-        begin = np.append(begin, len(weight))
-        for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            if i < j:
-                lo, hi = begin[i], begin[j]
-                got = np.logaddexp.reduceat(weights[lo:hi] + after[targets[lo:hi]], begin[i:j] - lo)
-                sums[nodes[i:j]] = got
-                after[nodes[i:j]] = np.where(cut[nodes[i:j]], 0.0, got)
-        self.lp = np.minimum(weight + after[self.to] - np.repeat(sums, degree), 0.0)
-        p = np.exp(self.lp)
-        upto = np.cumsum(p)
-        self.p, self.below = p, upto - np.repeat(upto[start[:-1]] - p[start[:-1]], degree)
-
-    def choose(self, draws: np.ndarray) -> np.ndarray:
-        """An edge for every node, by its probabilities."""
-        first = self.start[:-1]
-        k = np.add.reduceat((self.below <= np.repeat(draws, self.degree)).astype(np.int32), first)
-        return first + np.minimum(k, self.degree - 1)
-
-    def paths(self, choice: np.ndarray) -> np.ndarray:
-        """Nodes on the chosen paths that start at every cut."""
-        on = np.zeros(len(self.chars) + 1, bool)
+        begin = np.append(begin, len(edges))
+
+        def backward(weight: np.ndarray, join, times, one: float) -> tuple[np.ndarray, np.ndarray]:
+            """Sums from a node on, and the same but ``one`` at a cut."""
+            weights, sums, after = weight[edges], np.empty(n), np.full(n + 1, one)
+            for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                if i < j:
+                    lo, hi = begin[i], begin[j]
+                    got = join.reduceat(times(weights[lo:hi], after[targets[lo:hi]]), begin[i:j] - lo)
+                    sums[nodes[i:j]] = got
+                    after[nodes[i:j]] = np.where(cut_at[i:j], one, got)
+            return sums, after
+
+        # plain sums of weights scaled by the character; logarithms where a long stretch leaves their range
+        weight = self.lattice.scaled[np.maximum(self.ids, 0)]
+        weight[raw] = np.exp(raw_weight + PER_CHAR)
+        with np.errstate(over="ignore"):
+            sums, after = backward(weight, np.add, np.multiply, 1.0)
+        if sums.min() > TINY and sums.max() < 1 / TINY:
+            p = weight
+            p *= after[self.to]
+            p *= np.repeat(1.0 / sums, degree)
+        else:
+            weight = self.lattice.weight[np.maximum(self.ids, 0)]
+            weight[raw] = raw_weight
+            sums, after = backward(weight, np.logaddexp, np.add, 0.0)
+            p = np.exp(weight + after[self.to] - np.repeat(sums, degree))
+        self.p = np.minimum(p, 1.0, out=p)
+        self.upto = np.cumsum(self.p)  # over all edges; before a node's: ``base``
+        self.base = self.upto[start[:-1]] - self.p[start[:-1]]
+
+    def node_of(self, edges) -> np.ndarray:
+        return np.searchsorted(self.start, edges, side="right") - 1
+
+    def draws(self, keys: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        """Random numbers at nodes, from their text's key and place in it."""
+        text = self.text[nodes]
+        return uniform(keys[text], nodes - self.doc[text])
+
+    def lp(self, edges: np.ndarray) -> np.ndarray:
+        """Log-probabilities of some edges."""
+        return np.log(self.p[edges])
+
+    def choose(self, nodes: np.ndarray, draws: np.ndarray) -> np.ndarray:
+        """An edge for each of the nodes, by its probabilities."""
+        first = self.start[nodes]
+        at = np.searchsorted(self.upto, self.base[nodes] + draws, side="right")
+        return np.clip(at, first, first + self.degree[nodes] - 1)
+
+    def paths(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Nodes on the sampled paths that start at every cut, and the edges
+        that lead on from them; random numbers come from the texts' ``keys``."""
+        choice = np.full(len(self.chars) + 1, -1)
         at = np.flatnonzero(self.cut[:-1])
         while len(at):
-            on[at] = True
+            choice[at] = self.choose(at, self.draws(keys, at))
             at = self.to[choice[at]]
             at = at[~self.cut[at]]
-        return np.flatnonzero(on)
+        nodes = np.flatnonzero(choice >= 0)
+        return nodes, choice[nodes]
 
-    def pieces(self, edges: np.ndarray) -> np.ndarray:
-        """Ids of a path; a character without a piece gives its bytes."""
+    def pieces(self, paths: list[np.ndarray]) -> list[np.ndarray]:
+        """Ids of paths; a character without a piece gives its bytes."""
+        edges = np.concatenate(paths)
+        ends = np.cumsum([len(p) for p in paths])
         ids = self.ids[edges]
         raw = np.flatnonzero(ids < 0)
-        if not len(raw):
-            return ids
-        char = self.chars[self.node[edges[raw]]].astype(np.int64)
-        char[char == ESCAPE] = ord(SPACE)
-        count = np.ones(len(ids), np.int64)
-        count[raw] = utf8_length(char)
-        out, begin = np.repeat(ids, count), (np.cumsum(count) - count)[raw]
-        for c, b in zip(char.tolist(), begin.tolist(), strict=True):
-            code = chr(c).encode()
-            out[b : b + len(code)] = self.lattice.byte_ids[list(code)]
-        return out
+        if len(raw):
+            char = self.chars[self.node_of(edges[raw])].astype(np.int64)
+            char[char == ESCAPE] = ord(SPACE)
+            count = np.ones(len(ids), np.int64)
+            count[raw] = utf8_length(char)
+            upto = np.cumsum(count)
+            ends = np.concatenate([[0], upto])[ends]
+            ids = np.repeat(ids, count)
+            for c, b in zip(char.tolist(), (upto - count)[raw].tolist(), strict=True):
+                code = chr(c).encode()
+                ids[b : b + len(code)] = self.lattice.byte_ids[list(code)]
+        return np.split(ids, ends[:-1])
 
 
 def utf8_length(char: np.ndarray) -> np.ndarray:
     return 1 + (char >= 0x80) + (char >= 0x800) + (char >= 0x10000)
 
 
-def truncated(phi: np.ndarray, most: float, draws: np.ndarray) -> np.ndarray:
+def gumbel_of(draw: float) -> float:
+    return float(-math.log(-math.log(draw)))
+
+
+def truncated(phi: np.ndarray, most, draws: np.ndarray) -> np.ndarray:
     """Gumbel(phi) values conditioned to lie below ``most``; none for -inf."""
     with np.errstate(over="ignore", divide="ignore"):
         return -np.logaddexp(-most, -phi + np.log(-np.log(draws)))
 
 
-def search(graph: Graph, doc: int, choices: list, nodes: list, keys: list, scalars: np.ndarray, k: int):
+def regions(graph: Graph, node: np.ndarray, lp: np.ndarray, before: np.ndarray, most, draws: np.ndarray) -> np.ndarray:
+    """Perturbed values of all that leaves a path at its nodes, below ``most``."""
+    phi = np.where(graph.degree[node] > 1, before + logsub(0.0, lp), -math.inf)
+    return truncated(phi, most, draws)
+
+
+def first_paths(graph: Graph, sampled: tuple, gumbel: np.ndarray, values: np.ndarray) -> Iterator[tuple]:
+    """(path, log-probabilities, values of its regions) of every text's first
+    sample, which the paths from the cuts make up; all texts at once."""
+    nodes, edges = sampled
+    a, b = graph.doc[:-1], graph.doc[1:] - 1
+    lo, hi = np.searchsorted(nodes, a), np.searchsorted(nodes, b)
+    lp = graph.lp(edges)
+    text = graph.text[nodes]
+    before = np.cumsum(lp) - lp
+    before -= before[lo][text]
+    rest = regions(graph, nodes, lp, before, values[text], uniform(gumbel[text], nodes - a[text]))
+    for i, j in zip(lo.tolist(), hi.tolist(), strict=True):
+        yield edges[i:j], lp[i:j], rest[i:j]
+
+
+def search(graph: Graph, doc: int, first: tuple, sampled: list, keys: list, gumbel: list, scalars: np.ndarray, k: int):
     """(edges, log-probability, perturbed value, inclusion score) of the top k
-    paths of a text.  Per path, ``choices`` holds an edge for every node,
-    ``nodes`` where these lead from all cuts, ``keys`` its random stream."""
+    paths of a text.  ``first`` is its first path; per path, ``sampled`` holds
+    the nodes and edges that lead from all cuts, ``keys`` the random stream of
+    its choices, ``gumbel`` that of its regions, both by text."""
     a, b = int(graph.doc[doc]), int(graph.doc[doc + 1]) - 1
 
     def walk(at: int, r: int) -> np.ndarray:
         head = []
-        while not graph.cut[at]:
-            head.append(int(choices[r][at]))
+        while not graph.cut[at]:  # inside a stretch: on to its end
+            here = np.array([at])
+            head.append(int(graph.choose(here, graph.draws(keys[r], here))[0]))
             at = int(graph.to[head[-1]])
-        lo, hi = np.searchsorted(nodes[r], (at, b))
-        return np.concatenate([np.array(head, np.int64), choices[r][nodes[r][lo:hi]]])
+        nodes, edges = sampled[r]
+        lo, hi = np.searchsorted(nodes, (at, b))
+        return np.concatenate([np.array(head, np.int64), edges[lo:hi]])
 
-    value = float(-math.log(-math.log(scalars[0])))
-    path, begin = walk(a, 0), 0
+    value = gumbel_of(scalars[0])
     paths, lps, rests, gone, found = [], [], [], {}, []
     while True:
         r = len(paths)
-        lp = graph.lp[path]
-        rest = np.full(len(path), -math.inf)
-        if begin < len(path):
-            before = np.concatenate([[0.0], np.cumsum(lp)[:-1]])[begin:]
-            node = graph.node[path[begin:]]
-            phi = np.where(graph.degree[node] > 1, before + logsub(0.0, lp[begin:]), -math.inf)
-            rest[begin:] = truncated(phi, value, uniform(keys[r][doc], node - a))
+        if r == 0:
+            path, lp, rest = first
+        else:
+            lp = graph.lp(path)
+            rest = np.full(len(path), -math.inf)
+            if begin < len(path):
+                node = graph.node_of(path[begin:])
+                before = (np.cumsum(lp) - lp)[begin:]
+                rest[begin:] = regions(graph, node, lp[begin:], before, value, uniform(gumbel[r][doc], node - a))
         paths.append(path)
         lps.append(lp)
         rests.append(rest)
@@ -315,7 +382,7 @@ def search(graph: Graph, doc: int, choices: list, nodes: list, keys: list, scala
         # Open the best region: another edge at its choice, the rest free.
         old = tops.index(value)
         at = int(rests[old].argmax())
-        node = int(graph.node[paths[old][at]])
+        node = int(graph.node_of(paths[old][at]))
         out = gone.get((old, at), [int(paths[old][at])])
         free = [e for e in range(int(graph.start[node]), int(graph.start[node + 1])) if e not in out]
         p = graph.p[free]
@@ -336,14 +403,15 @@ def sample_texts(lattice: Lattice, texts: list[str], keys: list[int], k: int = K
     graph = Graph(lattice, texts)
     with np.errstate(over="ignore"):
         key = mix64(np.array([x & 0xFFFFFFFFFFFFFFFF for x in keys], U) + U(seed) * U(0xBF58476D1CE4E5B9))
-    size = np.diff(graph.doc)
-    place = np.arange(len(graph.chars)) - np.repeat(graph.doc[:-1], size)
-    choices = [graph.choose(uniform(np.repeat(stream_keys(key, 2 * r + 1), size), place)) for r in range(k)]
-    nodes = [graph.paths(c) for c in choices]
-    keys = [stream_keys(key, 2 * r + 2) for r in range(k)]
+    keys = [stream_keys(key, 2 * r + 1) for r in range(k)]
+    sampled = [graph.paths(own) for own in keys]
+    gumbel = [stream_keys(key, 2 * r + 2) for r in range(k)]
     scalars = uniform(stream_keys(key, 0)[:, None], np.arange(2 * k + 1)[None, :])
-    for doc in range(len(texts)):
-        yield [(graph.pieces(e), lp, v, inc) for e, lp, v, inc in search(graph, doc, choices, nodes, keys, scalars[doc], k)]
+    first = first_paths(graph, sampled[0], gumbel[0], np.array([gumbel_of(x) for x in scalars[:, 0].tolist()]))
+    found = [search(graph, doc, f, sampled, keys, gumbel, scalars[doc], k) for doc, f in enumerate(first)]
+    ids = iter(graph.pieces([path for got in found for path, *_ in got]))
+    for got in found:
+        yield [(next(ids), lp, v, inc) for _, lp, v, inc in got]
 
 
 def sample(lattice: Lattice, text: str, key: int, k: int = K, seed: int = SEED) -> list[tuple]:
