@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.functions.keys import is_blank
-from tallyspark.operators.reconcile import conform, reconcile
+from tallyspark.operators.reconcile import conform, prepared, reconcile
 from tallyspark.operators.upsert import dedup_last
 from tallyspark.schemas import QUANTITY_QUEUE_SCHEMA, RESULT_SCHEMA, ROW_SUCESSO, VALUE_QUEUE_SCHEMA
 from tallyspark.session import checkpoint_dir, cut_lineage, stage_scope
@@ -143,17 +143,22 @@ def start_cycle_stream(spark: SparkSession, landing: str, erp: ErpTables, years:
                        processes: Iterable[ProcessDef] = DEFAULT_PROCESSES, checkpoint: str | None = None,
                        files_per_epoch: int | None = None):
     """Drain the landed files (availableNow) through :func:`advance`; returns
-    the StreamingQuery."""
+    the StreamingQuery.  The ERP work that no queue row decides is done once a
+    drain."""
     processes = list(processes)
     ckpt = (checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/cycle-stream").rstrip("/")
     reader = spark.readStream.schema(LANDED_SCHEMA)
     if files_per_epoch:
         reader = reader.option("maxFilesPerTrigger", files_per_epoch)
 
+    held: list[ErpTables] = []
+
     def on_batch(df: DataFrame, epoch_id: int) -> None:
         session = df.sparkSession
         claim(session, out_root, stream_id(session, ckpt))
-        advance(session, df, int(epoch_id), erp, years, out_root, processes)
+        if not held:
+            held.append(prepared(erp, years))
+        advance(session, df, int(epoch_id), held[0], years, out_root, processes)
 
     writer = reader.parquet(landing).writeStream.foreachBatch(on_batch)
     return writer.option("checkpointLocation", ckpt).trigger(availableNow=True).start()

@@ -2,7 +2,8 @@
 
 New queue files landing in a folder are picked up with
 ``trigger(availableNow=True)``; each micro-batch is reconciled against the
-ERP tables once, and all its reconciled rows are kept.  Whether a process had
+ERP tables once, and all its reconciled rows are kept.  The share of that work
+that no queue row decides is done once a drain, not once a micro-batch.  Whether a process had
 a match is a fact about the process, not about a micro-batch, so eligibility
 and the keyed merge run over the rows of all epochs so far: the result does
 not depend on how the queue was split into files.  Folders are named by
@@ -16,7 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.operators.reconcile import conform, eligible, reconcile
+from tallyspark.operators.reconcile import conform, eligible, prepared, reconcile
 from tallyspark.operators.upsert import upsert
 from tallyspark.schemas import QUANTITY_QUEUE_SCHEMA, RESULT_SCHEMA, VALUE_QUEUE_SCHEMA
 from tallyspark.session import checkpoint_dir
@@ -64,9 +65,12 @@ def start_queue_stream(spark: SparkSession, queue_dir: str, process: ProcessDef,
     schema = VALUE_QUEUE_SCHEMA if process.kind == KIND_VALUE else QUANTITY_QUEUE_SCHEMA
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/queue-stream-{process.process_name}"
     src = spark.readStream.schema(schema).parquet(queue_dir)
+    held: list[ErpTables] = []
 
     def on_batch(df: DataFrame, epoch_id: int) -> None:
-        merge_epoch(df.sparkSession, df, int(epoch_id), process, erp, years, out_root)
+        if not held:
+            held.append(prepared(erp, years))
+        merge_epoch(df.sparkSession, df, int(epoch_id), process, held[0], years, out_root)
 
     return (
         src.writeStream.foreachBatch(on_batch)
@@ -80,6 +84,7 @@ def run_available(spark: SparkSession, queue_rows: DataFrame, process: ProcessDe
                   years: Sequence[int], root: str, files: int = 2) -> DataFrame:
     """Land ``queue_rows`` as ``files`` parquet files, drain them with the
     stream one file per micro-batch, and return the last result version."""
+    erp = prepared(erp, years)
     queue_dir = f"{root.rstrip('/')}/queue"
     queue_rows.repartition(files).write.mode("error").parquet(queue_dir)
     schema = VALUE_QUEUE_SCHEMA if process.kind == KIND_VALUE else QUANTITY_QUEUE_SCHEMA
