@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 from tallyspark.operators.blocks import invoice_block
 from tallyspark.operators.match import match_via_document, open_invoices
-from tallyspark.operators.pruning import BITS, key_bits, may_meet
+from tallyspark.operators.pruning import BITS, cannot_meet, key_bits, may_meet
 from tallyspark.operators.queues import expand_queues, number_items
-from tallyspark.operators.reconcile import contract_hits
+from tallyspark.operators.reconcile import contract_hits, reconcile
 from tallyspark.operators.skew import CellBudget, even_join
 from tallyspark.sources.registry import DEFAULT_PROCESSES, with_active
 
@@ -30,6 +30,8 @@ def test_every_row_that_meets_a_key_is_kept(spark):
     want = {(r.a, r.q) for r in rows.where("a % 10 = 3").dropna().collect()}
     assert want <= got and len(got) < len(want) + 50
     assert may_meet(rows, ["a"], keys.where("false"), ["k"]).count() == 0
+    left_out = cannot_meet(rows, ["a", "q"], keys, ["k", "kq"])
+    assert sorted(map(str, left_out.unionByName(kept).collect())) == sorted(map(str, rows.collect()))
     # the map is bounded: one word a 64 bits, however many keys
     assert key_bits(spark.range(1000).crossJoin(spark.range(3).toDF("x")), ["id"]).count() <= min(1000, BITS // 64)
 
@@ -73,3 +75,11 @@ def test_open_invoices_need_only_the_mark_of_a_numbered_nfe(spark):
     rows = lambda df: sorted(str(tuple(r)) for r in df.collect())
     assert rows(cut) == rows(whole)
     assert {(r.VTIN_XML, r.LOCAL, r.DOCNUM) for r in cut.collect()} == {("1", "B", ""), ("2", "B", None), ("3", None, None)}
+
+
+def test_items_without_a_match_are_not_moved(spark):
+    rows = [fx.qrow(n, "12", "4500451189" if n == 1 else f"77{n}", "123490") for n in range(1, 40)]
+    q, erp = fx.build(spark, queues={fx.FIXO: rows})
+    done = reconcile(q, erp, [2026], ONLY)
+    assert sorted((r.ID, r.STATUS_EXECUCAO) for r in done.collect()) == [(n, "SUCESSO" if n == 1 else "SEM_RETORNO") for n in range(1, 40)]
+    assert "LeftAnti" in plan_of(done) and "partial_bit_or" in plan_of(done)
