@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyspark.operators.pruning import marked
 from tallyspark.schemas import UPSERT_KEYS, UPSERT_NULL_AS_EMPTY
 
 # Rows are written in queue order (by id), so "last" = highest id; the
@@ -49,6 +50,10 @@ def dedup_last(df: DataFrame, keys: Sequence[str] = UPSERT_KEYS) -> DataFrame:
 
     Rows whose PROCESS_NAME or STATUS_EXECUCAO is NULL never collide (a
     NULL never equals anything in a unique index) and pass through.
+
+    Most keys occur once.  Their hashes are counted first, and only rows whose
+    key may be a repeated one are moved whole.  ``df`` is read three times:
+    give a written table.
     """
     cols = df.columns
     ordered = order_columns(_hashable(df))
@@ -58,10 +63,15 @@ def dedup_last(df: DataFrame, keys: Sequence[str] = UPSERT_KEYS) -> DataFrame:
     for k in strict:
         nullable = nullable | F.col(k).isNull()
     keyed = df.where(~nullable).select("*", *key_columns(keys))
+    named = [f"_k{i}" for i in range(len(keys))]
+    counts = keyed.groupBy(F.xxhash64(*named).alias("_hash")).agg(F.count(F.lit(1)).alias("_n"))
+    keyed = marked(keyed.withColumn("_hash", F.xxhash64(*named)), "_again", ["_hash"], counts.where("_n > 1"), ["_hash"])
+    once = keyed.where(~F.col("_again")).select(*cols)
+    keyed = keyed.where("_again")
     row = F.struct(*[F.col(f"`{c}`") for c in ordered + rest])
-    best = keyed.groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(F.max(row).alias("_row"))
+    best = keyed.groupBy(*named).agg(F.max(row).alias("_row"))
     picked = best.select(*[F.col(f"_row.`{c}`").alias(c) for c in ordered + rest]).select(*cols)
-    return picked.unionByName(df.where(nullable))
+    return picked.unionByName(once).unionByName(df.where(nullable))
 
 
 def key_violations(df: DataFrame, keys: Sequence[str] = UPSERT_KEYS) -> DataFrame:
@@ -88,30 +98,39 @@ def as_named_in(batch: DataFrame, names: Sequence[str]) -> DataFrame:
     return batch.select(*[F.col(f"`{c}`").alias(spelt.get(u, c)) for u, c in seen.items()])
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str] = UPSERT_KEYS) -> DataFrame:
+def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str] = UPSERT_KEYS, unique: bool = False) -> DataFrame:
     """Merge ``batch`` into ``target`` by the upsert key.
 
-    The batch is deduplicated first (last row wins).  A matched key takes
+    The batch is deduplicated first (last row wins), unless its keys are
+    ``unique``.  A matched key takes
     the batch value for every column the batch has and keeps the target
     value for the others; new keys are inserted (target-only columns NULL);
     untouched target rows stay.  The result has the target's columns plus
     any new batch columns (never drops a column).  Column names are one
-    whatever their case.
+    whatever their case.  Rows of either side whose key the other side lacks
+    are not moved; both are read several times: give written tables.
     """
     target, batch = evolve(target, as_named_in(batch, target.columns), keep_batch_columns=True)
     batch_cols = set(batch.columns)
-    b = dedup_last(batch, keys)
-    nk = len(keys)
-    t = target.select("*", *key_columns(keys), F.lit(True).alias("_t"))
-    b = b.select(*[F.col(f"`{c}`").alias(f"_b_{c}") for c in b.columns], *key_columns(keys), F.lit(True).alias("_b"))
-    j = t.join(b, [f"_k{i}" for i in range(nk)], "full_outer")
+    named = [f"_k{i}" for i in range(len(keys))]
+    t = marked(target.select("*", *key_columns(keys)), "_meets", named, batch.select(*key_columns(keys)), named)
+    b = batch if unique else dedup_last(batch, keys)
+    b = marked(b.select("*", *key_columns(keys)), "_meets", named, target.select(*key_columns(keys)), named)
+    new = b.where(~F.col("_meets")).select(*batch.columns)
+    new = new.select(*[
+        F.col(f"`{f.name}`") if f.name in batch_cols else F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields
+    ])
+    kept = t.where(~F.col("_meets")).select(*target.columns)
+    t = t.where("_meets").drop("_meets")
+    b = b.where("_meets").select(*[F.col(f"`{c}`").alias(f"_b_{c}") for c in batch.columns], *named, F.lit(True).alias("_b"))
+    j = t.join(b, named, "full_outer")
     out = []
     for c in target.columns:
         if c in batch_cols:
             out.append(F.when(F.col("_b").isNotNull(), F.col(f"_b_{c}")).otherwise(F.col(f"`{c}`")).alias(c))
         else:
             out.append(F.col(f"`{c}`").alias(c))
-    return j.select(*out)
+    return j.select(*out).unionByName(kept).unionByName(new)
 
 
 def evolve(target: DataFrame, batch: DataFrame, keep_batch_columns: bool = False):

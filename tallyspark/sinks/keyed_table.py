@@ -143,7 +143,7 @@ class KeyedTable:
         if touched:
             target, rows = self._rows(replace(m, schema=schema), touched), staged.drop(_BUCKET)
             if prefer == "batch":
-                merged = upsert(target, rows, m.keys)
+                merged = upsert(target, rows, m.keys, unique=True)
             else:
                 merged = dedup_last(target.unionByName(rows, allowMissingColumns=True), m.keys)
             folder = f"data/{uuid.uuid4().hex}"

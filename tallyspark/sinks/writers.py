@@ -110,7 +110,8 @@ def upsert_path(spark: SparkSession, target_path: str | None, batch: DataFrame,
         target = conform(spark.read.option("mergeSchema", "true").parquet(target_path), keep_extra=True)
     else:
         target = spark.createDataFrame([], RESULT_SCHEMA)
-    conform(upsert(target, with_keys(batch)), keep_extra=True).write.mode("error").parquet(new_path)
+    batch = cut_lineage(with_keys(batch), "batch")  # the merge reads it several times
+    conform(upsert(target, batch), keep_extra=True).write.mode("error").parquet(new_path)
     return new_path
 
 
