@@ -10,7 +10,7 @@ from tallyspark.operators import reconcile as rec
 from tallyspark.operators.match import ITEM_KEY, open_invoices, with_items
 from tallyspark.operators.queues import ITEM_NO, expand_queues, number_items
 from tallyspark.operators.reconcile import contract_hits, prepared, reconcile
-from tallyspark.schemas import QUEUE_COLUMNS
+from tallyspark.schemas import QUEUE_COLUMNS, RESULT_COLUMNS, UPSERT_KEYS
 from tallyspark.sources.registry import DEFAULT_PROCESSES, with_active
 from tallyspark.streaming import cycle_stream
 from tallyspark.streaming.queue_stream import run_available
@@ -67,3 +67,24 @@ def test_a_drain_makes_the_blocks_once(spark, tmp_out, monkeypatch):
     process = next(p for p in DEFAULT_PROCESSES if p.process_name == fx.FIXO)
     alone = run_available(spark, q[fx.FIXO], process, erp, [2026], f"{tmp_out}/one", files=2)
     assert made == [True, True] and content(alone) == content(out)
+
+
+def test_columns_that_nothing_reads_are_not_written(spark):
+    """The rows are those of the whole result; the tables on the way hold what
+    the routes and checks read, what is wanted, and NULLs."""
+    q, erp = fx.build(spark)
+    whole = reconcile(q, erp, [2026])
+    assert whole.where("STATUS_EXECUCAO = 'SUCESSO'").count() > 0
+    for wanted in (["PROCESS_NAME", "STATUS_EXECUCAO", "DOCNUM"], UPSERT_KEYS, ["ID", "RESULTADO", "NAME", "VTIN_SERIE", "CFOP", "ZMMT_TIPO", "MENSAGEM_ERRO"],
+                   RESULT_COLUMNS):
+        got = reconcile(q, erp, [2026], columns=wanted)
+        assert got.columns == [c for c in RESULT_COLUMNS if c in wanted]
+        assert content(got) == content(whole.select(got.columns))
+    items = number_items(expand_queues(q), by_content=False)
+    hits = contract_hits(items, erp, years=[2026], columns=["NAME"])
+    assert hits.columns == contract_hits(items, erp, years=[2026]).columns
+    held = {c for c in hits.columns if hits.where(hits[c].isNotNull()).count()}
+    assert {"NAME", "CPF_CNPJ", "ZMMT_VALOR"} <= held and not {"LIFNR", "NAME1_TEXT", "ZMMT_MIRO_HORA", "BUKRS"} & held
+    lines = open_invoices(erp, [2026], hits, columns=["VTIN_SERIE"])
+    held = {c for c in lines.columns if lines.where(lines[c].isNotNull()).count()}
+    assert {"VTIN_SERIE", "_tax_key", "VTIN_VLR_NF"} <= held and not {"VTIN_MODELO", "N_LOG", "CFOP"} & held
