@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspark.operators.pruning import marked
+from tallyspark.operators.pruning import marked, may_meet
 from tallyspark.schemas import UPSERT_KEYS, UPSERT_NULL_AS_EMPTY
 
 # Rows are written in queue order (by id), so "last" = highest id; the
@@ -55,23 +55,31 @@ def dedup_last(df: DataFrame, keys: Sequence[str] = UPSERT_KEYS) -> DataFrame:
     key may be a repeated one are moved whole.  ``df`` is read three times:
     give a written table.
     """
-    cols = df.columns
-    ordered = order_columns(_hashable(df))
+    picked, alone = _last_rows(df, keys)
+    return picked.select(*df.columns).unionByName(alone.select(*df.columns))
+
+
+def _last_rows(df: DataFrame, keys: Sequence[str], joined: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows of :func:`dedup_last`, with their key columns: those whose key
+    may be a repeated one, or whose ``joined`` mark is set, dealt by key and
+    reduced there; and all others, in place."""
+    cols = [c for c in df.columns if c != joined]
+    ordered = order_columns(_hashable(df.select(*[f"`{c}`" for c in cols])))
     rest = [c for c in cols if c not in ordered]
     strict = [k for k in keys if k not in UPSERT_NULL_AS_EMPTY]
     nullable = F.lit(False)
     for k in strict:
         nullable = nullable | F.col(k).isNull()
-    keyed = df.where(~nullable).select("*", *key_columns(keys))
+    keyed = df.select("*", *key_columns(keys))
     named = [f"_k{i}" for i in range(len(keys))]
-    counts = keyed.groupBy(F.xxhash64(*named).alias("_hash")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = keyed.where(~nullable).groupBy(F.xxhash64(*named).alias("_hash")).agg(F.count(F.lit(1)).alias("_n"))
     keyed = marked(keyed.withColumn("_hash", F.xxhash64(*named)), "_again", ["_hash"], counts.where("_n > 1"), ["_hash"])
-    once = keyed.where(~F.col("_again")).select(*cols)
-    keyed = keyed.where("_again")
+    moved = ~nullable & (F.col("_again") if joined is None else F.col("_again") | F.col(joined))
+    alone = keyed.where(~moved).select(*cols, *named)
     row = F.struct(*[F.col(f"`{c}`") for c in ordered + rest])
-    best = keyed.groupBy(*named).agg(F.max(row).alias("_row"))
-    picked = best.select(*[F.col(f"_row.`{c}`").alias(c) for c in ordered + rest]).select(*cols)
-    return picked.unionByName(once).unionByName(df.where(nullable))
+    best = keyed.where(moved).groupBy(*named).agg(F.max(row).alias("_row"))
+    picked = best.select(*[F.col(f"_row.`{c}`").alias(c) for c in ordered + rest], *named).select(*cols, *named)
+    return picked, alone
 
 
 def key_violations(df: DataFrame, keys: Sequence[str] = UPSERT_KEYS) -> DataFrame:
@@ -113,24 +121,31 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str] = UPSERT_KEY
     target, batch = evolve(target, as_named_in(batch, target.columns), keep_batch_columns=True)
     batch_cols = set(batch.columns)
     named = [f"_k{i}" for i in range(len(keys))]
-    t = marked(target.select("*", *key_columns(keys)), "_meets", named, batch.select(*key_columns(keys)), named)
-    b = batch if unique else dedup_last(batch, keys)
-    b = marked(b.select("*", *key_columns(keys)), "_meets", named, target.select(*key_columns(keys)), named)
-    new = b.where(~F.col("_meets")).select(*batch.columns)
-    new = new.select(*[
+    t_keys, b_keys = target.select(*key_columns(keys)), batch.select(*key_columns(keys))
+    t = marked(target.select("*", *key_columns(keys)), "_meets", named, b_keys, named)
+    b = marked(batch.withColumns(dict(zip(named, key_columns(keys)))), "_meets", named, t_keys, named).drop(*named)
+    if unique:
+        b = b.select("*", *key_columns(keys))
+        picked, alone = b.where("_meets").drop("_meets"), b.where(~F.col("_meets")).drop("_meets")
+    else:
+        # a row is dealt by its key once, for the dedup and the join
+        picked, alone = _last_rows(b, keys, "_meets")
+    new = alone.select(*[
         F.col(f"`{f.name}`") if f.name in batch_cols else F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields
     ])
+    for k in named:
+        t = t.withColumn("_meets", F.col("_meets") & F.col(k).isNotNull())  # NULL meets nothing
     kept = t.where(~F.col("_meets")).select(*target.columns)
     t = t.where("_meets").drop("_meets")
-    b = b.where("_meets").select(*[F.col(f"`{c}`").alias(f"_b_{c}") for c in batch.columns], *named, F.lit(True).alias("_b"))
-    j = t.join(b, named, "full_outer")
-    out = []
-    for c in target.columns:
-        if c in batch_cols:
-            out.append(F.when(F.col("_b").isNotNull(), F.col(f"_b_{c}")).otherwise(F.col(f"`{c}`")).alias(c))
-        else:
-            out.append(F.col(f"`{c}`").alias(c))
-    return j.select(*out).unionByName(kept).unionByName(new)
+    # of a target row that the batch replaces only what the batch lacks is moved
+    left = t.select(*named, *[F.col(f"`{c}`").alias(f"_t_{c}") for c in target.columns if c not in batch_cols])
+    right = picked.select(*[F.col(f"`{c}`").alias(f"_b_{c}") for c in batch.columns], *named)
+    j = right.join(left, named, "left")
+    out = [F.col(f"_t_{c}" if c not in batch_cols else f"_b_{c}").alias(c) for c in target.columns]
+    # rows whose hash alone meets the batch: found by their keys, then moved whole
+    lone = t.select(*named).join(right.select(*named), named, "left_anti")
+    rest = may_meet(t, named, lone, named).join(right.select(*named), named, "left_anti").select(*target.columns)
+    return j.select(*out).unionByName(kept).unionByName(rest).unionByName(new)
 
 
 def evolve(target: DataFrame, batch: DataFrame, keep_batch_columns: bool = False):

@@ -8,6 +8,7 @@ import erp_fixture as fx
 from pyspark.sql import functions as F
 
 from tallyspark.operators.match import ROUTES, contract_hits, open_invoices, wanted_keys
+from tallyspark.operators import pruning
 from tallyspark.operators.pruning import marked
 from tallyspark.operators.queues import expand_queues, number_items
 from tallyspark.operators.upsert import dedup_last, upsert
@@ -79,3 +80,22 @@ def test_the_upsert_moves_rows_that_may_meet_only(spark):
     got = sorted((str(r.PROCESS_NAME), r.a, r.b, r.c) for r in out.collect())
     assert got == [("None", "n", None, None), ("None", "old", "t", None), ("p", "y", "t", Decimal(2)),
                    ("q", "old", "t", None), ("r", "z", None, None)]
+
+
+def test_the_upsert_deals_a_row_by_its_key_once(spark, monkeypatch):
+    """A target row that the batch replaces is moved with its key and its own
+    columns only, one that merely may meet the batch stays whole."""
+    monkeypatch.setattr(pruning, "BITS", 64)  # nearly every key meets another's bit
+    schema = "PROCESS_NAME string, STATUS_EXECUCAO string, a string, own string"
+    target = [(f"k{i % 150}", "S", f"t{i}", f"o{i}") for i in range(200)] + [(None, "S", "null", "o"), ("k1", None, "null", "o")]
+    batch = [(f"k{i % 130}", "S", f"b{i:03d}") for i in range(100, 300)] + [(None, "S", "new"), (None, "S", "new")]
+    out = upsert(spark.createDataFrame(target, schema), spark.createDataFrame(batch, "PROCESS_NAME string, STATUS_EXECUCAO string, a string"), KEYS)
+    last = {}
+    for p, s, a in batch:
+        if p is not None:
+            last[p] = max(a, last.get(p, ""))
+    want = [(p, s, last.get(p, a) if s else a, own) for p, s, a, own in target]
+    want += [(p, "S", a, None) for p, a in last.items() if p not in {r[0] for r in target}] + [(None, "S", "new", None)] * 2
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in out.collect())
+    plan = plan_of(out)
+    assert "FullOuter" not in plan and "LeftOuter" in plan
