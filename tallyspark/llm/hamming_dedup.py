@@ -10,11 +10,13 @@ a slot differs with probability 0.15, so a linked pair lies beyond
 
 Rows of equal sets are one class.  Only connectivity is asked for, so pairs
 are not all emitted: every member of an index key is paired with the key's
-smallest member, and after contracting what is linked only keys that still
-hold several components give pairs, those within the signature distance.
-Every pair is confirmed on the full sets.  A key with more than ``LEAF``
-members in several components is refined by a second and third chunk, which
-keeps every pair (see ``open_pairs``); what is left is compared in blocks.
+smallest member, and after contracting what is near only keys that still hold
+several components give pairs, as many as join these.  What is connected so
+far is a cluster, and no pair within the distance leaves one.  These pairs are
+confirmed on the full sets; then the members of a cluster that are still in
+different components are compared, all with all, on their full sets
+(``cluster_links``).  Keys and clusters of more than ``LEAF`` members are
+compared block against block, each two blocks in a task.
 
 Rows: null or blank texts have an empty set and stand alone; with fewer than
 five words the whole sequence is the one shingle.  A null doc_id stands alone
@@ -38,7 +40,8 @@ SLOTS, CHUNK = 48, 4
 CHUNKS = SLOTS // CHUNK
 MAX_DIFF = 19
 LEAF = 2048
-LEVELS = 3  # chunks with at most one error that MAX_DIFF guarantees: MAX_DIFF <= 2 * (CHUNKS - LEVELS + 1) - 1
+LEVELS = 3  # a pair within MAX_DIFF meets in so many chunks at least: MAX_DIFF <= 2 * (CHUNKS - LEVELS + 1) - 1
+BLOCK_SHINGLES = 1 << 21  # of a block's full sets, on average
 
 SIG_SCHEMA = "doc_id long, n_shingles long, d1 long, d2 long, sig binary"
 U = np.uint64
@@ -181,55 +184,75 @@ def near(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
-def compare(block: list[tuple], first_level: bool) -> tuple[list, list]:
-    """Pairs of one key's members in different components within MAX_DIFF.
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of bits per set, as 64-bit words: bit k is the parity of the
+    number of its shingles that fall to k.  Two sets differ in at least as
+    many shingles as their rows differ in bits."""
+    sizes = np.array([len(x) for x in sets])
+    bits = 1 << min(max(int(4 * sizes.mean()).bit_length(), 8), 14)
+    out = np.empty((len(sets), bits // 64), U)
+    for lo in range(0, len(sets), 256):
+        part = sets[lo : lo + 256]
+        at = (np.concatenate(part).view(U) >> U(65 - bits.bit_length())).astype(np.int64)
+        at += np.repeat(np.arange(len(part)) * bits, sizes[lo : lo + 256])
+        odd = (np.bincount(at, minlength=len(part) * bits) & 1).astype(np.uint8)
+        out[lo : lo + 256] = np.packbits(odd.reshape(len(part), bits), axis=1).view(U)
+    return out
+
 
-    With full sets in the block a pair is confirmed here, and only links that
-    join two components are given.  On the first level a pair is looked at
-    under the first chunk that it shares, not under each of its keys."""
+def compare(block: list[tuple]) -> tuple[list, list]:
+    """Pairs within MAX_DIFF of a block's members (rep, comp, sig, side,
+    shingles) in different components, of different sides if it has both.
+
+    A pair joins its two components, so what is given spans what is near.
+    With full sets the pairs given are confirmed; most others are refused by
+    the parities of their sets before these are met."""
+    block = sorted(block, key=lambda r: r[3])
     rep = np.array([r[0] for r in block])
     sig = np.frombuffer(b"".join(r[2] for r in block), np.uint16).reshape(-1, SLOTS)
     sets = [r[4] for r in block] if block[0][4] is not None else None
-    sizes = np.array([len(x) for x in sets]) if sets else None
+    if sets:
+        sizes, odd = np.array([len(x) for x in sets]), parities(sets)
     _, comp = np.unique([r[1] for r in block], return_inverse=True)
+    second = sum(r[3] == 0 for r in block)  # where the other side begins
     a, b = [], []
-    for i in range(len(rep) - 1):
-        other = np.flatnonzero(comp[i + 1 :] != comp[i]) + i + 1
-        differ = sig[other] != sig[i]
-        near_by = differ.sum(axis=1) <= MAX_DIFF
-        if first_level:
-            good = differ.reshape(-1, CHUNKS, CHUNK).sum(axis=2) <= 1
-            near_by &= good.argmax(axis=1) == block[i][3]
+    for i in range(second if second < len(block) else second - 1):
+        begin = second if second < len(block) else i + 1
+        other = np.flatnonzero(comp[begin:] != comp[i]) + begin
         if sets:
-            near_by &= 100 * np.minimum(sizes[other], sizes[i]) >= PERCENT * np.maximum(sizes[other], sizes[i])
-        for j in other[near_by]:
+            both = sizes[other] + sizes[i]
+            differ = np.bitwise_count(odd[other] ^ odd[i]).sum(axis=1, dtype=np.int64)
+            other = other[(100 + PERCENT) * differ <= (100 - PERCENT) * both]
+        other = other[(sig[other] != sig[i]).sum(axis=1) <= MAX_DIFF]
+        for j in other:
+            if comp[j] == comp[i]:
+                continue
             if sets:
-                if comp[j] == comp[i]:
-                    continue
                 n = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                 if 100 * n < PERCENT * (sizes[i] + sizes[j] - n):
                     continue
-                comp[comp == comp[j]] = comp[i]
+            comp[comp == comp[j]] = comp[i]
             a.append(min(rep[i], rep[j]))
             b.append(max(rep[i], rep[j]))
     return a, b
 
 
-def leaf_pairs(rows: DataFrame, first_level: bool = False) -> DataFrame:
-    """Pairs of the rows (key, part, rep, comp, sig, last, shingles), of which
-    each (key, part) has a bounded number; shingles may be null."""
+def block_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of the rows (key, rep, comp, sig, blocks, shingles) under a common
+    key: its members are dealt to ``blocks`` blocks, and each two blocks meet
+    in a task, which holds no others.  Shingles may be null."""
 
     def run(batches):
         key, block = None, []
 
         def out():
-            a, b = compare(block, first_level)
+            a, b = compare(block)
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
             full = batch.column("shingles")
             offs, flat = full.offsets.to_numpy(), full.values.to_numpy()
-            cols = [batch.column(c).to_pylist() for c in ("key", "part", "rep", "comp", "sig", "last")]
+            cols = [batch.column(c).to_pylist() for c in ("key", "part", "rep", "comp", "sig", "side")]
             for i, (k, p, *member) in enumerate(zip(*cols, strict=True)):
                 if (k, p) != key:
                     if len(block) > 1:
@@ -239,8 +262,13 @@ def leaf_pairs(rows: DataFrame, first_level: bool = False) -> DataFrame:
         if len(block) > 1:
             yield out()
 
+    blocks = F.col("blocks")
+    dealt = rows.withColumn("mine", F.when(blocks > 1, F.pmod(F.xxhash64("rep"), blocks)).otherwise(F.lit(0).cast("long")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    part = F.least("mine", "other") * blocks + F.greatest("mine", "other")
+    side = (F.col("mine") > F.col("other")).cast("int")
     return (
-        rows.select("key", "part", "rep", "comp", "sig", "last", "shingles")
+        dealt.select("key", part.alias("part"), "rep", "comp", "sig", side.alias("side"), "shingles")
         .repartition("key", "part")
         .sortWithinPartitions("key", "part")
         .mapInArrow(run, "a long, b long")
@@ -248,64 +276,36 @@ def leaf_pairs(rows: DataFrame, first_level: bool = False) -> DataFrame:
     )
 
 
-def refine(rows: DataFrame) -> DataFrame:
-    """Members of large keys under (key, further chunk) keys.  A pair within
-    MAX_DIFF has LEVELS chunks with at most one error, so it meets again under
-    a later or an earlier chunk; all further chunks are indexed."""
-
-    def run(batches):
-        for b in batches:
-            keys = chunk_keys(sig_matrix(b.column("sig")))
-            old = b.column("key").to_numpy().view(U)
-            last = b.column("last").to_numpy()
-            col = np.repeat(np.arange(CHUNKS), CHUNK)
-            use = col[None, :] > last[:, None]
-            with np.errstate(over="ignore"):
-                new = mix64(keys + old[:, None] * U(0xD1342543DE82EF95))
-            row, c = np.nonzero(use)
-            take = lambda n: b.column(n).take(pa.array(row))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(new[row, c].view(np.int64)), take("rep"), pa.array(col[c].astype(np.int32)), take("comp"), take("sig")],
-                names=["key", "rep", "last", "comp", "sig"],
-            )
-
-    return rows.select("key", "rep", "last", "comp", "sig").mapInArrow(run, "key long, rep long, last int, comp long, sig binary")
-
-
-def open_pairs(shared: DataFrame, comp: DataFrame, reps: DataFrame, stages: Stages, name: str, leaf: int = LEAF, sets: DataFrame | None = None) -> DataFrame:
-    """Candidate pairs in different components under a common key.  A key
-    whose members are in one component is closed: it gives no pair.  With
-    ``sets`` the pairs given are confirmed links."""
+def labelled(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """``rows`` with the component of their ``rep``, itself if it has no edge."""
     label = comp.select(F.col("node").alias("rep"), "comp")
-    rows = shared.select("key", "rep", "last").join(label, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    known = sets.select(F.col("doc_id").alias("rep"), "shingles") if sets is not None else None
-
-    def leaves(part: DataFrame, first_level: bool = False) -> DataFrame:
-        if known is None:
-            return leaf_pairs(part.withColumn("shingles", F.lit(None).cast("array<long>")), first_level)
-        return leaf_pairs(part.join(known, "rep"), first_level)
-
-    out = None
-    for level in range(1, LEVELS + 1):
-        stat = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
-        rows = rows.join(stat.filter("c0 < c1").select("key", "n"), "key")
-        if level == 1:
-            rows = rows.join(reps.select("rep", "sig"), "rep")
-        rows = stages.write(rows.select("key", "rep", "last", "comp", "sig", "n"), f"{name}-open{level}")
-        small = leaves(rows.filter(F.col("n") <= leaf).withColumn("part", F.lit(0)), level == 1)
-        out = small if out is None else out.union(small)
-        large = rows.filter(F.col("n") > leaf)
-        if large.isEmpty():
-            return out.distinct()
-        # The pairs whose common chunk of the lowest number is ``last`` meet
-        # under a later chunk, LEVELS deep: nothing is lost by refining.
-        rows = refine(large) if level < LEVELS else large
-    # What three chunks could not tell apart is compared block against block.
-    blocks = F.ceil(F.col("n") / leaf)
-    mine = F.pmod(F.xxhash64("rep"), blocks)
-    with_blocks = large.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    part = (F.least("mine", "other") * blocks + F.greatest("mine", "other")).cast("int")
-    return out.union(leaves(with_blocks.withColumn("part", part))).distinct()
+    return rows.join(label, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+
+
+def open_pairs(shared: DataFrame, comp: DataFrame, reps: DataFrame, stages: Stages, name: str, leaf: int = LEAF) -> DataFrame:
+    """Candidate pairs that join the components under a common key.  A key
+    whose members are in one component is closed: it gives no pair."""
+    rows = labelled(shared.select("key", "rep"), comp)
+    stat = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+    rows = rows.join(stat.filter("c0 < c1").select("key", F.ceil(F.col("n") / leaf).alias("blocks")), "key")
+    rows = rows.join(reps.select("rep", "sig"), "rep").withColumn("shingles", F.lit(None).cast("array<long>"))
+    return block_pairs(stages.write(rows, f"{name}-open"))
+
+
+def cluster_links(maybe: DataFrame, linked: DataFrame, reps: DataFrame, sets: DataFrame, stages: Stages, leaf: int = LEAF) -> DataFrame:
+    """Links that join the components of ``linked``.  Every candidate pair lies
+    in one component of ``maybe``, a cluster, so a document is carried with
+    its full set once for all its keys.  A block is bounded by its members
+    and by their shingles."""
+    cluster = components(maybe, stages, "c2").select(F.col("node").alias("rep"), F.col("comp").alias("key"))
+    rows = labelled(cluster, components(linked, stages, "c3")).join(reps.select("rep", "n_shingles", "sig"), "rep")
+    rows = stages.write(rows, "clusters")
+    stat = rows.groupBy("key").agg(
+        F.count("*").alias("n"), F.sum("n_shingles").alias("held"), F.min("comp").alias("c0"), F.max("comp").alias("c1")
+    )
+    blocks = F.ceil(F.greatest(F.col("n") / leaf, F.col("held") / BLOCK_SHINGLES))
+    rows = rows.join(stat.filter("c0 < c1").select("key", blocks.alias("blocks")), "key")
+    return block_pairs(rows.join(sets.select(F.col("doc_id").alias("rep"), "shingles"), "rep"))
 
 
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -357,16 +357,13 @@ def near_duplicates(docs: DataFrame, stages: Stages | None = None, leaf: int = L
     sets = stages.write(full_sets(docs, ids), "sets")
     linked = stages.write(confirm(maybe, sets), "linked")
 
-    # Links refused above may have hidden others: members now in different
-    # components are compared on their full sets inside the key's task, which
-    # gives only the links that join components.
-    tried = many.join(ids.withColumnRenamed("doc_id", "rep"), "rep", "left_semi")
-    if maybe.count() != linked.count():
-        third = open_pairs(tried, components(linked, stages, "c2"), reps, stages, "p2", leaf, sets)
-        linked = linked.union(stages.write(third, "third"))
+    # ``second`` only spans what is near, and links refused above may have
+    # hidden others: members of a cluster in different components are compared
+    # on their full sets, which gives only the links that join components.
+    linked = linked.union(stages.write(cluster_links(maybe, linked, reps, sets, stages, leaf), "third"))
     twins = known.join(reps.select("d1", "d2", "n_shingles", "rep"), ["d1", "d2", "n_shingles"])
     same = twins.filter("doc_id > rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct()
-    comp = components(linked, stages, "c3").select(F.col("node").alias("rep"), "comp")
+    comp = components(linked, stages, "c4").select(F.col("node").alias("rep"), "comp")
     rep_of = same.select(F.col("b").alias("doc_id"), F.col("a").alias("rep"))
     out = signed.select("doc_id", "n_shingles").join(rep_of, "doc_id", "left")
     out = out.withColumn("rep", F.coalesce("rep", "doc_id")).join(comp, "rep", "left")
